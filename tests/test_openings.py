@@ -1,0 +1,93 @@
+"""Openings per month and per hour."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import event_log, tuples
+from vestibule.operators.densify import HOURS, densify, key_spine
+from vestibule.plans.openings import openings_by_hour, openings_by_month
+
+AS_OF = date(2024, 3, 11)
+
+
+def test_months_count_distinct_ids_of_the_year(spark):
+    log = event_log(
+        spark,
+        [
+            ("2024-01-01", 1),
+            ("2024-01-31T23:59:59", 1),
+            ("2024-01-05", 2),
+            ("2024-02-01", 1),
+            ("2024-02-02", None),
+            ("2024-10-02", 3),
+            ("2023-12-31T23:59:59", 4),
+            ("2025-01-01", 5),
+            ("2024-04-01", 6, "ALTERACAO"),
+            ("2024-05-01", None),
+        ],
+    )
+    result = openings_by_month(log, AS_OF)
+    expected = {1: 2, 2: 1, 10: 1}
+    assert result.columns == ["mes", "aberturas_conta"]
+    assert tuples(result) == [(m, expected.get(m, 0)) for m in range(1, 13)]
+
+
+def test_months_of_an_empty_log(spark):
+    assert tuples(openings_by_month(event_log(spark, []), AS_OF)) == [(m, 0) for m in range(1, 13)]
+
+
+def test_hours_count_distinct_ids_of_the_day_before(spark):
+    log = event_log(
+        spark,
+        [
+            ("2024-03-10T00:00", 1),
+            ("2024-03-10T00:59:59.999999", 1),
+            ("2024-03-10T00:30", 2),
+            ("2024-03-10T23:59:59.999999", 3),
+            ("2024-03-10T05:00", None),
+            ("2024-03-10T06:00", 9, "ALTERACAO"),
+            ("2024-03-09T23:59:59.999999", 4),
+            ("2024-03-11T00:00", 5),
+        ],
+    )
+    result = openings_by_hour(log, AS_OF)
+    expected = {0: 2, 23: 1}
+    assert result.columns == ["hora", "aberturas_conta"]
+    assert tuples(result) == [(h, expected.get(h, 0)) for h in range(24)]
+
+
+def test_a_hot_id_counts_once(spark):
+    rows = spark.range(0, 200_000, 1, 16).select(
+        F.expr("timestamp_ntz '2024-03-10 00:00:00' + make_dt_interval(0, id % 24)").alias(
+            "dt_ocorrencia"
+        ),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("cd_cpfcgc"),
+        F.lit("INCLUSAO").alias("ds_ocorrencia"),
+    )
+    expected = {}
+    for i in range(200_000):
+        expected.setdefault(i % 24, set()).add(7 if i % 3 == 0 else i)
+    assert tuples(openings_by_hour(rows, AS_OF)) == [(h, len(expected[h])) for h in range(24)]
+
+
+@pytest.mark.parametrize("keys", [range(3), range(0), range(20_000)])
+def test_densify_keeps_the_keys_and_only_them(spark, keys):
+    grouped = spark.createDataFrame([(1, 5, "a"), (-1, 6, "b"), (30_000, 7, "c")], "k int, n int, t string")
+    rows = tuples(densify(grouped, "k", keys, {"n": 0}))
+    assert sorted(rows, key=lambda r: r[0]) == [(k, 5, "a") if k == 1 else (k, 0, None) for k in keys]
+
+
+def test_densify_broadcasts_a_bounded_side_only(spark):
+    grouped = spark.range(100).groupBy((F.col("id") % 50).alias("k")).count()
+    plans = {
+        n: densify(grouped, "k", range(n))._jdf.queryExecution().analyzed().toString()
+        for n in (24, 20_000)
+    }
+    assert "strategy=broadcast" in plans[24]
+    assert "strategy=broadcast" not in plans[20_000]
+
+
+def test_the_spine_is_one_partition(spark):
+    assert key_spine(spark, "hora", HOURS)._jdf.queryExecution().toRdd().getNumPartitions() == 1

@@ -48,15 +48,14 @@ def whole_months(later: Column, earlier: Column) -> Column:
     return F.months_between(later, earlier, roundOff=False).cast("int")
 
 
-def rolled_back(day: Column, iso_weekday: Column, is_holiday: Column) -> Column:
-    """The day a lookback reads: one hop back from a weekend day or a holiday.
+def hop_back(iso_weekday: Column, is_holiday: Column) -> Column:
+    """Days to go back from a date that is a weekend day or a holiday, else 0.
 
-    The weekday decides before the holiday flag, and the day landed on is not
-    looked at again, so a Monday holiday reads the Sunday before it.
+    The weekday decides before the holiday flag. One hop is all: the day landed
+    on is not looked at again, so a Monday holiday reads the Sunday before it.
     """
-    hop = (
+    return (
         F.when(iso_weekday == SUNDAY, 2)
         .when((iso_weekday == SATURDAY) | (is_holiday == HOLIDAY_FLAG), 1)
         .otherwise(0)
     )
-    return F.date_sub(day, hop)

@@ -8,20 +8,21 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vestibule.functions.days import on_days, rolled_back
+from vestibule.functions.days import hop_back, on_days
 
 
-def _read_day(calendar: DataFrame) -> DataFrame:
-    """One row per calendar date with the day a lookback to it reads.
+def _hops(calendar: DataFrame) -> DataFrame:
+    """``(calendar_date, hop)``, one row per date: days to go back from it.
 
     A date listed twice is an error, raised when the row is used: joining it
     would double every count.
     """
-    day = F.to_date("calendar_date")
-    resolved = rolled_back(day, F.first("calendar_iso_weekday"), F.first("is_holiday"))
+    hop = hop_back(F.col("calendar_iso_weekday"), F.col("is_holiday"))
     twice = F.raise_error(F.concat(F.lit("calendar lists a date twice: "), "calendar_date"))
-    return calendar.groupBy("calendar_date").agg(
-        F.when(F.count("*") > 1, twice).otherwise(resolved).alias("day")
+    return (
+        calendar.select("calendar_date", hop.alias("hop"))
+        .groupBy("calendar_date")
+        .agg(F.when(F.count("*") > 1, twice).otherwise(F.max("hop")).alias("hop"))
     )
 
 
@@ -32,8 +33,10 @@ def resolve_lookbacks(calendar: DataFrame, as_of: date, ks: Sequence[int]) -> Da
     """
     dates = [(as_of - timedelta(days=k)).isoformat() for k in ks]
     d0 = F.to_date("calendar_date")
-    return _read_day(calendar.filter(F.col("calendar_date").isin(dates))).select(
-        F.date_diff(F.lit(as_of), d0).alias("k"), d0.alias("d0"), "day"
+    return _hops(calendar.filter(F.col("calendar_date").isin(dates))).select(
+        F.date_diff(F.lit(as_of), d0).alias("k"),
+        d0.alias("d0"),
+        F.date_sub(d0, F.col("hop")).alias("day"),
     )
 
 
@@ -45,7 +48,9 @@ def resolve_lookbacks_of(
         "as_of", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")
     ).withColumn("d0", F.date_sub("as_of", F.col("k")))
     on_date = F.date_format("d0", "yyyy-MM-dd") == F.col("calendar_date")
-    return wanted.join(_read_day(calendar), on_date).select("as_of", "k", "d0", "day")
+    return wanted.join(_hops(calendar), on_date).select(
+        "as_of", "k", "d0", F.date_sub("d0", F.col("hop")).alias("day")
+    )
 
 
 def fetch_lookbacks(resolved: DataFrame) -> dict[int, date]:
