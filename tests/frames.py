@@ -1,4 +1,4 @@
-"""Small inputs for the tests."""
+"""Small inputs and shared helpers for the tests."""
 
 from datetime import datetime
 
@@ -31,3 +31,10 @@ def clients(spark, rows):
 
 def tuples(df):
     return [tuple(row) for row in df.collect()]
+
+
+def physical(df):
+    """The plan before execution, with the scans' full details."""
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )

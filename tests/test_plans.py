@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from frames import calendar, physical
 from test_lookbacks import dates, random_log
-from frames import calendar
 from test_oracles import sample
 from vestibule.plans.change import hourly_change
 from vestibule.plans.openings import openings_by_month
@@ -17,13 +17,6 @@ from vestibule.sources.tables import read_table
 REPORTS = ("openings_by_month", "openings_by_month_orders", "openings_by_hour", "hourly_change")
 
 
-def physical(df):
-    """The plan before execution, with the scans' full details."""
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    )
-
-
 def final(df):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -4,13 +4,12 @@ from datetime import date
 from pathlib import Path
 
 import pytest
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from frames import tuples
-from test_lookbacks import dates, random_log
+from frames import calendar, physical, tuples
 from test_cohorts import random_clients
-from frames import calendar
+from test_lookbacks import dates, random_log
 from vestibule.__main__ import main
 from vestibule.operators.frames import format_matrix
 from vestibule.plans.change import hourly_change
@@ -56,7 +55,7 @@ def test_a_second_run_replaces_the_report(spark, tmp_path):
 def test_reading_a_report_as_another_is_an_error(spark, tmp_path):
     df = spark.createDataFrame([(0, 1)], schemas.OPENINGS_BY_HOUR)
     write_report(df, str(tmp_path), "openings_by_hour")
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="CSV header does not conform"):
         read_report(spark, str(tmp_path), "openings_by_hour", schemas.OPENINGS_BY_MONTH).collect()
 
 
@@ -109,8 +108,31 @@ def test_read_table_from_the_catalog(spark, inputs):
     table = read_table(spark, "calendar_view", schemas.CALENDAR)
     assert table.schema == schemas.CALENDAR
     assert table.count() == 152
+
+
+def test_a_missing_column_or_a_wrong_type_is_an_error(spark, inputs):
     with pytest.raises(AnalysisException):
-        read_table(spark, "calendar_view", schemas.CLIENTS).collect()
+        read_table(spark, f"{inputs}/calendar", schemas.CLIENTS)
+    spark.range(1).selectExpr(
+        "'x' AS calendar_date", "'Monday' AS calendar_iso_weekday", "'True' AS is_holiday"
+    ).createOrReplaceTempView("odd_calendar")
+    with pytest.raises(AnalysisException):
+        read_table(spark, "odd_calendar", schemas.CALENDAR)
+
+
+def test_other_stored_types_keep_their_filters_on_the_scan(spark, inputs, tmp_path):
+    log = read_table(spark, f"{inputs}/events", schemas.EVENT_LOG)
+    log.select(
+        F.col("DS_OCORRENCIA").alias("DS_OCORRENCIA"),
+        F.col("cd_cpfcgc").cast("string").alias("cd_cpfcgc"),
+        F.col("dt_ocorrencia").cast("timestamp").alias("dt_ocorrencia"),
+    ).write.parquet(f"{tmp_path}/events")
+    other = read_table(spark, f"{tmp_path}/events", schemas.EVENT_LOG)
+    assert [t for _, t in other.dtypes] == ["timestamp", "string", "string"]
+    report = openings_by_hour(other, AS_OF)
+    assert "GreaterThanOrEqual(dt_ocorrencia,2024-01-30T00:00:00Z)" in physical(report)
+    assert tuples(report) == tuples(openings_by_hour(log, AS_OF))
+    assert tuples(openings_by_month(other, AS_OF)) == tuples(openings_by_month(log, AS_OF))
 
 
 def test_shared_folders_differ(spark):
