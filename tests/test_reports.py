@@ -130,7 +130,7 @@ def test_other_stored_types_keep_their_filters_on_the_scan(spark, inputs, tmp_pa
     other = read_table(spark, f"{tmp_path}/events", schemas.EVENT_LOG)
     assert [t for _, t in other.dtypes] == ["timestamp", "string", "string"]
     report = openings_by_hour(other, AS_OF)
-    assert "GreaterThanOrEqual(dt_ocorrencia,2024-01-30T00:00:00Z)" in physical(report)
+    assert "GreaterThanOrEqual(dt_ocorrencia,2024-01-30" in physical(report)
     assert tuples(report) == tuples(openings_by_hour(log, AS_OF))
     assert tuples(openings_by_month(other, AS_OF)) == tuples(openings_by_month(log, AS_OF))
 
