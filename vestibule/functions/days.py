@@ -17,9 +17,12 @@ HOLIDAY_FLAG = "True"
 def on_days(at: Column, days: Iterable[date], partition: Column | None = None) -> Column:
     """True when the timestamp ``at`` falls on one of ``days``.
 
-    Written as half-open ranges because those are pushed to the Parquet scan;
-    ``to_date(at).isin(days)`` is not. ``partition`` is the log's date partition
-    column, when it has one: the literals then prune directories as well.
+    Written as half-open ranges because those reach the scan, where
+    ``to_date(at).isin(days)`` does not. They skip data in Parquet files with
+    microsecond ``timestamp`` columns and in ORC files; for ``timestamp_ntz``
+    Parquet columns Spark 4.1 lists them as pushed but reads every row group.
+    ``partition`` is the log's date partition column, when it has one: the
+    literals then prune whole directories, whatever the file format.
     """
     days = sorted(set(days))
     hit = F.lit(False)
