@@ -53,10 +53,10 @@ def business_day_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = standins.event_log(spark, sf_dir).select(F.to_date("dt_ocorrencia").alias("as_of"))
     resolved = resolve_lookbacks_of(standins.calendar(spark), days.distinct(), LOOKBACKS)
     return resolved.select(
-        F.date_format("as_of", "yyyy-MM-dd").alias("as_of"),
+        F.col("as_of").cast("string").alias("as_of"),
         "k",
-        F.date_format("d0", "yyyy-MM-dd").alias("d0"),
-        F.date_format("day", "yyyy-MM-dd").alias("day"),
+        F.col("d0").cast("string").alias("d0"),
+        F.col("day").cast("string").alias("day"),
     )
 
 

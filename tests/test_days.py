@@ -45,9 +45,11 @@ def expected_months(earlier, later):
     return int(whole + rest)
 
 
-def test_whole_months_against_exact_arithmetic(spark):
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Pacific/Apia"])
+def test_whole_months_against_exact_arithmetic(spark, zone):
+    """In any session time zone: clocks changed in these years, in Apia by a whole day."""
     rng = random.Random(7)
-    start = datetime(2019, 12, 1)
+    start = datetime(2011, 10, 1) if zone == "Pacific/Apia" else datetime(2017, 9, 1)
     pairs = []
     for i in range(5000):
         earlier = start + timedelta(days=rng.randrange(900), seconds=rng.randrange(86400))
@@ -55,7 +57,11 @@ def test_whole_months_against_exact_arithmetic(spark):
         shift = rng.choice([rng.randrange(-400, 900), 31 * rng.randrange(-3, 9)])
         later = earlier + timedelta(days=shift, seconds=rng.randrange(-2, 3))
         pairs.append((i, earlier, later))
-    assert months(spark, pairs) == [expected_months(a, b) for _, a, b in pairs]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert months(spark, pairs) == [expected_months(a, b) for _, a, b in pairs]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 @pytest.mark.parametrize("weekday", range(1, 8))

@@ -44,11 +44,14 @@ def in_year(at: Column, year: int, partition: Column | None = None) -> Column:
 def whole_months(later: Column, earlier: Column) -> Column:
     """Months from ``earlier`` to ``later``, cut toward zero.
 
-    Two equal days of the month, or two month ends, are a whole number of months
-    whatever the time of day. A ``later`` up to one month before ``earlier``
-    still counts as 0. Rounding stays off: it could lift 0.999999999 to 1.
+    Two equal days of the month, or two month ends, are a whole number of months.
+    A ``later`` up to one month before ``earlier`` still counts as 0.
+
+    Dates are enough: the part of a month left over has the sign of the
+    difference between the days of the month, whatever the times of day, and is
+    below one. Without the times the session's time zone plays no part.
     """
-    return F.months_between(later, earlier, roundOff=False).cast("int")
+    return F.months_between(F.to_date(later), F.to_date(earlier)).cast("int")
 
 
 def hop_back(iso_weekday: Column, is_holiday: Column) -> Column:

@@ -47,7 +47,7 @@ def resolve_lookbacks_of(
     wanted = as_of_days.select(
         "as_of", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")
     ).withColumn("d0", F.date_sub("as_of", F.col("k")))
-    on_date = F.date_format("d0", "yyyy-MM-dd") == F.col("calendar_date")
+    on_date = F.col("d0").cast("string") == F.col("calendar_date")
     return wanted.join(_hops(calendar), on_date).select(
         "as_of", "k", "d0", F.date_sub("d0", F.col("hop")).alias("day")
     )

@@ -75,7 +75,7 @@ def calendar(spark: SparkSession) -> DataFrame:
     days = spark.range(0, (CALENDAR_LAST - CALENDAR_FIRST).days + 1, 1, numPartitions=1)
     day = F.date_add(F.lit(CALENDAR_FIRST), F.col("id").cast("int"))
     return days.select(
-        F.date_format(day, "yyyy-MM-dd").alias("calendar_date"),
+        day.cast("string").alias("calendar_date"),
         (F.weekday(day) + 1).alias("calendar_iso_weekday"),
         F.when(day == F.lit(HOLIDAY), "True").otherwise("False").alias("is_holiday"),
     )
