@@ -9,13 +9,18 @@ from pyspark.sql import SparkSession
 
 
 def local_session(name: str, cores: str = "*", **conf: str) -> SparkSession:
-    """A local session for tests and benchmarks; on a cluster the submitter configures it."""
+    """A local session for tests and benchmarks; on a cluster the submitter configures it.
+
+    Spark's debugging aid that records the Python line of every column is off:
+    it takes as long as all other plan building together.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

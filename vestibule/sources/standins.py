@@ -86,7 +86,9 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Written as the matched rows plus the orders without lines. Spark can split
     a hot order's lines across tasks in an inner join but not in a left join,
-    and the anti join meets each order key only once.
+    and the anti join meets each order key only once. The lines come first in
+    the inner join: a merge join streams its left side and holds the matches of
+    its right, here a single order and not all lines of one.
     """
     orders = spark.read.schema(_ORDERS).parquet(f"{sf_dir}/orders.parquet")
     lines = spark.read.schema(_LINES).parquet(f"{sf_dir}/lineitem.parquet")
@@ -97,7 +99,7 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~low, F.col("o_orderpriority")).alias("perfil"),
         F.col("o_orderstatus").alias("tp_pessoa"),
     )
-    updated = client.join(lines, "l_orderkey").withColumnRenamed("l_shipdate", "dt_atualiz")
+    updated = lines.withColumnRenamed("l_shipdate", "dt_atualiz").join(client, "l_orderkey")
     unseen = client.join(lines.select("l_orderkey").distinct(), "l_orderkey", "left_anti")
     return (
         updated.unionByName(unseen.withColumn("dt_atualiz", F.lit(None).cast("timestamp_ntz")))
