@@ -38,7 +38,8 @@ def test_months_of_an_empty_log(spark):
     assert tuples(openings_by_month(event_log(spark, []), AS_OF)) == [(m, 0) for m in range(1, 13)]
 
 
-def test_hours_count_distinct_ids_of_the_day_before(spark):
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Tokyo"])
+def test_hours_count_distinct_ids_of_the_day_before(spark, zone):
     log = event_log(
         spark,
         [
@@ -55,7 +56,12 @@ def test_hours_count_distinct_ids_of_the_day_before(spark):
     result = openings_by_hour(log, AS_OF)
     expected = {0: 2, 23: 1}
     assert result.columns == ["hora", "aberturas_conta"]
-    assert tuples(result) == [(h, expected.get(h, 0)) for h in range(24)]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        result = openings_by_hour(log, AS_OF)
+        assert tuples(result) == [(h, expected.get(h, 0)) for h in range(24)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_a_hot_id_counts_once(spark):
