@@ -32,10 +32,7 @@ def types(df):
     return dict(df.dtypes)
 
 
-@pytest.mark.parametrize("sf", ["0.001", "0.01"])
-@pytest.mark.parametrize("name", list(contract.queries()))
-def test_query_equals_oracle(spark, name, sf):
-    folder = sample(sf)
+def check(spark, name, folder):
     con = duckdb.connect()
     for table in TABLES:
         con.execute(f"CREATE VIEW {table} AS FROM '{folder}/{table}.parquet'")
@@ -48,6 +45,33 @@ def test_query_equals_oracle(spark, name, sf):
     assert types(result) == {c: SPARK_TYPES[str(t)] for c, t in zip(expected.columns, expected.types)}
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_query_equals_oracle(spark, name, sf):
+    check(spark, name, sample(sf))
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_query_holds_without_broadcasts_and_replanning(spark, name):
+    """The plans that large inputs get: shuffled joins, many partitions, ANSI off, another zone."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "13",
+        "spark.sql.files.maxPartitionBytes": "100000",
+        "spark.sql.ansi.enabled": "false",
+        "spark.sql.session.timeZone": "America/New_York",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        check(spark, name, sample("0.001"))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_every_query_has_an_oracle():
     assert list(contract.queries()) == list(contract.oracle_sql())
 

@@ -65,9 +65,11 @@ def test_upper_case_headers_and_a_stray_column(spark, tmp_path):
     back = read_report(spark, str(tmp_path), "upper", schemas.OPENINGS_BY_MONTH)
     assert tuples(back) == [(1, 4)]
     (tmp_path / "stray").mkdir()
-    (tmp_path / "stray" / "a.csv").write_text("MES,M0,M1,NR,Unnamed: 9\n2,12.5,,7,\n")
-    stray = spark.read.option("header", True).csv(str(tmp_path / "stray"))
-    assert tuples(format_matrix(stray)) == [("Fev", "12.5%", "", "7.0%")]
+    for header in ("Unnamed: 9", ""):
+        (tmp_path / "stray" / "a.csv").write_text(f"MES,M0,M1,NR,{header}\n2,12.5,,7,\n")
+        stray = spark.read.option("header", True).csv(str(tmp_path / "stray"))
+        assert len(stray.columns) == 5
+        assert tuples(format_matrix(stray)) == [("Fev", "12.5%", "", "7.0%")]
 
 
 def test_the_whole_run(spark, inputs, tmp_path):

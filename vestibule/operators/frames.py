@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from vestibule.functions.labels import month_label, percent_text
 
-# Fixed value: how a column read without a header name is called.
-STRAY_COLUMN = "^Unnamed"
+# What a column without a header name is called by the tools that
+# export the reports, and by Spark's own CSV reader.
+STRAY_COLUMN = r"^Unnamed|^_c\d+$"
 
 
 def bar_frame(df: DataFrame, x: str, y: str, skip_null: bool = False) -> DataFrame:
