@@ -5,8 +5,11 @@ from collections import defaultdict
 from datetime import date, datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
+from pyspark.sql import functions as F
+
 from frames import clients, tuples
 from test_days import expected_months
+from vestibule.functions.measures import percent
 from vestibule.operators.cohorts import completion_matrix, flagged_clients, profile_flags_by_gap
 from vestibule.plans.onboarding import cohort_matrix
 from vestibule.sources import schemas
@@ -73,16 +76,23 @@ def test_ties_round_half_up(spark):
     assert matrix(spark, rows)[8][0] == 14.38
 
 
-def test_every_share_rounds_exactly(spark):
-    pairs = [(n, d) for d in range(1, 401) for n in range(0, d + 1, max(1, d // 40))]
-    from pyspark.sql import functions as F
+def shares():
+    """Small totals in full, and large ones with shares as near to a tie as they get."""
+    for d in range(1, 401):
+        for n in range(0, d + 1, max(1, d // 40)):
+            yield n, d
+    rng = random.Random(5)
+    for _ in range(20_000):
+        d = rng.randrange(10**6, 5 * 10**11)
+        tie = rng.randrange(10_000) * 2 + 1  # in units of 0.005
+        yield min(d, d * tie // 20_000 + rng.choice([0, 1])), d
 
-    from vestibule.functions.measures import percent
 
-    df = spark.createDataFrame(pairs, "n bigint, d bigint")
+def test_every_share_rounds_exactly(spark):
+    df = spark.createDataFrame(list(shares()), "n bigint, d bigint")
     for n, d, got in tuples(df.select("n", "d", percent(F.col("n"), F.col("d")))):
-        exact = Decimal(20000 * n * 10**20 // (2 * d)) / 10**20
-        assert Decimal(str(got)) == (exact / 100).quantize(Decimal("0.01"), ROUND_HALF_UP), (n, d)
+        hundredths = (20_000 * n + d) // (2 * d)  # half up, in integers
+        assert Decimal(str(got)) == Decimal(hundredths) / 100, (n, d)
 
 
 def random_clients(spark, n, seed):
