@@ -137,5 +137,17 @@ def test_other_stored_types_keep_their_filters_on_the_scan(spark, inputs, tmp_pa
     assert tuples(openings_by_month(other, AS_OF)) == tuples(openings_by_month(log, AS_OF))
 
 
+def test_clients_with_plain_dates(spark, inputs, tmp_path):
+    stored = read_table(spark, f"{inputs}/clients", schemas.CLIENTS)
+    dates_only = stored.withColumns(
+        {c: F.to_date(c) for c in ("dt_criacao", "dt_atualiz")}
+    )
+    dates_only.write.parquet(f"{tmp_path}/clients")
+    clients = read_table(spark, f"{tmp_path}/clients", schemas.CLIENTS)
+    matrix = cohort_matrix(clients)
+    assert "GreaterThanOrEqual(dt_criacao,2023-07-01)" in physical(matrix)
+    assert tuples(matrix) == tuples(cohort_matrix(stored))
+
+
 def test_shared_folders_differ(spark):
     assert shared_folder(spark) != shared_folder(spark)

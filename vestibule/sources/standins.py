@@ -96,7 +96,7 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     client = orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_orderdate").alias("dt_criacao"),
-        F.when(~low, F.col("o_orderpriority")).alias("perfil"),
+        F.when(low, None).otherwise(F.col("o_orderpriority")).alias("perfil"),
         F.col("o_orderstatus").alias("tp_pessoa"),
     )
     updated = lines.withColumnRenamed("l_shipdate", "dt_atualiz").join(client, "l_orderkey")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
+    DateType,
     LongType,
     StringType,
     StructField,
@@ -14,11 +15,14 @@ from pyspark.sql.types import (
 
 # Stored types that serve as well as the declared one and are left as they are:
 # a cast around a column would keep its filters from the scan.
-_EQUIVALENT = {TimestampNTZType(): TimestampType(), LongType(): StringType()}
+_EQUIVALENT = {
+    TimestampNTZType(): (TimestampType(), DateType()),
+    LongType(): (StringType(),),
+}
 
 
 def _as_read(declared: StructField, stored: StructField) -> StructField:
-    if stored.dataType == _EQUIVALENT.get(declared.dataType):
+    if stored.dataType in _EQUIVALENT.get(declared.dataType, ()):
         return StructField(declared.name, stored.dataType)
     return declared
 
