@@ -35,6 +35,8 @@ def test_reports_scan_once_and_only_their_columns(spark, name):
     assert len(scans) == 1
     assert scans[0].count(":") == 3
     assert "SortMergeJoin" not in plan
+    # Distinct ids, then counts; the spine and the final sort need none.
+    assert len(re.findall(r"hashpartitioning|rangepartitioning", plan)) == 2
 
 
 def test_year_and_days_reach_the_scan(spark):

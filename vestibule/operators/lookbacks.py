@@ -62,38 +62,49 @@ def fetch_lookbacks(resolved: DataFrame) -> dict[int, date]:
     return {row.k: row.day for row in resolved.select("k", "day").collect()}
 
 
-def lookback_counts(
+def lookback_profile(
     events: DataFrame,
     days: Mapping[int, date],
+    ks: Sequence[int],
     kind: str,
     partition: Column | None = None,
 ) -> DataFrame:
-    """``(k, hora, n)``: distinct ids per hour on the day each lookback reads.
+    """``(hora, d<k>...)``: distinct ids per hour on the day each lookback reads.
 
-    One scan serves all lookbacks. The ids are counted once per (day, hour);
-    two lookbacks that read the same day share that count, which is handed to
-    each of them only after the aggregation.
+    Null where a lookback has no day or saw no event; 0 where all its ids are
+    null. One scan serves all lookbacks, and two that read the same day share
+    its rows. Duplicates go first, in the map tasks and then by (hour, day, id),
+    so a hot id is no hot task; after that, one small shuffle by hour counts
+    every lookback side by side.
     """
     at = F.col("dt_ocorrencia")
-    per_day = (
+    seen = (
         events.filter(F.col("ds_ocorrencia") == kind)
         .filter(on_days(at, days.values(), partition))
-        .groupBy(F.to_date(at).alias("day"), F.hour(at).alias("hora"))
-        .agg(F.count_distinct("cd_cpfcgc").alias("n"))
+        .select(F.hour(at).alias("hora"), F.to_date(at).alias("day"), "cd_cpfcgc")
+        .distinct()
     )
-    readers: Column = F.array().cast("array<int>")
-    for day in set(days.values()):
-        ks = sorted(k for k, read in days.items() if read == day)
-        readers = F.when(F.col("day") == F.lit(day), F.array(*map(F.lit, ks))).otherwise(readers)
-    return per_day.select(F.explode(readers).alias("k"), "hora", "n")
+    cells = [_ids_on(days.get(k)).alias(f"d{k}") for k in ks]
+    return seen.groupBy("hora").agg(*cells) if cells else seen.select("hora").distinct()
 
 
-def lookback_profile(counts: DataFrame, ks: Sequence[int]) -> DataFrame:
-    """``(hora, d<k>...)``: the counts side by side, null where a lookback saw nothing.
+def _ids_on(day: date | None) -> Column:
+    """Number of non-null ids on ``day`` among distinct rows; null without any row."""
+    if day is None:
+        return F.lit(None).cast("bigint")
+    on_day = F.col("day") == F.lit(day)
+    return F.when(F.count_if(on_day) > 0, F.count(F.when(on_day, F.col("cd_cpfcgc"))))
 
-    Masked aggregates over a fixed list: one shuffle of the small counts, where
-    ``pivot`` would take two.
-    """
-    return counts.groupBy("hora").agg(
-        *[F.max(F.when(F.col("k") == k, F.col("n"))).alias(f"d{k}") for k in ks]
-    )
+
+def lookback_counts(
+    events: DataFrame,
+    days: Mapping[int, date],
+    kind: str,
+    partition: Column | None = None,
+) -> DataFrame:
+    """``(k, hora, n)``: the profile as one row per lookback and hour that saw an event."""
+    wide = lookback_profile(events, days, sorted(days), kind, partition)
+    cells = [cell for k in sorted(days) for cell in (F.lit(k), F.col(f"d{k}"))]
+    by_lookback = F.create_map(*cells).cast("map<int, bigint>")
+    long = wide.select("hora", F.explode(by_lookback).alias("k", "n"))
+    return long.filter(F.col("n").isNotNull()).select("k", "hora", "n")

@@ -11,7 +11,6 @@ from vestibule.functions.measures import relative_change
 from vestibule.operators.densify import HOURS, densify
 from vestibule.operators.lookbacks import (
     fetch_lookbacks,
-    lookback_counts,
     lookback_profile,
     resolve_lookbacks,
 )
@@ -38,7 +37,7 @@ def hourly_change(
     ks = (BASE, *EARLIER)
     days = fetch_lookbacks(resolve_lookbacks(calendar, as_of, ks))
     day = None if partition is None else F.col(partition)
-    profile = lookback_profile(lookback_counts(events, days, kind, day), ks)
+    profile = lookback_profile(events, days, ks, kind, day)
     base = F.col(f"d{BASE}")
     return (
         densify(profile, "hora", HOURS)
