@@ -128,7 +128,7 @@ def test_flags_against_brute_force(spark):
     assert set(result) == expected_flags(rows)
 
 
-def test_one_aggregation_equals_two(spark):
+def test_matrix_against_brute_force_from_clients_and_from_sums(spark):
     rows, df = random_clients(spark, 3000, 12)
     flags = expected_flags(rows)
     expected = {}
@@ -143,5 +143,7 @@ def test_one_aggregation_equals_two(spark):
 
         cells = [share(by_gap[k]) if k in by_gap else None for k in range(7)]
         expected[mes] = (*cells, share(sum(f[2] for f in of_month)))
-    result = tuples(completion_matrix(flagged_clients(df, date(2023, 7, 1))))
-    assert {row[0]: row[1:] for row in result} == expected
+    flagged = flagged_clients(df, date(2023, 7, 1))
+    for flags in (flagged, profile_flags_by_gap(flagged)):
+        assert {row[0]: row[1:] for row in tuples(completion_matrix(flags))} == expected
+    assert tuples(cohort_matrix(df)) == [(mes, *cells) for mes, cells in expected.items()]

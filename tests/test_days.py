@@ -93,7 +93,8 @@ def test_on_days_is_half_open(spark):
 
 def test_in_year_is_half_open(spark):
     log = event_log(
-        spark, [("2023-12-31T23:59:59", 1), ("2024-01-01", 2), ("2024-12-31T23:00", 3), ("2025-01-01", 4)]
+        spark,
+        [("2023-12-31T23:59:59", 1), ("2024-01-01", 2), ("2024-12-31T23:00", 3), ("2025-01-01", 4)],
     )
     hit = log.filter(in_year(F.col("dt_ocorrencia"), 2024))
     assert sorted(row.cd_cpfcgc for row in hit.collect()) == [2, 3]

@@ -3,6 +3,7 @@
 from frames import tuples
 from vestibule.operators.frames import bar_frame, drop_stray_columns, format_matrix, series_frame
 from vestibule.plans.pipeline import change_series, hour_bars, month_bars
+from vestibule.sources import schemas
 
 
 def test_bars_carry_their_value_at_half_height(spark):
@@ -25,8 +26,8 @@ def test_series_are_long_and_keep_nulls(spark):
 
 def test_matrix_text(spark):
     row = (1, 12.5, 5.0, None, 0.0, 100.0, 14.38, None, 33.33)
-    schema = "mes int, m0 double, m1 double, m2 double, m3 double, m4 double, m5 double, m6 double, nr double"
-    df = spark.createDataFrame([row, (12, *[None] * 8), (13, *[1.0] * 8)], schema)
+    rows = [row, (12, *[None] * 8), (13, *[1.0] * 8)]
+    df = spark.createDataFrame(rows, schemas.COHORT_MATRIX)
     text = format_matrix(df)
     assert text.columns == df.columns
     assert tuples(text) == [

@@ -80,7 +80,8 @@ def test_a_hot_id_counts_once(spark):
 
 @pytest.mark.parametrize("keys", [range(3), range(0), range(20_000)])
 def test_densify_keeps_the_keys_and_only_them(spark, keys):
-    grouped = spark.createDataFrame([(1, 5, "a"), (-1, 6, "b"), (30_000, 7, "c")], "k int, n int, t string")
+    rows = [(1, 5, "a"), (-1, 6, "b"), (30_000, 7, "c")]
+    grouped = spark.createDataFrame(rows, "k int, n int, t string")
     rows = tuples(densify(grouped, "k", keys, {"n": 0}))
     assert sorted(rows, key=lambda r: r[0]) == [(k, 5, "a") if k == 1 else (k, 0, None) for k in keys]
 

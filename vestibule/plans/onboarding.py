@@ -6,9 +6,15 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from vestibule.operators.cohorts import SINCE, completion_matrix, flagged_clients
+from vestibule.operators.cohorts import (
+    SINCE,
+    completion_matrix,
+    flagged_clients,
+    profile_flags_by_gap,
+)
 
 
 def cohort_matrix(clients: DataFrame, since: date = SINCE, **patterns) -> DataFrame:
     """``(mes, m0..m6, nr)`` in percent; ``patterns`` as in ``flagged_clients``."""
-    return completion_matrix(flagged_clients(clients, since, **patterns)).orderBy("mes")
+    flags = profile_flags_by_gap(flagged_clients(clients, since, **patterns))
+    return completion_matrix(flags).orderBy("mes")
