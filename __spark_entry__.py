@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -137,7 +138,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         hour_bars,
         report_roundtrip,
     )
-    return {query.__name__: query for query in registered}
+    return {query.__name__: query for query in registered} | _optional("queries")
+
+
+def _optional(what: str) -> dict:
+    """``queries`` or ``oracle_sql`` of the training-data operators and their pipeline, if there."""
+    found = {}
+    if _there("vestibule.llm"):
+        from vestibule.llm import queries as llm
+
+        found |= getattr(llm, what)()
+        if _there("corpus_pipeline"):
+            import corpus_pipeline
+
+            if what == "queries":
+                found["pipeline"] = corpus_pipeline.run
+            elif corpus_pipeline.ORACLE_SQL:
+                found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _there(module: str) -> bool:
+    """Whether ``module`` exists; an empty folder in its place does not count."""
+    spec = find_spec(module)
+    return spec is not None and spec.origin is not None
 
 
 # --- The same results in DuckDB SQL, written without the library's code. ---
@@ -290,4 +314,4 @@ def oracle_sql() -> dict[str, str]:
         "hour_bars": bars.format(x="hora")
         + f" FROM (SELECT hora, aberturas_conta AS n FROM ({_OPENINGS_BY_HOUR}))",
         "report_roundtrip": matrix,
-    }
+    } | _optional("oracle_sql")
