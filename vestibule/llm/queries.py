@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vestibule.llm.chat_parts import chat_digests, format_turns, probe_turns, text_parts
 from vestibule.llm.license_scan import scan_licenses
+from vestibule.llm.quality_pu import fit_quality, score_quality
 from vestibule.llm.shard_tree import assign_shards, topology
-from vestibule.llm.shared import read_table
+from vestibule.llm.shared import read_table, written
+from vestibule.llm.winnowing import contaminated, find_contamination
 
 SHARDS = 24
 
@@ -17,6 +21,28 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op2_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return find_contamination(docs, benchmark).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
+def op5_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = probe_turns(spark).unionByName(text_parts(read_table(spark, sf_dir, "conversations")))
+    return chat_digests(written(format_turns(turns), "chat"))
+
+
 def op8_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return assign_shards(docs, topology(SHARDS), topology(SHARDS + 1))
@@ -24,7 +50,13 @@ def op8_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of the operators, by name."""
-    registered = (op1_license_scan, op8_shard_tree)
+    registered = (
+        op1_license_scan,
+        op2_quality_pu,
+        op4_winnowing,
+        op5_chat_parts,
+        op8_shard_tree,
+    )
     return {query.__name__: query for query in registered}
 
 
