@@ -9,12 +9,22 @@ from pyspark.sql import functions as F
 
 from vestibule.llm.chat_parts import chat_digests, format_turns, probe_turns, text_parts
 from vestibule.llm.license_scan import scan_licenses
+from vestibule.llm.packing import pack_documents
 from vestibule.llm.quality_pu import fit_quality, score_quality
 from vestibule.llm.shard_tree import assign_shards, topology
 from vestibule.llm.shared import read_table, written
+from vestibule.llm.wavelet import token_shards
 from vestibule.llm.winnowing import contaminated, find_contamination
 
 SHARDS = 24
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file, at the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,11 +53,19 @@ def op5_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(written(format_turns(turns), "chat"))
 
 
+def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return assign_shards(docs, topology(SHARDS), topology(SHARDS + 1))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of the operators, by name."""
     registered = (
@@ -55,7 +73,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_quality_pu,
         op4_winnowing,
         op5_chat_parts,
+        op6_wavelet_shards,
         op8_shard_tree,
+        op9_best_fit_packing,
     )
     return {query.__name__: query for query in registered}
 
