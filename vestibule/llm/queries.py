@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vestibule.llm.chat_parts import chat_digests, format_turns, probe_turns, text_parts
+from vestibule.llm.cross_polytope import nearest_vectors
 from vestibule.llm.license_scan import scan_licenses
 from vestibule.llm.packing import pack_documents
 from vestibule.llm.quality_pu import fit_quality, score_quality
@@ -16,6 +17,8 @@ from vestibule.llm.shared import read_table, written
 from vestibule.llm.wavelet import token_shards
 from vestibule.llm.winnowing import contaminated, find_contamination
 
+NEIGHBOURS = 20
+QUERY_ONE_IN = 20
 SHARDS = 24
 TOKENIZER = "word_bpe_49k.json"
 
@@ -57,6 +60,11 @@ def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    is_query = F.col("vec_id") % QUERY_ONE_IN == 0
+    return nearest_vectors(read_table(spark, sf_dir, "embeddings"), is_query, NEIGHBOURS)
+
+
 def op8_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return assign_shards(docs, topology(SHARDS), topology(SHARDS + 1))
@@ -74,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_winnowing,
         op5_chat_parts,
         op6_wavelet_shards,
+        op7_cross_polytope,
         op8_shard_tree,
         op9_best_fit_packing,
     )
