@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vestibule.llm.chat_parts import chat_digests, format_turns, probe_turns, text_parts
 from vestibule.llm.cross_polytope import nearest_vectors
+from vestibule.llm.jaccard_join import jaccard_components
 from vestibule.llm.license_scan import scan_licenses
 from vestibule.llm.packing import pack_documents
 from vestibule.llm.quality_pu import fit_quality, score_quality
@@ -39,6 +40,10 @@ def op2_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit_quality(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return find_contamination(docs, benchmark).select(
@@ -79,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_license_scan,
         op2_quality_pu,
+        op3_jaccard_join,
         op4_winnowing,
         op5_chat_parts,
         op6_wavelet_shards,
