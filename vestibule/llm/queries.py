@@ -15,6 +15,7 @@ from vestibule.llm.packing import pack_documents
 from vestibule.llm.quality_pu import fit_quality, score_quality
 from vestibule.llm.shard_tree import assign_shards, topology
 from vestibule.llm.shared import read_table, written
+from vestibule.llm.suffix_dedup import repeated_spans
 from vestibule.llm.wavelet import token_shards
 from vestibule.llm.winnowing import contaminated, find_contamination
 
@@ -79,6 +80,16 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(read_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of the operators, by name."""
     registered = (
@@ -91,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op7_cross_polytope,
         op8_shard_tree,
         op9_best_fit_packing,
+        op10_suffix_dedup,
     )
     return {query.__name__: query for query in registered}
 
