@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -234,3 +235,14 @@ def score_quality(docs: DataFrame, model: Model, text: str = "text") -> DataFram
         "score",
         F.when(F.col("score") >= KEEP_FROM, 1).otherwise(0).alias("predicted"),
     )
+
+
+def keep_quality(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score ``KEEP_FROM`` or more, with all their columns."""
+
+    @F.pandas_udf("double")
+    def score(raws: pd.Series) -> pd.Series:
+        rows = [features(raw) for raw in raws]
+        return pd.Series(model.score(np.array(rows)) if rows else [], dtype="float64")
+
+    return docs.filter(score(utf8(F.col(text))) >= KEEP_FROM)

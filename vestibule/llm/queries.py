@@ -82,7 +82,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(read_table(spark, sf_dir, "documents")).select(
-        "doc_id",
+        "row.doc_id",
         "n_bytes",
         "n_removed",
         F.size("spans").cast("bigint").alias("n_spans"),

@@ -15,7 +15,7 @@ played a part, are confirmed by a second hash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vestibule.llm import packed
 from vestibule.llm.shared import ddl, utf8
@@ -309,7 +310,6 @@ def _confirmed(batch: Batch, rows: pa.Table) -> np.ndarray:
 
 _RESULT = pa.schema(
     [
-        ("doc_id", pa.int64()),
         ("n_bytes", pa.int64()),
         ("n_removed", pa.int64()),
         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
@@ -327,25 +327,40 @@ def _spans_of(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return list(zip(starts[first].tolist(), (starts[last] + length).tolist(), strict=True))
 
 
+def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans without the UTF-8 characters that they hold only in part."""
+    out = []
+    for start, end in spans:
+        while start < end and raw[start] & 0xC0 == 0x80:
+            start += 1
+        while end > start and end < len(raw) and raw[end] & 0xC0 == 0x80:
+            end -= 1
+        if start < end:
+            out.append((start, end))
+    return out
+
+
 def repeated_spans(
     docs: DataFrame,
     text: str = "text",
     length: int = LENGTH,
     gram: int = GRAM,
-    total_bytes: int | None = None,
+    carry: Sequence[str] = ("doc_id",),
+    characters: bool = False,
 ) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, spans, kept)`` per row of ``docs``.
+    """``(row, n_bytes, n_removed, spans, kept)`` per row of ``docs``.
 
     ``spans`` are the bytes ``[start, end)`` covered by a string of ``length`` bytes
     that also starts elsewhere in any row, the same one included, overlapping or
-    not; ``kept`` is what is left. Null, empty and short texts have no such string.
-    Repeated rows repeat each other's strings. Extra columns are not read; an empty
-    table gives no rows. Batches hold whole texts, so a very long text makes a batch
-    of its own size.
+    not; ``kept`` is what is left. With ``characters`` only whole characters are cut,
+    so ``kept`` stays a text. ``row`` is a struct of the columns named in ``carry``;
+    others are not read. Null, empty and short texts have no such string. Repeated
+    rows repeat each other's strings. An empty table gives no rows. Batches hold
+    whole texts, so a very long text makes a batch of its own size.
     """
-    rows = docs.select("doc_id", utf8(F.col(text)).alias("raw"))
-    if total_bytes is None:
-        total_bytes = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
+    raw = utf8(F.col(text)).alias("raw")
+    rows = docs.select("doc_id", raw, F.struct(*carry).alias("row"))
+    total_bytes = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
     n_batches = max(packed.LEAST, -(-total_bytes // BATCH_BYTES))
     buckets = max(packed.LEAST, -(-total_bytes // (4 * BUCKET_VALUES)))
     width = gram if gram < length else length
@@ -378,6 +393,8 @@ def repeated_spans(
         for i, raw in enumerate(raws):
             own = starts[bounds[i] : bounds[i + 1]] - batch.begins[i]
             spans, kept, at = _spans_of(own, length), [], 0
+            if characters:
+                spans = whole_characters(raw, spans)
             for start, end in spans:
                 kept.append(raw[at:start])
                 at = end
@@ -386,10 +403,10 @@ def repeated_spans(
             out["n_removed"].append(sum(e - s for s, e in spans))
             out["n_bytes"].append(len(raw))
             out["kept"].append(b"".join(kept))
-        out["doc_id"] = table.column("doc_id")
-        return pa.table(out, schema=_RESULT)
+        return pa.table(out, schema=_RESULT).add_column(0, "row", table.column("row"))
 
-    dealt = rows.withColumn("batch", packed.batch_of(F.col("doc_id"), n_batches)).groupBy("batch")
+    batch = packed.batch_of(F.col("doc_id"), n_batches)
+    dealt = rows.select("raw", "row", batch.alias("batch")).groupBy("batch")
     request = ddl(packed.REQUEST)
 
     def answers(asked: DataFrame, answer, stage: int) -> DataFrame:
@@ -400,5 +417,6 @@ def repeated_spans(
     told = told.unionByName(answers(asked, _answer_bits, 2))
     asked = dealt.cogroup(told.groupBy("batch")).applyInArrow(ask_again, request)
     told = told.unionByName(answers(asked, _answer_bits, 3))
-    return dealt.cogroup(told.groupBy("batch")).applyInArrow(cut, ddl(_RESULT))
+    result = StructType([rows.schema["row"], *StructType.fromDDL(ddl(_RESULT)).fields])
+    return dealt.cogroup(told.groupBy("batch")).applyInArrow(cut, result)
 
