@@ -1,0 +1,63 @@
+import random
+
+import numpy as np
+import pytest
+from cases import documents, edited, frame, jaccard_components, prose
+
+from vestibule.llm import jaccard_join as jj
+
+
+def got(spark, rows):
+    return sorted(map(tuple, jj.jaccard_components(frame(spark, rows)).collect()))
+
+
+def test_against_all_pairs(spark):
+    rows = documents()
+    assert got(spark, rows) == jaccard_components(rows)
+
+
+def test_frequent_tokens_meet_in_pairs(spark, monkeypatch):
+    """A group that is large against the limit of single tokens, most of it apart."""
+    monkeypatch.setattr(jj, "RARE", 3)
+    monkeypatch.setattr(jj, "BLOCK_NODES", 4)
+    rng = random.Random(5)
+    base = prose(rng, 80)
+    rows = [(i, edited(rng, base, rng.randrange(0, 4))) for i in range(60)]
+    rows += [(100 + i, edited(rng, prose(rng, 30), 1)) for i in range(10)]
+    want = jaccard_components(rows)
+    assert got(spark, rows) == want
+    assert len({c for _, _, c in want}) > 12
+
+
+def test_no_rows_and_only_null(spark):
+    assert got(spark, []) == []
+    assert got(spark, [(3, None), (1, ""), (2, " \n")]) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_linked_sets_share_a_key(seed, monkeypatch):
+    """Whatever the frequencies, two sets at the threshold meet under some key."""
+    monkeypatch.setattr(jj, "RARE", 3)
+    rng = np.random.default_rng(seed)
+    for _ in range(150):
+        n = int(rng.integers(4, 120))
+        common = rng.integers(1, 1 << 62, n, dtype=np.uint64)
+        extra = int(n * 0.25)
+        split = int(rng.integers(0, extra + 1))
+        own = rng.integers(1, 1 << 62, extra, dtype=np.uint64)
+        x = np.unique(np.concatenate([common, own[:split]]))
+        y = np.unique(np.concatenate([common, own[split:]]))
+        assert 100 * n >= 80 * (n + extra)
+        every = np.unique(np.concatenate([x, y]))
+        times = rng.integers(2, 8, len(every))
+        if np.array_equal(x, y):
+            continue
+        hx, hy = (jj.signatures(s, times[np.searchsorted(every, s)]) for s in (x, y))
+        assert len(np.intersect1d(hx, hy))
+
+
+def test_levels_of_linked_sizes():
+    for n in range(1, 3000):
+        most = n * 100 // 80
+        assert jj.level_of(most) - jj.level_of(n) in (0, 1)
+        assert jj.level_classes(jj.level_of(n)) <= max(1, n * 20 // 100)

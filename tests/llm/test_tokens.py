@@ -1,0 +1,175 @@
+"""Token shards and packing, both against the tokenizers library itself."""
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from cases import documents, frame
+from tokenizers import Tokenizer
+
+from vestibule.llm import packing, token_ids, wavelet
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+PIECES = ["a", "B", "'", "'s", "'ll", "<|", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", " "]
+PIECES += ["\n", "\t", "é", "é", "=", "̸", "—", "…", "中", "1", "٣", ".", "!!", "|", "İ", "Σ"]
+PIECES += [" ", "\x00", "\x0b", "\x1c", "\x85", "�", "😀", "_", "[", "‍", "'RE", "~"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def ids_of(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("limits", [None, (50, 10, 300)])
+def test_encoder_equals_the_library(library, limits, monkeypatch):
+    if limits:
+        for name, value in zip(("REMEMBERED", "RECENT", "BLOCK"), limits, strict=True):
+            monkeypatch.setattr(token_ids, name, value)
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(PIECES, k=rng.randrange(30))) for _ in range(3000)]
+    texts += ["", "a" * 70000, "é" * 40000, "x, " * 100]
+    ids, first = token_ids.Encoder(PATH).encode([t.encode() for t in texts])
+    for i, text in enumerate(texts):
+        assert ids[first[i] : first[i + 1]].tolist() == ids_of(library, text), text
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_shards_hold_all_ids_in_order(spark, library):
+    rows = documents(2)
+    got = wavelet.token_shards(frame(spark, rows), PATH, shard_ids=700).collect()
+    want, start = [], 0
+    for doc_id, text in sorted(rows, key=lambda r: (r[0], r[1] or "")):
+        ids = [*ids_of(library, text), 2]
+        want.append((doc_id, start, len(ids), crc(ids)))
+        start += len(ids)
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert wavelet.token_shards(frame(spark, []), PATH).count() == 0
+
+
+@pytest.mark.parametrize("top", [1, 2, 7, 300, 50000, 1 << 20])
+@pytest.mark.parametrize("n", [0, 1, 9, 1500])
+def test_wavelet_matrix(top, n):
+    ids = np.random.default_rng(n).integers(0, top, n).astype(np.uint32)
+    ids[: n // 3] = ids[:1].sum()
+    data = wavelet.write_shard(ids, np.array([5, 0]), np.array([True, False]), np.array([n // 2, n]))
+    matrix, docs, ends = wavelet.read_shard(data)
+    assert docs == [5, None] and ends.tolist() == [n // 2, n]
+    assert matrix.ids().tolist() == ids.tolist()
+    for at in range(0, n, 37):
+        assert matrix.access(at) == ids[at]
+    for value in {*ids[:5].tolist(), 0, top, 1 << 25}:
+        places = np.flatnonzero(ids == value).tolist()
+        assert matrix.count(value) == len(places)
+        assert list(matrix.find(value))[:50] == places[:50]
+        for at in (0, n // 2, n):
+            assert matrix.rank(value, at) == sum(p < at for p in places)
+    with pytest.raises(IndexError):
+        matrix.access(n)
+    with pytest.raises(ValueError, match="not a shard"):
+        wavelet.read_shard(b"x" * 40)
+
+
+def test_every_piece_is_packed_once(spark, library):
+    rows, capacity = documents(2), 256
+    got = packing.pack_documents(frame(spark, rows), PATH, capacity=capacity).collect()
+    want = Counter()
+    for doc_id, text in rows:
+        ids = [*ids_of(library, text), 1]
+        for k, start in enumerate(range(0, len(ids), capacity)):
+            part = ids[start : start + capacity]
+            want[doc_id, k, start, len(part), crc(part)] += 1
+    assert Counter(tuple(r)[:5] for r in got) == want
+    sequences = defaultdict(list)
+    for row in got:
+        sequences[row.sequence_id].append((row.offset, row.length))
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    total = sum(length for places in sequences.values() for _, length in places)
+    assert len(sequences) <= 1.1 * total / capacity + 1
+    assert packing.pack_documents(frame(spark, []), PATH).count() == 0
+
+
+def filled(plan):
+    """Pieces per sequence, from the slots of a plan."""
+    out = defaultdict(list)
+    for length, _, n, first, offset in plan.slots:
+        for k in range(n):
+            out[first + k].append((offset, length))
+    return out
+
+
+def fewest(lengths, capacity):
+    """The smallest number of sequences, by trying everything."""
+    lengths = sorted(lengths, reverse=True)
+    best = len(lengths)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for room in {r for r in rooms if r >= lengths[i]}:
+            rest = list(rooms)
+            rest[rest.index(room)] -= lengths[i]
+            place(i + 1, rest)
+        place(i + 1, [*rooms, capacity - lengths[i]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_reduction_keeps_the_best_packing(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice((10, 17, 30))
+    lengths = [rng.randrange(1, capacity + 1) for _ in range(rng.randrange(1, 10))]
+    plan = packing.Plan(capacity, dict(Counter(lengths)))
+    packing.reduce_dominated(plan)
+    left = list(Counter(plan.left).elements())
+    assert plan.sequences + fewest(left, capacity) == fewest(lengths, capacity)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_plan_places_everything(seed):
+    rng = random.Random(seed)
+    counts = {rng.randrange(1, 65): rng.randrange(1, 10**6) for _ in range(rng.randrange(1, 50))}
+    plan = packing.pack_lengths(counts, 64)
+    ranks = defaultdict(list)
+    for length, first_rank, n, _, _ in plan.slots:
+        ranks[length].append((first_rank, n))
+    for length, n in counts.items():
+        end = 0
+        for first, some in sorted(ranks[length]):
+            assert first == end
+            end += some
+        assert end == n
+    small = packing.pack_lengths({k: v % 50 + 1 for k, v in counts.items()}, 64)
+    for places in filled(small).values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= 64
+    total = sum(k * v for k, v in counts.items())
+    assert plan.sequences >= total / 64
+
+
+def test_a_piece_longer_than_a_sequence_is_an_error():
+    with pytest.raises(ValueError, match="does not fit"):
+        packing.pack_lengths({11: 1}, 10)

@@ -1,0 +1,80 @@
+import random
+
+import numpy as np
+import pytest
+from cases import frame, prose, words
+from pyspark.sql import functions as F
+
+from vestibule.llm import winnowing as wn
+
+
+def brute(rows, items, window=13):
+    wanted = {}
+    for item, text in items:
+        held = words(text)
+        n = min(window, len(held))
+        for k in range(len(held) - n + 1 if n else 0):
+            wanted.setdefault(tuple(held[k : k + n]), set()).add(item)
+    sizes = {len(w) for w in wanted}
+    out = []
+    for doc_id, text in rows:
+        held, hit, found = words(text), set(), set()
+        for n in sizes:
+            for k in range(len(held) - n + 1):
+                if tuple(held[k : k + n]) in wanted:
+                    hit |= set(range(k, k + n))
+                    found |= wanted[tuple(held[k : k + n])]
+        spans = [k for k in sorted(hit) if k - 1 not in hit]
+        out.append((doc_id, len(held), len(hit), sorted(str(i) for i in found if i is not None), len(spans)))
+    return sorted(out)
+
+
+def planted(seed):
+    rng = random.Random(seed)
+    items = [(i, prose(rng, n)) for i, n in enumerate((1, 3, 5, 6, 12, 13, 14, 40, 60, 13, 13))]
+    items += [(20, None), (21, ""), (7, items[7][1]), (30, items[7][1]), (None, prose(rng, 20))]
+    items.append((40, "la " * 30))
+    rows = [(0, None), (1, ""), (2, "w1"), (3, "la " * 50), (4, "la " * 12)]
+    for i in range(60):
+        text = prose(rng, rng.randrange(0, 200)).split()
+        for _ in range(rng.randrange(3)):
+            part = (rng.choice(items)[1] or "").split()
+            start = rng.randrange(len(part) + 1)
+            at = rng.randrange(len(text) + 1)
+            text[at:at] = part[start : start + rng.randrange(5, 30)]
+        rows.append((10 + i, rng.choice([" ", "-", ". "]).join(text).title()))
+    return rows + rows[:3], items
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_against_all_windows(spark, seed):
+    rows, items = planted(seed)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string").withColumn("fp", F.lit(1))
+    got = wn.find_contamination(frame(spark, rows), benchmark).collect()
+    found = sorted((r.doc_id, r.n_words, r.n_hit, r["items"], len(r.spans)) for r in got)
+    assert found == brute(rows, items)
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    got = wn.find_contamination(frame(spark, [(1, "a b c")]), none).collect()
+    assert [(r.n_words, r.n_hit, r["items"]) for r in got] == [(3, 0, [])]
+    assert wn.find_contamination(frame(spark, []), none).count() == 0
+
+
+def test_every_long_shared_run_keeps_a_common_gram():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        run = rng.integers(0, 1 << 62, 13, dtype=np.uint64) % np.uint64(rng.integers(2, 9))
+        texts = [
+            np.concatenate([rng.integers(9, 99, n, dtype=np.uint64), run, rng.integers(9, 99, 9, dtype=np.uint64)])
+            for n in rng.integers(0, 20, 2)
+        ]
+        kept = [set(wn.winnow(t, 13)[1].tolist()) for t in texts]
+        assert kept[0] & kept[1]
+
+
+def test_contaminated_from_a_twentieth(spark):
+    rows = spark.createDataFrame([(0, 0), (1, 20), (1, 21), (0, 5)], "h int, n int")
+    got = rows.select(wn.contaminated(F.col("h"), F.col("n")).alias("c")).collect()
+    assert [r.c for r in got] == [False, True, False, False]

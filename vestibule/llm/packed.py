@@ -55,7 +55,13 @@ def batch_count(total_bytes: int) -> int:
 
 
 REQUEST = pa.schema(
-    [("bucket", pa.int32()), ("batch", pa.int32()), ("found", pa.binary()), ("times", pa.binary())]
+    [
+        ("bucket", pa.int32()),
+        ("batch", pa.int32()),
+        ("found", pa.binary()),
+        ("times", pa.binary()),
+        ("check", pa.binary()),
+    ]
 )
 ANSWER = pa.schema([("batch", pa.int32()), ("bucket", pa.int32()), ("answer", pa.binary())])
 
@@ -67,8 +73,13 @@ def bucket_bounds(values: np.ndarray, buckets: int) -> np.ndarray:
     return np.append(first, len(values))
 
 
-def requests(batch: int, values: np.ndarray, times: np.ndarray, buckets: int) -> pa.Table:
-    """Rows that ask for the totals of sorted distinct ``values``, one per bucket in use."""
+def requests(
+    batch: int, values: np.ndarray, times: np.ndarray, buckets: int, check: np.ndarray | None = None
+) -> pa.Table:
+    """Rows that ask for the totals of sorted distinct ``values``, one per bucket in use.
+
+    Where ``check``, another 32 bits per value, is given, only values that agree in it count together.
+    """
     first = bucket_bounds(values, buckets)
     used = [b for b in range(buckets) if first[b] < first[b + 1]]
     parts = [slice(int(first[b]), int(first[b + 1])) for b in used]
@@ -78,6 +89,7 @@ def requests(batch: int, values: np.ndarray, times: np.ndarray, buckets: int) ->
             "batch": [batch] * len(used),
             "found": [pack_sorted(values[p]) for p in parts],
             "times": [pack(times[p].astype(np.uint32)) for p in parts],
+            "check": [None if check is None else pack(check[p].astype(np.uint32)) for p in parts],
         },
         schema=REQUEST,
     )
@@ -94,10 +106,17 @@ def totals(asked: DataFrame, answer) -> DataFrame:
         order = np.argsort(every, kind="stable")
         every = every[order]
         first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
-        total = np.add.reduceat(np.concatenate(times)[order].astype(np.uint64), first)
+        weights = np.concatenate(times)[order].astype(np.uint64)
+        total = np.add.reduceat(weights, first)
         distinct = every[first]
-        del every, order
-        answers = [answer(v, total[np.searchsorted(distinct, v)]) for v in found]
+        answers = [total[np.searchsorted(distinct, v)] for v in found]
+        if rows["check"][0] is not None:
+            checks = [unpack(data, np.uint32) for data in rows["check"]]
+            joined = np.concatenate(checks)[order]
+            low, high = np.minimum.reduceat(joined, first), np.maximum.reduceat(joined, first)
+            for value in distinct[low != high]:  # two values in one: counted apart
+                _count_apart(value, found, times, checks, answers)
+        answers = [answer(v, n) for v, n in zip(found, answers, strict=True)]
         return pa.table(
             {"batch": rows["batch"], "bucket": rows["bucket"], "answer": answers}, schema=ANSWER
         )
@@ -105,6 +124,13 @@ def totals(asked: DataFrame, answer) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(count, ddl(ANSWER))
 
 
+def _count_apart(value, found, times, checks, answers) -> None:
+    places = [(i, int(np.searchsorted(v, value))) for i, v in enumerate(found)]
+    places = [(i, k) for i, k in places if k < len(found[i]) and found[i][k] == value]
+    for i, k in places:
+        answers[i][k] = sum(int(times[j][m]) for j, m in places if checks[j][m] == checks[i][k])
+
+
 def in_bucket_order(table: pa.Table) -> Iterator[bytes]:
     """The answers that a batch got, by bucket and so by value."""
     rows = sorted(zip(table.column("bucket").to_pylist(), table.column("answer").to_pylist()))

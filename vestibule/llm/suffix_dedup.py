@@ -8,9 +8,8 @@ anchor and place and sorted by a mergesort that compares two suffixes in a
 logarithmic number of steps: prefix polynomial hashes tell whether their first
 ``m`` bytes agree, so a binary search finds how far they do, and the next byte
 decides. Neighbours that agree throughout are checked byte by byte. The sorted
-runs of all batches are merged by the hash of the whole suffix; a suffix that
-stands in two places marks its bytes, and single finds, where chance could have
-played a part, are confirmed by a second hash.
+runs of all batches are merged by the hash of the whole suffix, with a second hash
+to tell collisions apart; a suffix that stands in two places marks its bytes.
 """
 
 from __future__ import annotations
@@ -34,8 +33,6 @@ GRAM = 64
 # Bytes of text in a batch, and suffixes in a bucket, on average.
 BATCH_BYTES = 8 << 20
 BUCKET_VALUES = 4 << 20
-# Finds in a row from which chance is ruled out without a second hash.
-SURE = 8
 # Bytes of text that are hashed at a time; longer texts go in overlapping pieces.
 PIECE_BITS = 19
 PIECE = 1 << PIECE_BITS
@@ -223,9 +220,12 @@ class Batch:
         return np.concatenate(starts), np.concatenate(keys)
 
     def sorted_classes(self, starts: np.ndarray, keys: np.ndarray):
-        """Hash and number of each class of equal suffixes, from the suffix sort."""
+        """Hash, number and a second hash of each class of equal suffixes, from the suffix sort.
+
+        Classes come in the order of their hashes.
+        """
         if not len(starts):
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
+            return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint32)
         h = _Hashes(prefix_hashes(self.block), starts)
         whole = span_hash(h.values, starts, self.length)
         order = merge_sort(self.block, h, whole, keys, self.length)
@@ -233,7 +233,14 @@ class Batch:
         equal = np.append(False, (hashes[1:] == hashes[:-1]) & (keys[order][1:] == keys[order][:-1]))
         self._check(starts[order], np.flatnonzero(equal))
         first = np.flatnonzero(~equal)
-        return mix(hashes[first]), np.diff(np.append(first, len(order)))
+        times = np.diff(np.append(first, len(order)))
+        values = mix(hashes[first])
+        by_value = np.argsort(values, kind="stable")
+        values = values[by_value]
+        if (values[1:] == values[:-1]).any():
+            raise ValueError("two different byte strings share a hash")
+        check = self.hashes_of(starts[order[first]][by_value], 1) >> np.uint64(32)
+        return values, times[by_value], check.astype(np.uint32)
 
     def _check(self, starts: np.ndarray, equal: np.ndarray) -> None:
         """Neighbours with equal hashes must be equal byte by byte."""
@@ -241,7 +248,7 @@ class Batch:
         for part in range(0, len(equal), 4096):
             at = equal[part : part + 4096]
             if not np.array_equal(view[starts[at]], view[starts[at - 1]]):
-                raise ValueError("two different byte strings share a hash; change the seed")
+                raise ValueError("two different byte strings share a hash")
 
     def hashes_of(self, starts: np.ndarray, which: int) -> np.ndarray:
         """The hash of every suffix that starts at one of ``starts``."""
@@ -249,14 +256,6 @@ class Batch:
         return mix(span_hash(h, starts, self.length, which))
 
 
-def _runs(starts: np.ndarray, length: np.ndarray | int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """First and one past the last index of runs of consecutive starts."""
-    if not len(starts):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    first = np.flatnonzero(np.append(True, np.diff(starts) != length))
-    return first, np.append(first[1:], len(starts))
-
-
 def _texts(docs: pa.Table) -> list[bytes]:
     return docs.column("raw").to_pylist()
 
@@ -289,23 +288,13 @@ def _flags(rows: pa.Table, stage: int) -> np.ndarray:
     return np.concatenate(parts).astype(bool) if parts else np.empty(0, bool)
 
 
-def _found(batch: Batch, rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of suffixes whose hash stands twice, and whether each is sure by its neighbours."""
+def _found(batch: Batch, rows: pa.Table) -> np.ndarray:
+    """Starts of the suffixes that stand in more than one place."""
     starts = np.sort(batch.suffixes(_repeated(rows))[0])
+    if not len(starts):
+        return starts
     _, inverse = np.unique(batch.hashes_of(starts, 0), return_inverse=True)
-    starts = starts[_flags(rows, 2)[inverse]] if len(starts) else starts
-    first, last = _runs(starts)
-    return starts, np.repeat(last - first >= SURE, last - first)
-
-
-def _confirmed(batch: Batch, rows: pa.Table) -> np.ndarray:
-    """Starts of suffixes that stand twice, single finds by both hashes."""
-    starts, sure = _found(batch, rows)
-    open_starts = starts[~sure]
-    _, inverse = np.unique(batch.hashes_of(open_starts, 1), return_inverse=True)
-    if len(open_starts):
-        sure[~sure] = _flags(rows, 3)[inverse]
-    return starts[sure]
+    return starts[_flags(rows, 2)[inverse]]
 
 
 _RESULT = pa.schema(
@@ -373,21 +362,13 @@ def repeated_spans(
 
     def ask_suffixes(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
         batch = Batch(_texts(table), length, width)
-        hashes, times = batch.sorted_classes(*batch.suffixes(_repeated(told)))
-        values, of_class = np.unique(hashes, return_inverse=True)
-        times = np.bincount(of_class, times, len(values)).astype(np.int64)
-        return packed.requests(key[0].as_py(), values, times, buckets)
-
-    def ask_again(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
-        batch = Batch(_texts(table), length, width)
-        starts, sure = _found(batch, told)
-        values, times = np.unique(batch.hashes_of(starts[~sure], 1), return_counts=True)
-        return packed.requests(key[0].as_py(), values, times, buckets)
+        values, times, check = batch.sorted_classes(*batch.suffixes(_repeated(told)))
+        return packed.requests(key[0].as_py(), values, times, buckets, check)
 
     def cut(table: pa.Table, told: pa.Table) -> pa.Table:
         raws = _texts(table)
         batch = Batch(raws, length, width)
-        starts = _confirmed(batch, told)
+        starts = _found(batch, told)
         bounds = np.searchsorted(starts, np.append(batch.begins, len(batch.block)))
         out = {name: [] for name in _RESULT.names}
         for i, raw in enumerate(raws):
@@ -415,8 +396,6 @@ def repeated_spans(
     told = answers(dealt.applyInArrow(ask_anchors, request), _answer_values, 1)
     asked = dealt.cogroup(told.groupBy("batch")).applyInArrow(ask_suffixes, request)
     told = told.unionByName(answers(asked, _answer_bits, 2))
-    asked = dealt.cogroup(told.groupBy("batch")).applyInArrow(ask_again, request)
-    told = told.unionByName(answers(asked, _answer_bits, 3))
     result = StructType([rows.schema["row"], *StructType.fromDDL(ddl(_RESULT)).fields])
     return dealt.cogroup(told.groupBy("batch")).applyInArrow(cut, result)
 
