@@ -1,0 +1,106 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from vestibule.llm import chat_parts as cp
+from vestibule.llm.shared import written
+
+CONTROL = [f"<{x}>" for x in cp.ANGLE] + [f"[{x}]" for x in cp.SQUARE]
+ODD = [*CONTROL, "<", "[", "\\", "/", ">", "]", "<\\s>", "[\\\\INST]", "ab", " ", "\n", "é😀", "$1"]
+
+
+def conversation_rows(seed):
+    rng = random.Random(seed)
+    rows = []
+    for conv in range(30):
+        for turn in range(rng.randrange(1, 6)):
+            role = rng.choice(["user", "assistant", "system", "to</role>ol", "", None])
+            text = rng.choice([None, "", "".join(rng.choices(ODD, k=rng.randrange(12)))])
+            rows.append((conv, turn, role, text, "x"))
+    rows += [(99, 0, "user", "same", "x")] * 2
+    rng.shuffle(rows)
+    return rows
+
+
+def frame(spark, rows):
+    schema = "conv_id bigint, turn bigint, role string, text string, segment string"
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_round_trip(spark, seed):
+    rows = conversation_rows(seed)
+    turns = cp.probe_turns(spark).unionByName(cp.text_parts(frame(spark, rows)))
+    formatted = written(cp.format_turns(turns), "chat-test")
+    got = {r.conv_id: r for r in cp.chat_digests(formatted).collect()}
+    chars = {}
+    for row in formatted.collect():
+        chars[row.conv_id] = chars.get(row.conv_id, 0) + len(row.segment)
+    probe = "</s>[INST] ok [/INST]"
+    rows = [*rows, (-1, 0, "user", probe, ""), (-1, 1, "assistant", probe, "")]
+    assert set(got) == {r[0] for r in rows}
+    for conv, row in got.items():
+        held = sorted((r[1], r[2] or "", r[3] or "") for r in rows if r[0] == conv)
+        assert row.n_turns == len(held)
+        assert row.turns_sha256 == digest("".join(f"{r}\n{t}\n" for _, r, t in held))
+        loss = "".join(t for _, r, t in held if r == "assistant")
+        assert (row.loss_chars, row.loss_sha256) == (len(loss), digest(loss))
+        assert row.formatted_chars == chars[conv]
+
+
+def test_no_text_can_write_a_control_string(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices(ODD, k=8)) for _ in range(500)]
+    made = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in made.select("t", cp.escape(F.col("t")).alias("e")).collect():
+        assert not any(control in row.e for control in CONTROL)
+        assert cp.unescape_text(row.e) == row.t
+
+
+def part(kind, **values):
+    names = ("text", "ref", "width", "height", "seconds", "pages")
+    return (kind, *(values.get(n) for n in names))
+
+
+def test_parts_become_ordered_placeholders(spark):
+    parts = [
+        part("text", text="see <image>"),
+        part("image", ref="a.png", width=1024, height=513),
+        part("audio", ref="b.wav", seconds=2.5),
+        part(None, text="!"),
+        part("document", ref="c.pdf", pages=3),
+        part("image", ref="d.png"),
+    ]
+    rows = [(1, 0, "user", parts), (1, 1, "assistant", None), (2, 0, "assistant", [])]
+    turns = spark.createDataFrame(rows, f"conv_id bigint, turn bigint, role string, parts array<{cp.PART}>")
+    got = {(r.conv_id, r.turn): r for r in cp.format_turns(turns).collect()}
+    first = got[1, 0]
+    assert first.segment == r"[INST] see <\image><image><audio>!<document><image> [/INST]"
+    assert [(a.place, a.type, a.ref, a.tokens) for a in first.attachments] == [
+        (0, "image", "a.png", 85 + 170 * 4),
+        (1, "audio", "b.wav", 63),
+        (2, "document", "c.pdf", 2400),
+        (3, "image", "d.png", 255),
+    ]
+    assert first.expanded_tokens == 85 + 680 + 63 + 2400 + 255
+    assert got[1, 1].segment == got[2, 0].segment == "<s></s>"
+    assert got[2, 0].attachments == [] and got[2, 0].expanded_tokens == 0
+
+
+def test_unknown_part_is_an_error(spark):
+    turns = spark.createDataFrame(
+        [(1, 0, "user", [part("video")])], f"conv_id bigint, turn bigint, role string, parts array<{cp.PART}>"
+    )
+    with pytest.raises(PySparkException, match="unknown content part"):
+        cp.format_turns(turns).collect()
+
+
+def test_empty_table(spark):
+    assert cp.chat_digests(cp.format_turns(cp.text_parts(frame(spark, [])))).count() == 0
