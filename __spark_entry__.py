@@ -15,17 +15,18 @@ from pyspark.sql import functions as F
 from vestibule.operators.cohorts import flagged_clients
 from vestibule.operators.cohorts import profile_flags_by_gap as sum_flags
 from vestibule.operators.densify import HOURS, densify, distinct_ids
-from vestibule.operators.frames import format_matrix
+from vestibule.operators.frames import bar_frame, format_matrix
 from vestibule.operators.lookbacks import (
     fetch_lookbacks,
     lookback_counts as count_lookbacks,
-    resolve_lookbacks,
+    lookback_profile,
     resolve_lookbacks_of,
 )
 from vestibule.plans import change, onboarding, openings, pipeline
 from vestibule.session import shared_folder
 from vestibule.sources import schemas, standins
 from vestibule.sources.reports import read_report, write_report
+from vestibule.sources.tables import read_table
 
 LOOKBACKS = (change.BASE, *change.EARLIER)
 
@@ -50,7 +51,8 @@ def spine_densify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers per hour over all orders, which all lie at midnight: 23 hours to fill."""
     log = standins.order_log(spark, sf_dir)
     hour = F.hour("dt_ocorrencia").alias("hora")
-    return densify(distinct_ids(log, hour, F.col("cd_cpfcgc"), "n"), "hora", HOURS, {"n": 0})
+    counts = distinct_ids(log, hour, F.col("cd_cpfcgc"), "n")
+    return densify(F.broadcast(counts), "hora", HOURS, {"n": 0})  # at most 24 rows
 
 
 def business_day_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,9 +68,8 @@ def business_day_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookback_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved = resolve_lookbacks(standins.calendar(spark), standins.AS_OF, LOOKBACKS)
-    log = standins.event_log(spark, sf_dir)
-    return count_lookbacks(log, fetch_lookbacks(resolved), standins.SIGNUP)
+    days = fetch_lookbacks(standins.calendar(spark), standins.AS_OF, LOOKBACKS)
+    return count_lookbacks(standins.event_log(spark, sf_dir), days, standins.SIGNUP)
 
 
 def hourly_change(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +115,39 @@ def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_report(spark, folder, "cohort_matrix", schemas.COHORT_MATRIX)
 
 
+def openings_by_hour_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events copied into a log partitioned by the day after, and read by that column."""
+    path = f"{shared_folder(spark)}/events"
+    log = standins.event_log(spark, sf_dir)
+    loaded = log.withColumn("dia", F.date_add(F.to_date("dt_ocorrencia"), 1))
+    loaded.repartition("dia").write.partitionBy("dia").parquet(path)
+    copy = read_table(spark, path, schemas.EVENT_LOG, "dia")
+    kind, as_of = standins.SIGNUP, standins.AS_OF
+    return openings.openings_by_hour(copy, as_of, kind, partition="dia", late_days=1)
+
+
+def cohort_matrix_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix from a later day on: some cells have no client."""
+    clients = standins.clients(spark, sf_dir)
+    return onboarding.cohort_matrix(clients, standins.SPARSE_SINCE, **standins.PATTERNS)
+
+
+def cohort_matrix_stray_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """That matrix as a CSV report with a column that has no name, read back as a text table."""
+    folder = shared_folder(spark)
+    stray = cohort_matrix_sparse(spark, sf_dir).withColumn("Unnamed: 9", F.col("mes"))
+    path = write_report(stray, folder, "cohort_matrix")
+    return format_matrix(spark.read.option("header", True).csv(path))
+
+
+def lookback_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of the last business day's profile; an hour without events has no bar."""
+    days = fetch_lookbacks(standins.calendar(spark), standins.AS_OF, LOOKBACKS)
+    log = standins.event_log(spark, sf_dir)
+    profile = lookback_profile(log, days, LOOKBACKS, standins.SIGNUP)
+    return bar_frame(profile, "hora", f"d{change.BASE}", skip_null=True)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the hourly change report on the smallest sample."""
     return hourly_change(spark, "/root/testdata/sf0.001")
@@ -137,6 +171,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         month_bars,
         hour_bars,
         report_roundtrip,
+        openings_by_hour_partitioned,
+        cohort_matrix_sparse,
+        cohort_matrix_stray_text,
+        lookback_bars,
     )
     return {query.__name__: query for query in registered} | _optional("queries")
 
@@ -255,9 +293,10 @@ flags AS (
 )
 """
 
+_SPARSE_FLAGS = _FLAGS.replace("DATE '1998-07-01'", "DATE '2000-06-01'")
+
 _MATRIX = (
-    _FLAGS
-    + ", totals AS (SELECT mes, nullif(sum(sem) + sum(com), 0) AS total, sum(sem) AS sem "
+    ", totals AS (SELECT mes, nullif(sum(sem) + sum(com), 0) AS total, sum(sem) AS sem "
     + "FROM flags GROUP BY mes), matrix AS (SELECT mes, "
     + "".join(
         f"round(100 * max(com) FILTER (gap = {k}) / max(total)::DOUBLE, 2) AS m{k}, "
@@ -267,6 +306,12 @@ _MATRIX = (
     + "FROM flags JOIN totals USING (mes) GROUP BY mes)"
 )
 
+_MATRIX_TEXT = (
+    " SELECT ['Jan','Fev','Mar','Abr','Mai','Jun','Jul','Ago','Set','Out','Nov','Dez'][mes] AS mes, "
+    + "".join(f"coalesce(m{k}::VARCHAR || '%', '') AS m{k}, " for k in range(7))
+    + "nr::VARCHAR || '%' AS nr FROM matrix"
+)
+
 
 def oracle_sql() -> dict[str, str]:
     """The DuckDB counterpart of every query."""
@@ -275,7 +320,8 @@ def oracle_sql() -> dict[str, str]:
         year=2024, name="aberturas_conta",
     )
     change = _CHANGE.format(as_of=standins.AS_OF)
-    matrix = _MATRIX + " SELECT * FROM matrix ORDER BY mes"
+    in_order = " SELECT * FROM matrix ORDER BY mes"
+    matrix = _FLAGS + _MATRIX + in_order
     bars = "SELECT {x} AS x, n AS height, n::VARCHAR AS label, n / 2 AS label_y"
     return {
         "openings_by_month": by_month,
@@ -300,11 +346,12 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT * FROM change ORDER BY hora",
         "profile_flags_by_gap": _FLAGS + "SELECT * FROM flags",
         "cohort_matrix": matrix,
-        "cohort_matrix_text": _MATRIX
-        + "SELECT ['Jan','Fev','Mar','Abr','Mai','Jun','Jul','Ago','Set','Out','Nov','Dez'][mes] "
-        + "AS mes, "
-        + "".join(f"coalesce(m{k}::VARCHAR || '%', '') AS m{k}, " for k in range(7))
-        + "nr::VARCHAR || '%' AS nr FROM matrix",
+        "cohort_matrix_text": _FLAGS + _MATRIX + _MATRIX_TEXT,
+        "openings_by_hour_partitioned": _OPENINGS_BY_HOUR,
+        "cohort_matrix_sparse": _SPARSE_FLAGS + _MATRIX + in_order,
+        "cohort_matrix_stray_text": _SPARSE_FLAGS + _MATRIX + _MATRIX_TEXT,
+        "lookback_bars": _COUNTS.format(as_of=standins.AS_OF)
+        + bars.format(x="hora") + " FROM counted WHERE k = 1",
         "change_series": change
         + "SELECT hora, 'DU3' AS series, du3 AS value FROM change "
         + "UNION ALL SELECT hora, 'DU7', du7 FROM change "

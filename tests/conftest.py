@@ -9,7 +9,8 @@ from vestibule.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("vestibule-tests")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("vestibule-tests", **{"spark.checkpoint.dir": shared})
     yield session
     session.stop()

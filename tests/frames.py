@@ -2,9 +2,15 @@
 
 from datetime import datetime
 
+import __spark_entry__ as contract
+
 from vestibule.sources import schemas
 
 
+# The queries of the reports, without those of optional packages.
+REGISTERED = [n for n, query in contract.queries().items() if query.__module__ == contract.__name__]
+
+
 def at(text):
     return datetime.fromisoformat(text)
 

@@ -58,7 +58,7 @@ def test_resolve_every_weekday_and_flag(spark, weekday, flag, k):
 )
 def test_resolve_real_days(spark, as_of, expected):
     table = calendar(spark, list(dates("2023-11-01", 152, ["2024-01-24"])))
-    days = fetch_lookbacks(resolve_lookbacks(table, date.fromisoformat(as_of), KS))
+    days = fetch_lookbacks(table, date.fromisoformat(as_of), KS)
     assert {k: day.isoformat() for k, day in days.items()} == expected
 
 
@@ -66,7 +66,7 @@ def test_one_hop_is_not_looked_at_again(spark):
     # Monday holiday: reads Sunday. Sunday after a holiday Friday: reads that Friday.
     rows = list(dates("2024-01-01", 60, ["2024-01-22", "2024-01-26"]))
     table = calendar(spark, rows)
-    days = fetch_lookbacks(resolve_lookbacks(table, date(2024, 1, 29), KS))
+    days = fetch_lookbacks(table, date(2024, 1, 29), KS)
     assert days[7] == date(2024, 1, 21)
     assert days[1] == date(2024, 1, 26)
     assert days[3] == date(2024, 1, 25)
@@ -74,7 +74,7 @@ def test_one_hop_is_not_looked_at_again(spark):
 
 def test_a_missing_date_gives_no_row(spark):
     table = calendar(spark, [r for r in dates("2024-01-01", 31) if r[0] != "2024-01-28"])
-    days = fetch_lookbacks(resolve_lookbacks(table, date(2024, 1, 31), KS))
+    days = fetch_lookbacks(table, date(2024, 1, 31), KS)
     assert sorted(days) == [1, 7, 30]
 
 
@@ -82,9 +82,9 @@ def test_a_date_listed_twice_is_an_error(spark):
     rows = list(dates("2024-01-01", 31))
     table = calendar(spark, rows + [("2024-01-30", 2, "False")])
     with pytest.raises(PySparkException, match="twice: 2024-01-30"):
-        fetch_lookbacks(resolve_lookbacks(table, date(2024, 1, 31), KS))
+        fetch_lookbacks(table, date(2024, 1, 31), KS)
     # Not an error for a run that does not use that date.
-    assert len(fetch_lookbacks(resolve_lookbacks(table, date(2024, 1, 30), (1, 3, 7)))) == 3
+    assert len(fetch_lookbacks(table, date(2024, 1, 30), (1, 3, 7))) == 3
 
 
 def test_resolving_many_days_equals_resolving_each(spark):

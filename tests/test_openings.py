@@ -1,13 +1,16 @@
 """Openings per month and per hour."""
 
+import re
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from frames import event_log, tuples
+from frames import event_log, physical, tuples
 from vestibule.operators.densify import HOURS, densify, key_spine
 from vestibule.plans.openings import openings_by_hour, openings_by_month
+from vestibule.sources import schemas
+from vestibule.sources.tables import read_table
 
 AS_OF = date(2024, 3, 11)
 
@@ -86,14 +89,35 @@ def test_densify_keeps_the_keys_and_only_them(spark, keys):
     assert sorted(rows, key=lambda r: r[0]) == [(k, 5, "a") if k == 1 else (k, 0, None) for k in keys]
 
 
-def test_densify_broadcasts_a_bounded_side_only(spark):
+def test_densify_over_a_stepped_range(spark):
+    keys = range(0, 100_000, 1000)
+    grouped = spark.range(100_000).select(F.col("id").cast("int").alias("k"), F.lit(1).alias("n"))
+    assert sorted(tuples(densify(grouped, "k", keys))) == [(k, 1) for k in keys]
+
+
+def test_densify_keeps_rows_that_repeat_a_key(spark):
+    grouped = spark.createDataFrame([(1, 5), (1, 6)], "k int, n int")
+    assert sorted(tuples(densify(grouped, "k", range(3), {"n": 0}))) == [(0, 0), (1, 5), (1, 6), (2, 0)]
+
+
+@pytest.mark.parametrize("n", [24, 20_000])
+def test_densify_never_asks_for_a_broadcast(spark, n):
     grouped = spark.range(100).groupBy((F.col("id") % 50).alias("k")).count()
-    plans = {
-        n: densify(grouped, "k", range(n))._jdf.queryExecution().analyzed().toString()
-        for n in (24, 20_000)
-    }
-    assert "strategy=broadcast" in plans[24]
-    assert "strategy=broadcast" not in plans[20_000]
+    plan = densify(grouped, "k", range(n))._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" not in plan
+
+
+def test_a_log_partitioned_by_the_day_of_loading(spark, tmp_path):
+    rows = [(f"2024-01-30T{h:02}:30:00", h * 10 + i) for h in range(24) for i in range(h % 3)]
+    rows += [("2023-12-31T23:59:00", 1), ("2024-12-31T23:59:00", 2)]
+    log = event_log(spark, rows)
+    loaded = log.withColumn("dia", F.date_add(F.to_date("dt_ocorrencia"), 1))
+    loaded.write.partitionBy("dia").parquet(f"{tmp_path}/log")
+    late = read_table(spark, f"{tmp_path}/log", schemas.EVENT_LOG, "dia")
+    for report in (openings_by_hour, openings_by_month):
+        got = report(late, date(2024, 1, 31), partition="dia", late_days=1)
+        assert tuples(got) == tuples(report(log, date(2024, 1, 31)))
+        assert re.search(r"PartitionFilters: \[.*dia", physical(got))
 
 
 def test_the_spine_is_one_partition(spark):

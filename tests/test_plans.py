@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from frames import calendar, physical, scanned_rows
+from frames import REGISTERED, calendar, physical, scanned_rows
 from test_lookbacks import dates, random_log
 from test_oracles import sample
 from vestibule.plans.change import hourly_change
@@ -55,13 +55,13 @@ def test_year_and_days_reach_the_scan(spark):
 def test_the_cohort_filters_reach_the_scan(spark):
     plan = physical(query(spark, "cohort_matrix"))
     pushed = [p for p in re.findall(r"PushedFilters: (.*)", plan) if "o_orderstatus" in p]
-    assert len(pushed) == 2
+    assert len(pushed) == 3  # orders with a line, without one, and without a key
     for filters in pushed:
         assert "EqualTo(o_orderstatus,F)" in filters
         assert "GreaterThanOrEqual(o_orderdate,1998-07-01T00:00)" in filters
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - {"report_roundtrip"}))
+@pytest.mark.parametrize("name", REGISTERED)
 def test_no_python_and_no_product_joins(spark, name):
     plan = physical(query(spark, name))
     for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -140,6 +140,31 @@ def test_the_days_limit_what_is_read(spark, tmp_path, layout):
         assert wanted <= scanned_rows(change) < 20_000
 
 
+def test_the_client_joins_share_the_orders(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "ReusedExchange" in final(standins.clients(spark, sample("0.01")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_orders_without_a_key_stay(spark, tmp_path):
+    orders = spark.sql(
+        "SELECT explode(array(1L, 2L, NULL, NULL)) AS o_orderkey, 3L AS o_custkey, 'F' AS "
+        "o_orderstatus, timestamp_ntz '1998-08-01' AS o_orderdate, '1-URGENT' AS o_orderpriority"
+    )
+    lines = spark.sql(
+        "SELECT explode(array(1L, 1L, NULL)) AS l_orderkey, timestamp_ntz '1998-09-01' AS l_shipdate"
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    updates = [r.dt_atualiz for r in standins.clients(spark, str(tmp_path)).collect()]
+    assert sorted(u is None for u in updates) == [False, False, True, True, True]
+
+
 def test_a_hot_order_is_split_across_tasks(spark, tmp_path):
     """A third of all lines on one order: the join splits them, and the result holds."""
     lines = spark.range(0, 300_000, 1, 8).select(

@@ -1,5 +1,6 @@
 """Report files and the whole run."""
 
+import re
 from datetime import date
 from pathlib import Path
 
@@ -12,10 +13,10 @@ from test_cohorts import random_clients
 from test_lookbacks import dates, random_log
 from vestibule.__main__ import main
 from vestibule.operators.frames import format_matrix
-from vestibule.plans.change import hourly_change
+from vestibule.plans.change import change_of, hour_profile, hourly_change, openings_of
 from vestibule.plans.onboarding import cohort_matrix
 from vestibule.plans.openings import openings_by_hour, openings_by_month
-from vestibule.plans.pipeline import change_series, hour_bars, month_bars
+from vestibule.plans.pipeline import change_series, hour_bars, month_bars, run_reports
 from vestibule.session import shared_folder
 from vestibule.sources import schemas
 from vestibule.sources.reports import read_report, write_report
@@ -103,6 +104,55 @@ def test_the_whole_run(spark, inputs, tmp_path):
         assert sorted(tuples(back)) == sorted(tuples(frame)), name
 
 
+def test_reports_are_one_file_in_order_under_any_setting(spark, inputs, tmp_path):
+    """Without replanning and with many partitions, each report is still one ordered file."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "200"}
+    before = {key: spark.conf.get(key) for key in settings}
+    clients = read_table(spark, f"{inputs}/clients", schemas.CLIENTS)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        matrix = cohort_matrix(clients)
+        assert "rangepartitioning" not in physical(matrix)
+        path = write_report(matrix, str(tmp_path), "matrix")
+        assert len(list(Path(path).glob("*.csv"))) == 1
+        back = read_report(spark, str(tmp_path), "matrix", schemas.COHORT_MATRIX)
+        text = write_report(format_matrix(back), str(tmp_path), "text")
+        (file,) = Path(text).glob("*.csv")
+        months = [line.split(",")[0] for line in file.read_text().splitlines()[1:]]
+        assert months == "Jan Fev Mar Abr Mai Jun Jul Ago Set Out Nov Dez".split()
+        shuffled = matrix.repartition(7)
+        assert [r.mes for r in format_matrix(shuffled).collect()] == months
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_a_run_scans_the_log_twice(spark, inputs, tmp_path, monkeypatch):
+    scans = []
+
+    def counted(df, folder, name):
+        scans.extend(re.findall(r"Location: .*/events", physical(df)))
+        return write_report(df, folder, name)
+
+    monkeypatch.setattr("vestibule.plans.pipeline.write_report", counted)
+    log = read_table(spark, f"{inputs}/events", schemas.EVENT_LOG)
+    table = read_table(spark, f"{inputs}/calendar", schemas.CALENDAR)
+    clients = read_table(spark, f"{inputs}/clients", schemas.CLIENTS)
+    run_reports(log, table, clients, AS_OF, str(tmp_path / "out"))
+    profile = hour_profile(log, table, AS_OF)
+    assert len(re.findall(r"Location: .*/events", physical(profile))) == 1
+    assert len(scans) == 1  # the months; the hours come from the profile
+    assert tuples(openings_of(profile)) == tuples(openings_by_hour(log, AS_OF))
+    assert tuples(change_of(profile)) == tuples(hourly_change(log, table, AS_OF))
+
+
+def test_a_shared_folder_must_be_set(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(spark)
+
+
 def test_read_table_from_the_catalog(spark, inputs):
     read_table(spark, f"{inputs}/calendar", schemas.CALENDAR).withColumn(
         "extra", F.lit(1)

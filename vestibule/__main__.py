@@ -21,7 +21,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder the reports are written to")
     parser.add_argument("--as-of", required=True, type=date.fromisoformat, help="run date")
     parser.add_argument("--since", default=SINCE, type=date.fromisoformat)
-    parser.add_argument("--partition", help="date column the event log is partitioned by")
+    parser.add_argument(
+        "--partition", help="date column the event log is partitioned by: the event's date"
+    )
+    parser.add_argument(
+        "--late-days",
+        type=int,
+        default=0,
+        help="days by which that column may lie after the event's date",
+    )
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("vestibule").getOrCreate()
@@ -33,6 +41,7 @@ def main(argv: list[str] | None = None) -> None:
         args.out,
         args.since,
         args.partition,
+        args.late_days,
     )
 
 

@@ -14,7 +14,9 @@ SUNDAY = 7
 HOLIDAY_FLAG = "True"
 
 
-def on_days(at: Column, days: Iterable[date], partition: Column | None = None) -> Column:
+def on_days(
+    at: Column, days: Iterable[date], partition: Column | None = None, late_days: int = 0
+) -> Column:
     """True when the timestamp ``at`` falls on one of ``days``.
 
     Written as half-open ranges because those reach the scan, where
@@ -22,23 +24,31 @@ def on_days(at: Column, days: Iterable[date], partition: Column | None = None) -
     microsecond ``timestamp`` columns and in ORC files; for ``timestamp_ntz``
     Parquet columns Spark 4.1 lists them as pushed but reads every row group.
     ``partition`` is the log's date partition column, when it has one: the
-    literals then prune whole directories, whatever the file format.
+    literals then prune whole directories, whatever the file format. It must equal
+    the event's date, or lie up to ``late_days`` days after it, as the day of loading
+    may; only this bound is widened, the range stays exact.
     """
     days = sorted(set(days))
     hit = F.lit(False)
     for i, day in enumerate(days):
         within = (at >= F.lit(day)) & (at < F.lit(day + timedelta(days=1)))
         hit = within if i == 0 else hit | within
-    return hit if partition is None else partition.isin(days) & hit
+    if partition is None:
+        return hit
+    stored = {day + timedelta(days=late) for day in days for late in range(late_days + 1)}
+    return partition.isin(sorted(stored)) & hit
 
 
-def in_year(at: Column, year: int, partition: Column | None = None) -> Column:
-    """True inside one calendar year, as a pushed half-open range."""
+def in_year(
+    at: Column, year: int, partition: Column | None = None, late_days: int = 0
+) -> Column:
+    """True inside one calendar year, as a pushed half-open range; ``partition`` as in ``on_days``."""
     first, following = date(year, 1, 1), date(year + 1, 1, 1)
     hit = (at >= F.lit(first)) & (at < F.lit(following))
     if partition is None:
         return hit
-    return (partition >= F.lit(first)) & (partition < F.lit(following)) & hit
+    stored_until = following + timedelta(days=late_days)
+    return (partition >= F.lit(first)) & (partition < F.lit(stored_until)) & hit
 
 
 def whole_months(later: Column, earlier: Column) -> Column:

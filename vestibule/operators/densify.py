@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 HOURS = range(24)
 MONTHS = range(1, 13)
 
-# The grouped side is broadcast only up to this many keys. Its rows cannot
-# outnumber the keys, so the broadcast is bounded whatever the input's size.
-BROADCAST_KEYS = 10_000
-
 
 def key_spine(spark: SparkSession, key: str, keys: range) -> DataFrame:
     """One row per key. A single partition: the default would be one task per core."""
@@ -38,12 +34,11 @@ def densify(
 
     Aggregating before this join keeps the large table out of it. ``fill`` gives
     the values of columns that an absent key leaves null. Rows whose key is not
-    in ``keys`` drop out.
+    in ``keys`` drop out; a key that comes twice keeps both rows. The join is left
+    to Spark: a caller that has grouped by one of the fixed spines above knows the
+    bound of its rows and asks for the broadcast itself.
     """
     spine = key_spine(grouped.sparkSession, key, keys)
-    if len(keys) <= BROADCAST_KEYS:
-        inside = F.col(key).between(min(keys), max(keys)) if keys else F.lit(False)
-        grouped = F.broadcast(grouped.filter(inside))
     joined = spine.join(grouped, key, "left")
     fill = fill or {}
     return joined.select(

@@ -41,7 +41,8 @@ def drop_stray_columns(df: DataFrame) -> DataFrame:
 def format_matrix(df: DataFrame, month: str = "mes", remainder: str = "nr") -> DataFrame:
     """The cohort matrix as text: month labels, ``%`` behind numbers, blanks for nulls.
 
-    Only the bucket columns are blanked; a null ``remainder`` stays null.
+    Rows come by month, which the labels could no longer tell; a matrix has at most
+    twelve. Only the bucket columns are blanked; a null ``remainder`` stays null.
     Numbers are taken as doubles throughout, so 5 shows as ``5.0%`` in every column.
     """
     cells = []
@@ -52,4 +53,4 @@ def format_matrix(df: DataFrame, month: str = "mes", remainder: str = "nr") -> D
             cells.append(percent_text(F.col(c)).alias(remainder))
         else:
             cells.append(F.coalesce(percent_text(F.col(c)), F.lit("")).alias(c.lower()))
-    return df.select(*cells)
+    return df.coalesce(1).sortWithinPartitions(F.col(month).cast("int")).select(*cells)

@@ -53,12 +53,13 @@ def resolve_lookbacks_of(
     )
 
 
-def fetch_lookbacks(resolved: DataFrame) -> dict[int, date]:
-    """Read the resolved days into the driver, at most one row per lookback.
+def fetch_lookbacks(calendar: DataFrame, as_of: date, ks: Sequence[int]) -> dict[int, date]:
+    """The day to read for each of ``ks``, read into the driver: at most ``len(ks)`` rows.
 
-    As literals they prune files and row groups of the event log; joined as a
+    As literals the days prune files and row groups of the event log; joined as a
     table they would leave the scan unfiltered.
     """
+    resolved = resolve_lookbacks(calendar, as_of, ks)
     return {row.k: row.day for row in resolved.select("k", "day").collect()}
 
 
@@ -68,6 +69,7 @@ def lookback_profile(
     ks: Sequence[int],
     kind: str,
     partition: Column | None = None,
+    late_days: int = 0,
 ) -> DataFrame:
     """``(hora, d<k>...)``: distinct ids per hour on the day each lookback reads.
 
@@ -80,7 +82,7 @@ def lookback_profile(
     at = F.col("dt_ocorrencia")
     seen = (
         events.filter(F.col("ds_ocorrencia") == kind)
-        .filter(on_days(at, days.values(), partition))
+        .filter(on_days(at, days.values(), partition, late_days))
         .select(F.hour(at).alias("hora"), F.to_date(at).alias("day"), "cd_cpfcgc")
         .distinct()
     )

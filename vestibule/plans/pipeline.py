@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vestibule.operators.cohorts import SINCE
 from vestibule.operators.frames import bar_frame, format_matrix, series_frame
-from vestibule.plans.change import hourly_change
+from vestibule.plans.change import change_of, hour_profile, openings_of
 from vestibule.plans.onboarding import cohort_matrix
-from vestibule.plans.openings import openings_by_hour, openings_by_month
+from vestibule.plans.openings import openings_by_month
 from vestibule.sources import schemas
 from vestibule.sources.reports import read_report, write_report
 
@@ -53,12 +53,23 @@ def run_reports(
     folder: str,
     since: date = SINCE,
     partition: str | None = None,
+    late_days: int = 0,
 ) -> None:
-    """Write every report and every frame under ``folder``, each under its own name."""
+    """Write every report and every frame under ``folder``, each under its own name.
+
+    The log is scanned twice: for the months, and for the hours of the at most five
+    days that both hour reports need. Those hours are written first, as a table of at
+    most 24 rows.
+    """
+    stored = {"partition": partition, "late_days": late_days}
+    hours = f"{folder.rstrip('/')}/hour_profile"
+    profile = hour_profile(events, calendar, as_of, **stored)
+    profile.coalesce(1).write.mode("overwrite").parquet(hours)
+    profile = events.sparkSession.read.schema(profile.schema).parquet(hours)
     reports = {
-        "openings_by_month": openings_by_month(events, as_of, partition=partition),
-        "openings_by_hour": openings_by_hour(events, as_of, partition=partition),
-        "hourly_change": hourly_change(events, calendar, as_of, partition=partition),
+        "openings_by_month": openings_by_month(events, as_of, **stored),
+        "openings_by_hour": openings_of(profile),
+        "hourly_change": change_of(profile),
         "cohort_matrix": cohort_matrix(clients, since),
     }
     for name, report in reports.items():

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,13 +29,8 @@ def local_session(name: str, cores: str = "*", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new subfolder of the cluster's shared folder, ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder on this machine.
-    """
+    """A new subfolder of the cluster's shared folder, ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="vestibule-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/reports-{uuid.uuid4().hex}"

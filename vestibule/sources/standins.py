@@ -21,6 +21,7 @@ SIGNUP = "signup"
 ORDERS_AS_OF = date(1998, 12, 31)
 ORDERS_KIND = "F"
 SINCE = date(1998, 7, 1)
+SPARSE_SINCE = date(2000, 6, 1)
 PATTERNS = {
     "no_profile": ("NOT SPECIFIED",),
     "known_profiles": ("URGENT", "HIGH", "MEDIUM"),
@@ -88,7 +89,9 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     a hot order's lines across tasks in an inner join but not in a left join,
     and the anti join meets each order key only once. The lines come first in
     the inner join: a merge join streams its left side and holds the matches of
-    its right, here a single order and not all lines of one.
+    its right, here a single order and not all lines of one. Orders without a key
+    match nothing and are a third part; without them both joins filter the orders
+    alike and share their exchange.
     """
     orders = spark.read.schema(_ORDERS).parquet(f"{sf_dir}/orders.parquet")
     lines = spark.read.schema(_LINES).parquet(f"{sf_dir}/lineitem.parquet")
@@ -99,9 +102,9 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(low, None).otherwise(F.col("o_orderpriority")).alias("perfil"),
         F.col("o_orderstatus").alias("tp_pessoa"),
     )
-    updated = lines.withColumnRenamed("l_shipdate", "dt_atualiz").join(client, "l_orderkey")
-    unseen = client.join(lines.select("l_orderkey").distinct(), "l_orderkey", "left_anti")
-    return (
-        updated.unionByName(unseen.withColumn("dt_atualiz", F.lit(None).cast("timestamp_ntz")))
-        .select("dt_criacao", "dt_atualiz", "perfil", "tp_pessoa")
-    )
+    keyed = client.filter(F.col("l_orderkey").isNotNull())
+    updated = lines.withColumnRenamed("l_shipdate", "dt_atualiz").join(keyed, "l_orderkey")
+    unseen = keyed.join(lines.select("l_orderkey").distinct(), "l_orderkey", "left_anti")
+    unkeyed = client.filter(F.col("l_orderkey").isNull())
+    without = unseen.unionByName(unkeyed).withColumn("dt_atualiz", F.lit(None).cast("timestamp_ntz"))
+    return updated.unionByName(without).select("dt_criacao", "dt_atualiz", "perfil", "tp_pessoa")
