@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vestibule.llm import sql
 from vestibule.llm.chat_parts import chat_digests, format_turns, probe_turns, text_parts
 from vestibule.llm.cross_polytope import nearest_vectors
 from vestibule.llm.jaccard_join import jaccard_components
@@ -109,4 +110,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB counterparts of the queries that SQL can express."""
-    return {}
+    return {
+        "op3_jaccard_join": sql.JACCARD_JOIN,
+        "op4_winnowing": sql.WINNOWING,
+        "op5_chat_parts": sql.CHAT_PARTS,
+    }
