@@ -14,6 +14,7 @@ to tell collisions apart; a suffix that stands in two places marks its bytes.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vestibule.llm import packed
-from vestibule.llm.shared import ddl, utf8
+from vestibule.llm.shared import ddl, utf8, written
 from vestibule.llm.words import mix
 
 LENGTH = 400
@@ -179,6 +180,17 @@ class Batch:
         if ends and start < ends[-1]:
             yield start, ends[-1]
 
+    def _inside(self, start: int, n: int) -> np.ndarray:
+        """Which of ``n`` places from ``start`` on begin a suffix that its text holds whole."""
+        out = np.zeros(n, bool)
+        i = max(0, int(np.searchsorted(self.begins, start, "right")) - 1)
+        while i < len(self.begins) and self.begins[i] < start + n:
+            first, last = self.begins[i] - start, self.begins[i] + self.sizes[i] - self.length - start
+            if last >= 0:
+                out[max(0, first) : last + 1] = True
+            i += 1
+        return out
+
     def anchors(self):
         """Per stretch: suffix runs as ``(anchor hash, anchor, first suffix, last suffix)``."""
         for start, end in self._spans():
@@ -191,12 +203,9 @@ class Batch:
             )
             least = sliding_min(mark, self.length - self.gram + 1)
             anchor = (least & np.uint64((1 << (PIECE_BITS + 1)) - 1)).astype(np.int64)
-            # A suffix must lie in one text.
-            text = np.searchsorted(self.begins, np.arange(start, start + len(anchor)), "right") - 1
-            inside = np.arange(start, start + len(anchor)) + self.length <= (
-                self.begins[text] + self.sizes[text]
-            )
-            change = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (inside[1:] != inside[:-1])
+            # A suffix must lie in one text, so those of two texts are never neighbours.
+            inside = self._inside(start, len(anchor))
+            change = (anchor[1:] != anchor[:-1]) | (inside[1:] != inside[:-1])
             first = np.flatnonzero(np.append(True, change))
             last = np.append(first[1:], len(anchor)) - 1
             kept = inside[first]
@@ -256,8 +265,43 @@ class Batch:
         return mix(span_hash(h, starts, self.length, which))
 
 
-def _texts(docs: pa.Table) -> list[bytes]:
-    return docs.column("raw").to_pylist()
+def _standing(docs: pa.Table, told: pa.Table) -> tuple[list[bytes], list[int | None]]:
+    """The texts of a batch that take part, and for each row the place of its text there.
+
+    Of rows with equal texts a single one, in one batch, takes part for all; their
+    texts stand twice from end to end, so no place is given.
+    """
+    copied = {
+        (doc_id, digest): lead
+        for doc_id, digest, lead, stage in zip(
+            *(told.column(c).to_pylist() for c in ("doc_id", "digest", "lead", "stage")), strict=True
+        )
+        if stage == 0
+    }
+    ids = {doc_id for doc_id, _ in copied}
+    taking_part, places, done = [], [], set()
+    for doc_id, raw in zip(
+        docs.column("doc_id").to_pylist(), docs.column("raw").to_pylist(), strict=True
+    ):
+        key = (doc_id, hashlib.md5(raw).hexdigest()) if doc_id in ids else None
+        alone = key not in copied
+        places.append(len(taking_part) if alone else None)
+        if alone or copied[key] and key not in done:
+            done.add(key)
+            taking_part.append(raw)
+    return taking_part, places
+
+
+def _copies(rows: DataFrame, length: int) -> DataFrame:
+    """``(doc_id, digest, lead)`` of the rows whose text, ``length`` bytes or more, stands twice."""
+    keys = rows.filter(F.octet_length("raw") >= length).select(
+        "doc_id", F.md5("raw").alias("digest")
+    )
+    keys = written(keys, "text-digests")
+    several = keys.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    several = several.filter("n > 1").select("digest", "first")
+    lead = F.col("doc_id").eqNullSafe(F.col("first")).alias("lead")
+    return keys.join(several, "digest").select("doc_id", "digest", lead).distinct()
 
 
 def _told(rows: pa.Table, stage: int) -> list[bytes]:
@@ -354,26 +398,31 @@ def repeated_spans(
     buckets = max(packed.LEAST, -(-total_bytes // (4 * BUCKET_VALUES)))
     width = gram if gram < length else length
 
-    def ask_anchors(key: tuple, table: pa.Table) -> pa.Table:
-        found = [values for values, *_ in Batch(_texts(table), length, width).anchors()]
+    def batch_of(table: pa.Table, told: pa.Table) -> Batch:
+        return Batch(_standing(table, told)[0], length, width)
+
+    def ask_anchors(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
+        found = [values for values, *_ in batch_of(table, told).anchors()]
         values = np.concatenate(found) if found else np.empty(0, np.uint64)
         values, times = np.unique(values, return_counts=True)
         return packed.requests(key[0].as_py(), values, times, buckets)
 
     def ask_suffixes(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
-        batch = Batch(_texts(table), length, width)
+        batch = batch_of(table, told)
         values, times, check = batch.sorted_classes(*batch.suffixes(_repeated(told)))
         return packed.requests(key[0].as_py(), values, times, buckets, check)
 
     def cut(table: pa.Table, told: pa.Table) -> pa.Table:
-        raws = _texts(table)
-        batch = Batch(raws, length, width)
+        taking_part, places = _standing(table, told)
+        batch = Batch(taking_part, length, width)
         starts = _found(batch, told)
         bounds = np.searchsorted(starts, np.append(batch.begins, len(batch.block)))
         out = {name: [] for name in _RESULT.names}
-        for i, raw in enumerate(raws):
-            own = starts[bounds[i] : bounds[i + 1]] - batch.begins[i]
-            spans, kept, at = _spans_of(own, length), [], 0
+        for raw, place in zip(table.column("raw").to_pylist(), places, strict=True):
+            spans, kept, at = [(0, len(raw))], [], 0
+            if place is not None:
+                own = starts[bounds[place] : bounds[place + 1]] - batch.begins[place]
+                spans = _spans_of(own, length)
             if characters:
                 spans = whole_characters(raw, spans)
             for start, end in spans:
@@ -386,16 +435,19 @@ def repeated_spans(
             out["kept"].append(b"".join(kept))
         return pa.table(out, schema=_RESULT).add_column(0, "row", table.column("row"))
 
-    batch = packed.batch_of(F.col("doc_id"), n_batches)
-    dealt = rows.select("raw", "row", batch.alias("batch")).groupBy("batch")
+    batch = packed.batch_of(F.col("doc_id"), n_batches).alias("batch")
+    dealt = rows.select("doc_id", "raw", "row", batch).groupBy("batch")
     request = ddl(packed.REQUEST)
 
     def answers(asked: DataFrame, answer, stage: int) -> DataFrame:
         return packed.totals(asked, answer).withColumn("stage", F.lit(stage))
 
-    told = answers(dealt.applyInArrow(ask_anchors, request), _answer_values, 1)
+    copies = written(_copies(rows, length), "equal-texts")
+    told = copies.select(batch, "doc_id", "digest", "lead", F.lit(0).alias("stage"))
+    asked = dealt.cogroup(told.groupBy("batch")).applyInArrow(ask_anchors, request)
+    told = told.unionByName(answers(asked, _answer_values, 1), allowMissingColumns=True)
     asked = dealt.cogroup(told.groupBy("batch")).applyInArrow(ask_suffixes, request)
-    told = told.unionByName(answers(asked, _answer_bits, 2))
+    told = told.unionByName(answers(asked, _answer_bits, 2), allowMissingColumns=True)
     result = StructType([rows.schema["row"], *StructType.fromDDL(ddl(_RESULT)).fields])
     return dealt.cogroup(told.groupBy("batch")).applyInArrow(cut, result)
 
