@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vestibule.llm.shared import map_arrow, slices, utf8, written
-from vestibule.llm.token_ids import encoder
+from vestibule.llm.token_ids import ENCODE_ROWS, encoder
 
 CAPACITY = 4096
 END_ID = 1
@@ -197,7 +197,7 @@ def cut_pieces(
 
     def cut(batches):
         task, seen = TaskContext.get().partitionId(), Counter()
-        for rows in slices(batches):
+        for rows in slices(batches, ENCODE_ROWS):
             found, first = encoder(tokenizer).encode(rows["raw"])
             out = {name: [] for name in _PIECES.names}
             for i, doc_id in enumerate(rows["doc_id"]):
@@ -273,4 +273,5 @@ def pack_documents(
             columns["offset"] = pa.array(slot[:, 4])
             yield pa.RecordBatch.from_pydict(columns, schema=_PLACED)
 
-    return map_arrow(pieces.join(bases, ["task", "length"]), place, _PLACED)
+    # There are as many bases as tasks times lengths: never a broadcast.
+    return map_arrow(pieces.join(bases.hint("merge"), ["task", "length"]), place, _PLACED)

@@ -16,9 +16,14 @@ import numpy as np
 
 from vestibule.llm.words import SPACE, span_hashes
 
-# Pieces that a worker remembers before it starts again.
-REMEMBERED = 3_000_000
-# Bytes of text encoded at a time.
+# Pieces that a worker remembers before it forgets those that came once only, how
+# many new ones it collects before they join the others, and how many are encoded at
+# a time.
+REMEMBERED = 1_000_000
+RECENT = 100_000
+ENCODED = 8192
+# Rows and bytes of text encoded at a time.
+ENCODE_ROWS = 1024
 BLOCK = 1 << 21
 
 _LETTER, _CUT, _OTHER = 1, 2, 0
@@ -32,6 +37,45 @@ _CLASS[ord("'")] = _OTHER  # may begin a contraction
 _BLANKS = bytes.maketrans(b"\t\n\r", b"   ")
 
 
+class _Memory:
+    """Ids of pieces by the hash of the piece, in sorted arrays."""
+
+    def __init__(self):
+        self.keys = np.empty(0, np.uint64)
+        self.begin = np.empty(0, np.int64)
+        self.length = np.empty(0, np.int64)
+        self.again = np.empty(0, bool)
+        self.ids = np.empty(0, np.uint32)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each key stands or would stand, and whether it is there."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        return at, known
+
+    def add(self, other: _Memory) -> None:
+        at = np.searchsorted(self.keys, other.keys)
+        self.keys = np.insert(self.keys, at, other.keys)
+        self.begin = np.insert(self.begin, at, other.begin + len(self.ids))
+        self.length = np.insert(self.length, at, other.length)
+        self.again = np.insert(self.again, at, other.again)
+        self.ids = np.concatenate([self.ids, other.ids])
+
+    def keep(self, kept: np.ndarray) -> None:
+        self.ids = self.ids[_ranges(self.begin[kept], self.length[kept])]
+        self.keys, self.length = self.keys[kept], self.length[kept]
+        self.begin = np.cumsum(self.length) - self.length
+        self.again = np.zeros(len(self.keys), bool)
+
+
+def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All positions of the ranges, one after another."""
+    end = np.cumsum(length)
+    return np.repeat(begin - end + length, length) + np.arange(end[-1] if len(end) else 0)
+
+
 class Encoder:
     """Ids of texts by one tokenizer file of the ``tokenizers`` library."""
 
@@ -40,13 +84,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.slots = np.empty(0, np.int64)
-        self.first = np.zeros(1, np.int64)
-        self.ids = np.empty(0, np.uint32)
+        self.memory, self.recent = _Memory(), _Memory()
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids begin (one entry more than texts)."""
@@ -78,43 +116,73 @@ class Encoder:
         if b"<|" in joined:  # a piece with a special string stays whole
             starts, ends = _join_special(joined, starts, ends)
         keys, inverse = np.unique(span_hashes(block, starts, ends), return_inverse=True)
-        self._learn(joined, keys, inverse, starts, ends)
-        slots = self.slots[np.searchsorted(self.keys, keys)][inverse]
-        begin = self.first[slots]
-        length = self.first[slots + 1] - begin
-        total = np.zeros(len(slots) + 1, np.int64)
+        begin, length, ids = self._look_up(joined, keys, inverse, starts, ends)
+        begin, length = begin[inverse], length[inverse]
+        total = np.zeros(len(inverse) + 1, np.int64)
         np.cumsum(length, out=total[1:])
-        where = np.repeat(begin - total[:-1], length) + np.arange(total[-1])
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         bounds = np.concatenate([[1], np.cumsum(sizes + 1) + 1])
-        return self.ids[where], np.diff(total[np.searchsorted(starts, bounds)])
-
-    def _learn(self, joined: bytes, keys, inverse, starts, ends) -> None:
-        """Encode the pieces that are not yet known."""
-        if len(self.keys) > REMEMBERED:
-            self._forget()
-        at = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == keys[inside]
-        new = np.flatnonzero(~known)
-        if not len(new):
-            return
-        place = np.empty(len(keys), np.int64)
-        place[inverse] = np.arange(len(inverse))
-        place = place[new]
+        return ids[_ranges(begin, length)], np.diff(total[np.searchsorted(starts, bounds)])
+
+    def _look_up(self, joined: bytes, keys, inverse, starts, ends):
+        """Begin and length of each key's ids, and the ids; new pieces are encoded first."""
+        if len(self.recent.keys) > RECENT:
+            self.memory.add(self.recent)
+            self.recent = _Memory()
+            if len(self.memory.keys) > REMEMBERED:
+                again = self.memory.again
+                few = again.sum() <= REMEMBERED // 2
+                self.memory.keep(again if few else np.zeros(len(again), bool))
+        old, in_old = self.memory.find(keys)
+        self.memory.again[old[in_old]] = True
+        _, in_recent = self.recent.find(keys)
+        new = np.flatnonzero(~in_old & ~in_recent)
+        if len(new):
+            place = np.empty(len(keys), np.int64)
+            place[inverse] = np.arange(len(inverse))
+            self.recent.add(self._encoded(joined, keys[new], starts[place[new]], ends[place[new]]))
+        begin, length = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        begin[in_old] = self.memory.begin[old[in_old]]
+        length[in_old] = self.memory.length[old[in_old]]
+        at, _ = self.recent.find(keys[~in_old])
+        self.recent.again[at] |= in_recent[~in_old]
+        # The ids of recent pieces follow those of the others.
+        used = _ranges(self.recent.begin[at], self.recent.length[at])
+        length[~in_old] = self.recent.length[at]
+        begin[~in_old] = len(self.memory.ids) + np.cumsum(length[~in_old]) - length[~in_old]
+        return begin, length, _Joined(self.memory.ids, self.recent.ids[used])
+
+    def _encoded(self, joined: bytes, keys, starts, ends) -> _Memory:
+        out, encoded = _Memory(), []
         pieces = [
             joined[s:e].decode("utf-8", "replace")
-            for s, e in zip(starts[place].tolist(), ends[place].tolist(), strict=True)
+            for s, e in zip(starts.tolist(), ends.tolist(), strict=True)
         ]
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        ids = np.fromiter(chain.from_iterable(encoded), np.uint32, int(lengths.sum()))
-        slots = len(self.first) - 1 + np.arange(len(new))
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, ids])
-        self.keys = np.insert(self.keys, at[new], keys[new])
-        self.slots = np.insert(self.slots, at[new], slots)
+        for at in range(0, len(pieces), ENCODED):
+            part = self.tokenizer.encode_batch_fast(
+                pieces[at : at + ENCODED], add_special_tokens=False
+            )
+            encoded += [e.ids for e in part]
+        out.keys = keys
+        out.length = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        out.begin = np.cumsum(out.length) - out.length
+        out.again = np.zeros(len(keys), bool)
+        out.ids = np.fromiter(chain.from_iterable(encoded), np.uint32, int(out.length.sum()))
+        return out
+
+
+class _Joined:
+    """Two arrays read as one."""
+
+    def __init__(self, first: np.ndarray, second: np.ndarray):
+        self.first, self.second = first, second
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        out = np.empty(len(at), np.uint32)
+        front = at < len(self.first)
+        out[front] = self.first[at[front]]
+        out[~front] = self.second[at[~front] - len(self.first)]
+        return out
 
 
 def _join_special(joined: bytes, starts: np.ndarray, ends: np.ndarray):

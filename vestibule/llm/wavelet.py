@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vestibule.llm.shared import map_arrow, slices, utf8, written
-from vestibule.llm.token_ids import encoder
+from vestibule.llm.token_ids import ENCODE_ROWS, encoder
 
 END_ID = 2
 SHARD_IDS = 1 << 20
@@ -218,7 +218,7 @@ def write_token_shards(
                 {"part": [part], "shard": [shard], "n_ids": [held], "file": [data]}, schema=_SHARDS
             )
 
-        for rows in slices(batches, 64):
+        for rows in slices(batches, ENCODE_ROWS):
             found, first = encoder(tokenizer).encode(rows["raw"])
             for i, doc_id in enumerate(rows["doc_id"]):
                 own = np.append(found[first[i] : first[i + 1]], np.uint32(end_id))
@@ -263,7 +263,8 @@ def _read_files(batches):
                 "within": starts,
                 "n_tokens": (ends - starts).tolist(),
                 "ids_crc32": [
-                    zlib.crc32(raw[4 * s : 4 * e]) for s, e in zip(starts, ends.tolist(), strict=True)
+                    zlib.crc32(raw[4 * s : 4 * e])
+                    for s, e in zip(starts, ends.tolist(), strict=True)
                 ],
             },
             schema=_READ,
@@ -288,7 +289,7 @@ def read_token_shards(shards: DataFrame) -> DataFrame:
         "part", "shard", (F.col("base") + F.col("in_part")).alias("base")
     )
     rows = map_arrow(shards.select("part", "shard", "file"), _read_files, _READ)
-    return rows.join(starts, ["part", "shard"]).select(
+    return rows.join(starts.hint("merge"), ["part", "shard"]).select(
         "doc_id",
         (F.col("base") + F.col("within")).cast("bigint").alias("start"),
         "n_tokens",
@@ -298,4 +299,5 @@ def read_token_shards(shards: DataFrame) -> DataFrame:
 
 def token_shards(docs: DataFrame, tokenizer: str, **options) -> DataFrame:
     """Write the shard files to the shared folder and read them back."""
-    return read_token_shards(written(write_token_shards(docs, tokenizer, **options), "token-shards"))
+    shards = write_token_shards(docs, tokenizer, **options)
+    return read_token_shards(written(shards, "token-shards"))
