@@ -27,8 +27,8 @@ from vestibule.llm.shared import map_arrow, slices, utf8
 HELD_OUT_MOD = 5
 KEEP_FROM = 0.3
 # Bounds of the sample that the model is fitted on. Scoring reads every row.
-FIT_POSITIVES = 16_000
-FIT_UNLABELLED = 32_000
+FIT_POSITIVES = 10_000
+FIT_UNLABELLED = 20_000
 # Steps of the fit, of which the last ones are averaged; their size; the share of a
 # step that is taken back while the second term is negative; the weight decay; and
 # how many deviations a standardised feature may count.
@@ -125,8 +125,12 @@ def fit_nn_pu(
         return Model(np.zeros(n), np.ones(n), np.zeros(n), bias, prior)
     mean, scale = unlabelled.mean(0), unlabelled.std(0)
     scale = np.where(scale < 1e-6, 1.0, scale)
-    one = lambda rows: np.hstack([_standard(rows, mean, scale), np.ones((len(rows), 1))])
-    p, u = one(positive).astype(np.float32), one(unlabelled).astype(np.float32)
+
+    def with_one(rows: np.ndarray) -> np.ndarray:
+        ones = np.ones((len(rows), 1), np.float32)
+        return np.hstack([_standard(rows, mean, scale).astype(np.float32), ones])
+
+    p, u = with_one(positive), with_one(unlabelled)
     w = np.zeros(n + 1)
     w[-1] = bias
     m, v, averaged = np.zeros_like(w), np.zeros_like(w), np.zeros_like(w)
@@ -151,7 +155,8 @@ def fit_nn_pu(
 
 def is_held_out(doc_id: Column) -> Column:
     """Rows kept from learning: crc32 of the id as text is a multiple of 5."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT_MOD == 0, F.lit(True))
+    checksum = F.crc32(doc_id.cast("string").cast("binary"))
+    return F.coalesce(checksum % HELD_OUT_MOD == 0, F.lit(True))
 
 
 _FEATURE_ROWS = pa.schema([("positive", pa.bool_()), ("row", pa.binary())])
@@ -200,12 +205,13 @@ def fit_quality(
     )
     # At most max_positives + max_unlabelled ids: a bounded broadcast.
     texts = docs.select("doc_id", utf8().alias("raw")).join(F.broadcast(sample), "doc_id")
-    rows = _feature_rows(texts.select("positive", "raw").limit(4 * (max_positives + max_unlabelled)))
-    found = rows.collect()
+    # Ids that repeat give more rows; the bound on them holds the driver's memory.
+    bounded = texts.select("positive", "raw").limit(2 * (max_positives + max_unlabelled))
+    found = _feature_rows(bounded).collect()
 
     def matrix(positive: bool) -> np.ndarray:
         part = b"".join(row.row for row in found if row.positive == positive)
-        return np.frombuffer(part, np.float32).reshape(-1, N_FEATURES).astype(np.float64)
+        return np.frombuffer(part, np.float32).reshape(-1, N_FEATURES)
 
     return fit_nn_pu(matrix(True), matrix(False), prior)
 
