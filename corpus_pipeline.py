@@ -9,7 +9,7 @@ from vestibule.llm.jaccard_join import jaccard_components
 from vestibule.llm.packing import pack_documents
 from vestibule.llm.quality_pu import fit_quality, keep_quality
 from vestibule.llm.queries import tokenizer_path
-from vestibule.llm.shared import read_table, written
+from vestibule.llm.shared import read_table, share_package, written
 from vestibule.llm.suffix_dedup import repeated_spans
 from vestibule.llm.winnowing import contaminated, find_contamination
 
@@ -74,6 +74,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written and read back."""
+    share_package(spark)
     docs = read_table(spark, sf_dir, "documents")
     *stages, (_, last) = STAGES
     for name, stage in stages:

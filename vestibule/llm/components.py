@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vestibule.llm.shared import written
@@ -14,6 +14,14 @@ def _with_smallest(edges: DataFrame) -> DataFrame:
     return edges.join(smallest, "u")
 
 
+def _observed(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, with their number and a checksum."""
+    state = Observation()
+    checksum = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    out = written(edges.observe(state, F.count("*").alias("n"), checksum.alias("sum")), "links")
+    return out, (state.get["n"], state.get["sum"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of the links ``(a, b)``; the smallest node names it.
 
@@ -23,22 +31,16 @@ def components(links: DataFrame) -> DataFrame:
     written, and only its number of links and a checksum reach the driver.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    edges = written(edges.filter("u <> v").distinct(), "links")
+    edges, state = _observed(edges.filter("u <> v").distinct())
     before = None
-    while True:
+    while state[0] and state != before:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_smallest(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
-        small = _with_smallest(large.select("u", "v"))
+        large = _with_smallest(both).filter("v > u")
+        small = _with_smallest(large.select(F.col("v").alias("u"), F.col("m").alias("v")))
         moved = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small.select("u", F.col("m").alias("v"))
         )
-        edges = written(moved.filter("u > v").distinct(), "links")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
         before = state
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        roots.distinct()
-    )
+        edges, state = _observed(moved.filter("u > v").distinct())
+    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -332,7 +332,8 @@ def _rest_links(nodes: DataFrame, places: DataFrame, found: DataFrame) -> DataFr
     spread = lambda n: F.pmod(F.xxhash64("node", F.lit(3)), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     kept = ("leader", "node", "n", "shared", "component", "tokens")
-    rows = whole.filter("apart").select(*kept, spread("rows").alias("row"), every("columns").alias("column"))
+    by_row = (spread("rows").alias("row"), every("columns").alias("column"))
+    rows = whole.filter("apart").select(*kept, *by_row)
     again = [F.col(c).alias(c) for c in kept]  # new columns: both sides come from one table
     columns = whole.select(*again, every("rows").alias("row"), spread("columns").alias("column"))
     by = ("leader", "row", "column")
@@ -352,7 +353,11 @@ def jaccard_components(docs: DataFrame, text: str = "text") -> DataFrame:
     reps = written(
         sets.filter("n_shingles > 0")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("rep"), F.min("n_bytes").alias("n_bytes"), F.max("n_shingles").alias("n")),
+        .agg(
+            F.min("doc_id").alias("rep"),
+            F.min("n_bytes").alias("n_bytes"),
+            F.max("n_shingles").alias("n"),
+        ),
         "shingle-nodes",
     )
     size = reps.agg(F.sum("n_bytes").alias("bytes"), F.sum("n").alias("tokens")).first()
@@ -376,20 +381,31 @@ def jaccard_components(docs: DataFrame, text: str = "text") -> DataFrame:
     altered = (F.col("n") - F.col("shared")) / F.col("n")
     leaders = (
         keyed.groupBy("key")
-        .agg(F.min(F.struct(altered.alias("altered"), "node", "n", "shared")).alias("lead"), F.count("*").alias("size"))
+        .agg(
+            F.min(F.struct(altered.alias("altered"), "node", "n", "shared")).alias("lead"),
+            F.count("*").alias("size"),
+        )
         .filter("size > 1")
-        .select("key", F.col("lead.node").alias("leader"), F.col("lead.n").alias("leader_n"), F.col("lead.shared").alias("leader_shared"))
+        .select(
+            "key",
+            F.col("lead.node").alias("leader"),
+            F.col("lead.n").alias("leader_n"),
+            F.col("lead.shared").alias("leader_shared"),
+        )
     )
     places = written(keyed.join(leaders, "key"), "keyed-nodes")
-    star = written(_star_links(nodes, places), "star-links")
-    rest = _rest_links(nodes, places, components(star))
-    found = components(star.unionByName(rest))
+    stars = components(_star_links(nodes, places))
+    rest = _rest_links(nodes, places, stars)
+    in_star = stars.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    found = components(in_star.unionByName(rest))
 
     smallest = found.join(reps, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     named = found.join(smallest, "component").select("node", "component_id")
     of_node = reps.join(named, "node", "left").select(
         "node", F.coalesce("component_id", "rep").alias("component_id")
     )
+    # Written, so that Spark can split the rows of a node with very many copies below.
+    of_node = written(of_node, "node-components")
     linked = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return sets.join(of_node, "node", "left").select(
         "doc_id", "n_shingles", linked.alias("component_id")

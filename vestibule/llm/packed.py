@@ -4,7 +4,8 @@ Texts are dealt into batches of bounded size. Each batch sends its distinct
 values, with how often it has them, in one packed row per bucket of the value
 range; a bucket adds up what all batches sent and answers each one. A value of
 any frequency travels once per batch, so nothing is hot, and the answer goes back
-to where the text is, so values are never joined row by row.
+to where the text is, so values are never joined row by row. Rows are batches times buckets:
+where executors have more memory than a few GB, larger ones make fewer rows.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 from vestibule.llm.shared import ddl
 
 # Bytes of text in a batch, and values in a bucket, on average.
-BATCH_BYTES = 16 << 20
-BUCKET_VALUES = 2 << 20
+BATCH_BYTES = 8 << 20
+BUCKET_VALUES = 1 << 20
 # Even small inputs are dealt out a little, so that they use several tasks.
 LEAST = 24
 
@@ -78,7 +79,8 @@ def requests(
 ) -> pa.Table:
     """Rows that ask for the totals of sorted distinct ``values``, one per bucket in use.
 
-    Where ``check``, another 32 bits per value, is given, only values that agree in it count together.
+    Where ``check``, another 32 bits per value, is given, only values that agree in
+    it count together.
     """
     first = bucket_bounds(values, buckets)
     used = [b for b in range(buckets) if first[b] < first[b + 1]]
@@ -96,7 +98,7 @@ def requests(
 
 
 def totals(asked: DataFrame, answer) -> DataFrame:
-    """``(batch, bucket, answer)``: ``answer(values, totals)`` packs what a batch learns of its values."""
+    """``(batch, bucket, answer)``: ``answer(values, totals)`` packs what a batch learns."""
 
     def count(table: pa.Table) -> pa.Table:
         rows = table.to_pydict()

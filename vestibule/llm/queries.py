@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from vestibule.llm.license_scan import scan_licenses
 from vestibule.llm.packing import pack_documents
 from vestibule.llm.quality_pu import fit_quality, score_quality
 from vestibule.llm.shard_tree import assign_shards, topology
-from vestibule.llm.shared import read_table, written
+from vestibule.llm.shared import read_table, share_package, written
 from vestibule.llm.suffix_dedup import repeated_spans
 from vestibule.llm.wavelet import token_shards
 from vestibule.llm.winnowing import contaminated, find_contamination
@@ -105,7 +106,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_best_fit_packing,
         op10_suffix_dedup,
     )
-    return {query.__name__: query for query in registered}
+    return {query.__name__: _shared(query) for query in registered}
+
+
+def _shared(query: Callable[[SparkSession, str], DataFrame]):
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        share_package(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def oracle_sql() -> dict[str, str]:

@@ -115,7 +115,7 @@ def assign_shards(
     )
     within = Window.partitionBy("shard", "chunk").orderBy("doc_id", "text_crc32")
     numbered = placed.withColumn("place", F.row_number().over(within) - 1)
-    return numbered.join(bases, ["shard", "chunk"]).select(
+    return numbered.join(bases.hint("merge"), ["shard", "chunk"]).select(
         "doc_id",
         "size",
         "text_crc32",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +35,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it.
+
+    Needed on one machine or a shared disk when it is not installed; on a cluster
+    ship it with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

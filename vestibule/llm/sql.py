@@ -38,7 +38,8 @@ WITH item AS (
   SELECT item_id, {_WORDS} AS w, least(13, len({_WORDS})) AS n FROM benchmark
 ),
 wanted AS (
-  SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: w[k:k + n - 1])) AS win
+  SELECT DISTINCT item_id, n,
+         unnest(list_transform(range(1, len(w) - n + 2), lambda k: w[k:k + n - 1])) AS win
   FROM item WHERE n > 0
 ),
 split AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -51,7 +52,8 @@ hit AS (SELECT doc_id, k, n, item_id FROM placed JOIN wanted USING (n, win)),
 word AS (SELECT doc_id, count(DISTINCT place) AS n_hit
   FROM (SELECT doc_id, unnest(range(k, k + n)) AS place FROM hit) GROUP BY doc_id),
 items AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  SELECT doc_id, count(*) AS n_items,
+         string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
   FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
@@ -73,7 +75,8 @@ WITH turns AS (
 SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
        sum(length(text) + len(regexp_extract_all(text, {_HIDDEN}))
          + CASE role WHEN 'assistant' THEN 7 WHEN 'user' THEN 15
            ELSE 28 + length(role) + len(regexp_extract_all(role, {_HIDDEN})) END)::BIGINT

@@ -32,8 +32,8 @@ from vestibule.llm.words import mix
 LENGTH = 400
 GRAM = 64
 # Bytes of text in a batch, and suffixes in a bucket, on average.
-BATCH_BYTES = 8 << 20
-BUCKET_VALUES = 4 << 20
+BATCH_BYTES = 4 << 20
+BUCKET_VALUES = 1 << 20
 # Bytes of text that are hashed at a time; longer texts go in overlapping pieces.
 PIECE_BITS = 19
 PIECE = 1 << PIECE_BITS
@@ -185,7 +185,8 @@ class Batch:
         out = np.zeros(n, bool)
         i = max(0, int(np.searchsorted(self.begins, start, "right")) - 1)
         while i < len(self.begins) and self.begins[i] < start + n:
-            first, last = self.begins[i] - start, self.begins[i] + self.sizes[i] - self.length - start
+            first = self.begins[i] - start
+            last = first + self.sizes[i] - self.length
             if last >= 0:
                 out[max(0, first) : last + 1] = True
             i += 1
@@ -239,7 +240,8 @@ class Batch:
         whole = span_hash(h.values, starts, self.length)
         order = merge_sort(self.block, h, whole, keys, self.length)
         hashes = whole[order]
-        equal = np.append(False, (hashes[1:] == hashes[:-1]) & (keys[order][1:] == keys[order][:-1]))
+        keys = keys[order]
+        equal = np.append(False, (hashes[1:] == hashes[:-1]) & (keys[1:] == keys[:-1]))
         self._check(starts[order], np.flatnonzero(equal))
         first = np.flatnonzero(~equal)
         times = np.diff(np.append(first, len(order)))
@@ -274,7 +276,8 @@ def _standing(docs: pa.Table, told: pa.Table) -> tuple[list[bytes], list[int | N
     copied = {
         (doc_id, digest): lead
         for doc_id, digest, lead, stage in zip(
-            *(told.column(c).to_pylist() for c in ("doc_id", "digest", "lead", "stage")), strict=True
+            *(told.column(c).to_pylist() for c in ("doc_id", "digest", "lead", "stage")),
+            strict=True,
         )
         if stage == 0
     }
@@ -325,10 +328,10 @@ def _answer_bits(values: np.ndarray, total: np.ndarray) -> bytes:
 
 
 def _flags(rows: pa.Table, stage: int) -> np.ndarray:
-    parts = [
-        np.unpackbits(np.frombuffer(data, np.uint8, offset=8), count=int.from_bytes(data[:8], "little"))
-        for data in _told(rows, stage)
-    ]
+    parts = []
+    for data in _told(rows, stage):
+        n = int.from_bytes(data[:8], "little")
+        parts.append(np.unpackbits(np.frombuffer(data, np.uint8, offset=8), count=n))
     return np.concatenate(parts).astype(bool) if parts else np.empty(0, bool)
 
 
@@ -395,7 +398,7 @@ def repeated_spans(
     rows = docs.select("doc_id", raw, F.struct(*carry).alias("row"))
     total_bytes = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
     n_batches = max(packed.LEAST, -(-total_bytes // BATCH_BYTES))
-    buckets = max(packed.LEAST, -(-total_bytes // (4 * BUCKET_VALUES)))
+    buckets = max(packed.LEAST, -(-total_bytes // (8 * BUCKET_VALUES)))
     width = gram if gram < length else length
 
     def batch_of(table: pa.Table, told: pa.Table) -> Batch:

@@ -211,9 +211,9 @@ def find_contamination(
     as strings, of the items with a window that stands in the text. Null and empty
     texts have no words; items without words match nothing; an item whose id is
     null counts for its words but has no id to list. Repeated rows and ids give a
-    row each (``rid`` numbers them), repeated items count once per id. Extra columns are not read. A fingerprint
-    that stands in very many texts meets only its few places in the benchmark, and
-    Spark can split its rows.
+    row each (``rid`` numbers them), repeated items count once per id. Extra columns
+    are not read. A fingerprint that stands in very many texts meets only its few
+    places in the benchmark, and Spark can split its rows.
     """
     spark = docs.sparkSession
     prints = written(item_fingerprints(benchmark, window, gram), "benchmark-fingerprints")
@@ -259,7 +259,8 @@ def merge_spans(spans) -> F.Column:
         )
         joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))
         fresh = F.concat(done, F.array(span))
-        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= span["start"]), joined).otherwise(fresh)
+        touches = F.try_element_at(done, F.lit(-1))["end"] >= span["start"]
+        return F.when((F.size(done) > 0) & touches, joined).otherwise(fresh)
 
     empty = F.array().cast("array<struct<start: bigint, end: bigint>>")
     return F.aggregate(spans, empty, step)
