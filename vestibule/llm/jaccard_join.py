@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from vestibule.llm import packed
 from vestibule.llm.components import components
-from vestibule.llm.shared import ddl, map_arrow, slices, utf8, written
+from vestibule.llm.shared import ddl, map_arrow, slices, utf8, written, written_and_counted
 from vestibule.llm.words import BLANK, grams, mix, words_of
 
 SHINGLE = 5
@@ -395,9 +395,9 @@ def jaccard_components(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     places = written(keyed.join(leaders, "key"), "keyed-nodes")
     stars = components(_star_links(nodes, places))
-    rest = _rest_links(nodes, places, stars)
+    rest, n_rest = written_and_counted(_rest_links(nodes, places, stars), "rest-links")
     in_star = stars.select(F.col("component").alias("a"), F.col("node").alias("b"))
-    found = components(in_star.unionByName(rest))
+    found = components(in_star.unionByName(rest)) if n_rest else stars
 
     smallest = found.join(reps, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     named = found.join(smallest, "component").select("node", "component_id")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vestibule.llm.shared import map_arrow, slices, utf8
+from vestibule.llm.shared import map_arrow, slices, small_batches, utf8
 
 HELD_OUT_MOD = 5
 KEEP_FROM = 0.3
@@ -246,6 +246,8 @@ def score_quality(docs: DataFrame, model: Model, text: str = "text") -> DataFram
 def keep_quality(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that score ``KEEP_FROM`` or more, with all their columns."""
 
+    small_batches(docs.sparkSession)
+
     @F.pandas_udf("double")
     def score(raws: pd.Series) -> pd.Series:
         rows = [features(raw) for raw in raws]

@@ -8,11 +8,13 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of a batch that are turned into Python objects at a time.
+# Rows of a batch that are turned into Python objects at a time, and rows of a batch.
 SLICE_ROWS = 256
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -35,6 +37,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_and_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """As ``written``, with the number of rows, counted on the way."""
+    seen = Observation()
+    out = written(df.observe(seen, F.count("*").alias("n")), name)
+    return out, seen.get["n"]
+
+
 def share_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver found it.
 
@@ -48,6 +57,17 @@ def share_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand at most ``BATCH_ROWS`` rows to Python at once; a lower setting stays.
+
+    Spark's default of 10,000 is meant for narrow rows: of whole texts that many
+    fill a worker's memory twice, in the JVM and in Python.
+    """
+    rows = int(spark.conf.get(_BATCH_SETTING))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -95,4 +115,5 @@ def _spark_type(kind: pa.DataType) -> str:
 
 def map_arrow(df: DataFrame, function, schema: pa.Schema) -> DataFrame:
     """``df.mapInArrow`` with an Arrow schema."""
+    small_batches(df.sparkSession)
     return df.mapInArrow(function, ddl(schema))

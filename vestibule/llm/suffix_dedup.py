@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vestibule.llm import packed
-from vestibule.llm.shared import ddl, utf8, written
+from vestibule.llm.shared import ddl, small_batches, utf8, written
 from vestibule.llm.words import mix
 
 LENGTH = 400
@@ -394,6 +394,7 @@ def repeated_spans(
     rows repeat each other's strings. An empty table gives no rows. Batches hold
     whole texts, so a very long text makes a batch of its own size.
     """
+    small_batches(docs.sparkSession)
     raw = utf8(F.col(text)).alias("raw")
     rows = docs.select("doc_id", raw, F.struct(*carry).alias("row"))
     total_bytes = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
