@@ -9,9 +9,13 @@ from vestibule.llm.shared import written
 
 
 def _with_smallest(edges: DataFrame) -> DataFrame:
-    """Each directed edge with the smallest of its source and that one's neighbours."""
+    """Each directed edge with the smallest of its source and that one's neighbours.
+
+    The smallest are written first: Spark can split the edges of a node with very many
+    neighbours only in a join of two plain tables.
+    """
     smallest = edges.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    return edges.join(smallest, "u")
+    return edges.join(written(smallest, "smallest"), "u")
 
 
 def _observed(edges: DataFrame) -> tuple[DataFrame, tuple]:
