@@ -302,7 +302,8 @@ def _copies(rows: DataFrame, length: int) -> DataFrame:
     )
     keys = written(keys, "text-digests")
     several = keys.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    several = several.filter("n > 1").select("digest", "first")
+    # Written, so that Spark can split the rows of a text with very many copies.
+    several = written(several.filter("n > 1").select("digest", "first"), "equal-texts")
     lead = F.col("doc_id").eqNullSafe(F.col("first")).alias("lead")
     return keys.join(several, "digest").select("doc_id", "digest", lead).distinct()
 
@@ -446,7 +447,7 @@ def repeated_spans(
     def answers(asked: DataFrame, answer, stage: int) -> DataFrame:
         return packed.totals(asked, answer).withColumn("stage", F.lit(stage))
 
-    copies = written(_copies(rows, length), "equal-texts")
+    copies = written(_copies(rows, length), "copies")
     told = copies.select(batch, "doc_id", "digest", "lead", F.lit(0).alias("stage"))
     asked = dealt.cogroup(told.groupBy("batch")).applyInArrow(ask_anchors, request)
     told = told.unionByName(answers(asked, _answer_values, 1), allowMissingColumns=True)
