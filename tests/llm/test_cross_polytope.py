@@ -88,3 +88,30 @@ def test_a_vector_probes_its_own_bucket_first():
     rows /= np.linalg.norm(rows, axis=1)[:, None]
     hashes = cp.CrossPolytope(20, 1.0, True, 4, 1)
     assert np.array_equal(hashes.probes(rows, 3)[:, :, 0], hashes.codes(rows))
+
+
+@pytest.mark.parametrize("lengths", ["one of 2", "one of 10", "wide", "wider"])
+def test_recall_with_unequal_lengths(spark, lengths):
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(2000, 64))
+    rows /= np.linalg.norm(rows, axis=1)[:, None]
+    if lengths.startswith("one"):
+        rows[17] *= int(lengths.split()[-1])
+    else:
+        rows *= rng.lognormal(0, 0.5 if lengths == "wide" else 2, 2000)[:, None]
+    rows = rows.astype(np.float32).astype(float)
+    ids = list(range(2000))
+    want = exact(ids, rows, ids[::20], 20)
+    got = found(cp.nearest_vectors(frame(spark, ids, rows), F.col("vec_id") % 20 == 0, 20))
+    assert all(len(got.get(q, ())) == 20 for q in want)
+    hits = sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_bands_of_doubling_length():
+    bands = cp.Bands({-9: 2, 0: 5, 1: 1, 4: 1, 5: 1, 8: 1, 9: 1, 99: 1}, 16, 128)
+    steps = (-9, 0, 1, 4, 5, 8, 9, 99)
+    assert [bands.of(step) for step in steps] == [0, 0, 1, 1, 2, 2, 3, 3]
+    assert bands.most == 64 and bands.filed(99, [5, 6]) == [3 * 128]
+    near = [list(range(64))] * 2
+    assert [len(found) for found in bands.probed(near)] == [16 + 32 + 64 + 1, 16 + 32 + 64]

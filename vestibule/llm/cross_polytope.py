@@ -6,8 +6,10 @@ vector is filed under one hash in each of several tables. A query looks, in each
 table, into the buckets of the axes nearest to it (multiprobe), and what it finds
 is ranked by the true inner product.
 
-Inner products order like angles once every vector has the length of the longest,
-which one more coordinate brings about where lengths differ.
+Vectors are hashed by direction. Where lengths differ, a long vector is near in inner
+product at a wider angle: vectors longer than the median fall into bands of doubling
+length, each with buckets of its own, and with every band twice as many are probed,
+until the longest vectors are read whole.
 """
 
 from __future__ import annotations
@@ -27,6 +29,10 @@ BLOCK_VECTORS = 1024
 BLOCK_QUERIES = 1024
 # Scores this close to the last one kept are computed again before they are ranked.
 SLACK = 1e-9
+# Steps of the histogram of lengths in each doubling, and the part of a step by which
+# its bounds lie above the powers of two, where rounding would split unit vectors.
+STEPS = 4
+ABOVE = 0.01
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -94,6 +100,62 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~bad & F.exists(vector, lambda x: x != 0)
 
 
+def length_step(vector: Column) -> Column:
+    """The step of the histogram that a usable vector's length falls into."""
+    largest = F.array_max(F.transform(vector, F.abs))
+    squares = F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x / largest) * (x / largest))
+    log2 = F.log2(largest) + F.log2(squares) / 2
+    return F.ceil(log2 * STEPS - ABOVE)
+
+
+class Bands:
+    """Bands of doubling length above the median, and the buckets probed in each.
+
+    The first band also holds all shorter vectors. A band of which every bucket would
+    be probed is a single bucket of the first table; no band lies beyond it.
+    """
+
+    def __init__(self, histogram: dict[int, int], probes: int, axes: int):
+        self.axes, self.probes = axes, probes
+        self.last = 0
+        while probes << self.last < axes:
+            self.last += 1
+        half, self.median = sum(histogram.values()) / 2, 0
+        for step in sorted(histogram):
+            half -= histogram[step]
+            self.median = step
+            if half <= 0:
+                break
+        self.held = sorted({self.of(step) for step in histogram})
+
+    def of(self, step: int) -> int:
+        """The band of a vector whose length falls into ``step``."""
+        return min(self.last, max(0, -((self.median - step) // STEPS)))
+
+    def filed(self, step: int, codes: list[int]) -> list[int]:
+        """The bucket of a vector in each table that it is filed in."""
+        band = self.of(step)
+        if band == self.last:
+            return [band * self.axes]
+        return [band * self.axes + code for code in codes]
+
+    def probed(self, nearest: list[list[int]]) -> list[list[int]]:
+        """The buckets of each table that a query looks into, from its axes in order."""
+        hashed = [band for band in self.held if band < self.last]
+        out = [
+            [band * self.axes + code for band in hashed for code in near[: self.probes << band]]
+            for near in nearest
+        ]
+        if self.last in self.held:
+            out[0].append(self.last * self.axes)
+        return out
+
+    @property
+    def most(self) -> int:
+        """The most buckets of a hashed band that a query looks into."""
+        return max((self.probes << band for band in self.held if band < self.last), default=1)
+
+
 _CODED = pa.schema(
     [
         ("vec_id", pa.int64()),
@@ -116,21 +178,25 @@ def _rows(vectors: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
-def _coded(vectors: DataFrame, hashes: CrossPolytope, dim: int, probes: int) -> DataFrame:
+def _coded(vectors: DataFrame, hashes: CrossPolytope, dim: int, bands: Bands) -> DataFrame:
     def code(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = _rows(batch.column("vector"), dim)
+            # Scaled, so that no square of a component is too large or too small.
+            scaled = rows / np.abs(rows).max(1)[:, None]
             query = batch.column("is_query").to_numpy(zero_copy_only=False)
-            found = iter(hashes.probes(rows[query], probes).tolist() if query.any() else ())
+            found = iter(hashes.probes(scaled[query], bands.most).tolist() if query.any() else ())
+            steps = batch.column("step").to_pylist()
+            codes = zip(steps, hashes.codes(scaled).tolist(), strict=True)
             yield pa.RecordBatch.from_pydict(
                 {
                     "vec_id": batch.column("vec_id"),
                     "is_query": batch.column("is_query"),
                     "vector": [row.tobytes() for row in rows],
-                    "codes": hashes.codes(rows).tolist(),
-                    "probes": [next(found) if q else None for q in query],
+                    "codes": [bands.filed(step, own) for step, own in codes],
+                    "probes": [bands.probed(next(found)) if q else None for q in query],
                 },
                 schema=_CODED,
             )
@@ -182,7 +248,8 @@ def nearest_vectors(
     vector ends in zeros. A query gets fewer than ``k`` rows only when its buckets
     hold fewer. An empty table gives no rows. Extra columns are not read.
 
-    Every vector is indexed. A bucket of any size is dealt out in blocks, and its
+    Every vector is indexed, whatever its length. ``probes`` counts for vectors up to the
+    median length; longer ones are looked for in more buckets. A bucket of any size is dealt out in blocks, and its
     queries likewise, each block of queries meeting each block of vectors once.
     """
     value = F.col(vector)
@@ -191,17 +258,14 @@ def nearest_vectors(
         F.coalesce(is_query, F.lit(False)).alias("is_query"),
         value.cast("array<double>").alias("vector"),
     )
-    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    stats = part.agg(
-        F.max(F.size("vector")).alias("dim"),
-        F.sqrt(F.min(squares)).alias("shortest"),
-        F.sqrt(F.max(squares)).alias("longest"),
-    ).first()
-    dim = stats.dim or 1
-    longest, shortest = stats.longest or 1.0, stats.shortest or 1.0
-    equal = shortest >= longest * (1 - 1e-6)
-    hashes = CrossPolytope(dim, longest, equal, tables, seed)
-    coded = written(_coded(part, hashes, dim, probes), "hashed-vectors")
+    part = part.withColumn("step", length_step(F.col("vector")))
+    steps = part.groupBy("step").agg(F.max(F.size("vector")).alias("dim"), F.count("*").alias("n"))
+    # As many rows as the lengths take steps, a few thousand at most.
+    steps = steps.collect()
+    dim = max((row.dim for row in steps), default=1)
+    hashes = CrossPolytope(dim, 1.0, True, tables, seed)
+    bands = Bands({row.step: row.n for row in steps}, probes, 2 * hashes.width)
+    coded = written(_coded(part, hashes, dim, bands), "hashed-vectors")
 
     filed = coded.select("vec_id", "vector", F.posexplode("codes").alias("table", "code"))
     asked = coded.filter("is_query").select(
