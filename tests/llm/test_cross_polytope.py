@@ -115,3 +115,34 @@ def test_bands_of_doubling_length():
     assert bands.most == 64 and bands.filed(99, [5, 6]) == [3 * 128]
     near = [list(range(64))] * 2
     assert [len(found) for found in bands.probed(near)] == [16 + 32 + 64 + 1, 16 + 32 + 64]
+
+
+@pytest.mark.parametrize("block", [1024, 5])
+def test_every_query_gets_all_rows_asked_for(spark, monkeypatch, block):
+    """Few vectors in many buckets: what the probed ones lack is found among all."""
+    monkeypatch.setattr(cp, "BLOCK_VECTORS", block)
+    monkeypatch.setattr(cp, "BLOCK_QUERIES", 1 if block == 5 else block)
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(21, 64))
+    rows = (rows / np.linalg.norm(rows, axis=1)[:, None]).astype(np.float32).astype(float)
+    for n in (21, 15):
+        ids = list(range(n))
+        want = exact(ids, rows[:n], ids[::7], 20)
+        got = found(cp.nearest_vectors(frame(spark, ids, rows[:n]), F.col("vec_id") % 7 == 0, 20))
+        assert {q: [v for v, _ in near] for q, near in got.items()} == {
+            q: [v for v, _ in near] for q, near in want.items()
+        }
+
+
+def test_stray_queries_beside_a_cluster(spark):
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=64)
+    rows = centre / np.linalg.norm(centre) + 0.02 * rng.normal(size=(1000, 64))
+    rows[:200:20] = rng.normal(size=(10, 64))
+    rows[20] = -centre
+    rows = (rows / np.linalg.norm(rows, axis=1)[:, None]).astype(np.float32).astype(float)
+    ids = list(range(1000))
+    got = found(cp.nearest_vectors(frame(spark, ids, rows), F.col("vec_id") % 20 == 0, 20, probes=4))
+    assert {len(got.get(q, ())) for q in ids[::20]} == {20}
+    want = exact(ids, rows, [20], 20)
+    assert [v for v, _ in got[20]] == [v for v, _ in want[20]]

@@ -4,7 +4,8 @@ A pseudo-rotation, three rounds of random signs and a fast Hadamard transform,
 turns a unit vector; its hash is the signed axis it then lies nearest to. Every
 vector is filed under one hash in each of several tables. A query looks, in each
 table, into the buckets of the axes nearest to it (multiprobe), and what it finds
-is ranked by the true inner product.
+is ranked by the true inner product. Queries that find too few rows so are compared
+with all vectors.
 
 Vectors are hashed by direction. Where lengths differ, a long vector is near in inner
 product at a wider angle: vectors longer than the median fall into bands of doubling
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vestibule.llm.shared import ddl, map_arrow, written
+from vestibule.llm.shared import ddl, map_arrow, written, written_and_counted
 
 TABLES = 8
 PROBES = 16
@@ -229,6 +230,59 @@ def best_of(
     return out
 
 
+def _n_blocks(count: Column, per: int) -> Column:
+    return F.ceil(count / F.lit(per))
+
+
+def _met(
+    filed: DataFrame, asked: DataFrame, bucket: list[str], dim: int, k: int, seed: int
+) -> DataFrame:
+    """The best rows that each block of a bucket's queries finds in each block of its vectors.
+
+    Both sides name the numbers of blocks, ``v_blocks`` and ``q_blocks``.
+    """
+
+    def blocks(rows: DataFrame, own: str, other: str, ident: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64(ident, F.lit(seed)), F.col(own)).alias(own)
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)).alias(other)
+        kept = [c for c in rows.columns if c not in (own, other)]
+        return rows.select(*kept, mine, every)
+
+    keys = [*bucket, "v_blocks", "q_blocks"]
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = []
+        if left.num_rows and right.num_rows:
+            rows, queries = (
+                np.frombuffer(b"".join(t.column(c).to_pylist()), np.float64).reshape(-1, dim)
+                for t, c in ((left, "vector"), (right, "query"))
+            )
+            ids, query_ids = left.column("vec_id").to_numpy(), right.column("query_id").to_numpy()
+            found = best_of(query_ids, queries, ids, rows, k)
+        columns = list(zip(*found, strict=True)) or [()] * 3
+        return pa.table(
+            [pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], schema=_FOUND
+        )
+
+    v, q = (
+        blocks(filed, "v_blocks", "q_blocks", "vec_id").groupBy(keys),
+        blocks(asked, "q_blocks", "v_blocks", "query_id").groupBy(keys),
+    )
+    return v.cogroup(q).applyInArrow(meet, ddl(_FOUND))
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best ids of each query, each by its best score."""
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return (
+        found.groupBy("query_id", "vec_id")
+        .agg(F.max("score").alias("score"))
+        .withColumn("rank", F.row_number().over(best))
+        .filter(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
+
 def nearest_vectors(
     vectors: DataFrame,
     is_query: Column,
@@ -238,15 +292,16 @@ def nearest_vectors(
     probes: int = PROBES,
     seed: int = SEED,
 ) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: up to ``k`` nearest found rows per query.
+    """``(query_id, rank, vec_id, score)``: the ``k`` nearest found rows per query.
 
     Nearness is the inner product in double precision, ties go to the smaller id.
     Queries are rows of ``vectors`` for which ``is_query`` holds; a row is no
     candidate of its own id, so repeated ids do not find each other, and a repeated
     id is listed once, by its best score. Vectors that are null, empty, zero or hold
     null or non-finite components take no part, nor do rows without an id; a shorter
-    vector ends in zeros. A query gets fewer than ``k`` rows only when its buckets
-    hold fewer. An empty table gives no rows. Extra columns are not read.
+    vector ends in zeros. A query gets fewer than ``k`` rows only when the table has
+    fewer other ids: one whose buckets hold too few is compared with all vectors. An
+    empty table gives no rows. Extra columns are not read.
 
     Every vector is indexed, whatever its length. ``probes`` counts for vectors up to the
     median length; longer ones are looked for in more buckets. A bucket of any size is dealt out in blocks, and its
@@ -268,53 +323,44 @@ def nearest_vectors(
     coded = written(_coded(part, hashes, dim, bands), "hashed-vectors")
 
     filed = coded.select("vec_id", "vector", F.posexplode("codes").alias("table", "code"))
-    asked = coded.filter("is_query").select(
-        F.col("vec_id").alias("query_id"),
-        F.col("vector").alias("query"),
-        F.posexplode("probes").alias("table", "near"),
+    queries = coded.filter("is_query").select(
+        F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), "probes"
     )
+    asked = queries.select("query_id", "query", F.posexplode("probes").alias("table", "near"))
     asked = asked.select("query_id", "query", "table", F.explode("near").alias("code"))
     bucket = ["table", "code"]
-    n_blocks = lambda per: F.ceil(F.count("*") / F.lit(per))
     sizes = (
         filed.groupBy(bucket)
-        .agg(n_blocks(BLOCK_VECTORS).alias("v_blocks"))
-        .join(asked.groupBy(bucket).agg(n_blocks(BLOCK_QUERIES).alias("q_blocks")), bucket)
-    )
-
-    def blocks(rows: DataFrame, own: str, other: str, ident: str) -> DataFrame:
-        mine = F.pmod(F.xxhash64(ident, F.lit(seed)), F.col(own)).alias(own)
-        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("others") - 1)).alias(other)
-        kept = [c for c in rows.columns if c not in bucket]
-        dealt = rows.join(sizes, bucket).select(*kept, *bucket, mine, F.col(other).alias("others"))
-        return dealt.select(*kept, *bucket, own, every)
-
-    keys = [*bucket, "v_blocks", "q_blocks"]
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
-        if left.num_rows and right.num_rows:
-            rows, queries = (
-                np.frombuffer(b"".join(t.column(c).to_pylist()), np.float64).reshape(-1, dim)
-                for t, c in ((left, "vector"), (right, "query"))
-            )
-            ids, query_ids = left.column("vec_id").to_numpy(), right.column("query_id").to_numpy()
-            found = best_of(query_ids, queries, ids, rows, k)
-        columns = list(zip(*found, strict=True)) or [()] * 3
-        return pa.table(
-            [pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], schema=_FOUND
+        .agg(_n_blocks(F.count("*"), BLOCK_VECTORS).alias("v_blocks"))
+        .join(
+            asked.groupBy(bucket).agg(
+                _n_blocks(F.count("*"), BLOCK_QUERIES).alias("q_blocks")
+            ),
+            bucket,
         )
-
-    v, q = (
-        blocks(filed, "v_blocks", "q_blocks", "vec_id").groupBy(keys),
-        blocks(asked, "q_blocks", "v_blocks", "query_id").groupBy(keys),
     )
-    found = v.cogroup(q).applyInArrow(meet, ddl(_FOUND))
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (
-        found.groupBy("query_id", "vec_id")
-        .agg(F.max("score").alias("score"))
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+    found = _met(filed.join(sizes, bucket), asked.join(sizes, bucket), bucket, dim, k, seed)
+    found = written(_ranked(found, k), "nearest-found")
+
+    # No more than k ids other than a query's own are wanted.
+    others = coded.select("vec_id").distinct().limit(k + 1).count() - 1
+    held = found.groupBy("query_id").agg(F.count("*").alias("n"))
+    short = (
+        queries.select("query_id")
+        .distinct()
+        .join(held, "query_id", "left")
+        .filter(F.coalesce("n", F.lit(0)) < others)
+        .select("query_id")
+    )
+    short, n_short = written_and_counted(short, "short-queries")
+    if not n_short:
+        return found
+    again = written(queries.drop("probes").join(short, "query_id", "left_semi"), "asked-again")
+    counts = (
+        _n_blocks(F.lit(coded.count()), BLOCK_VECTORS).alias("v_blocks"),
+        _n_blocks(F.lit(again.count()), BLOCK_QUERIES).alias("q_blocks"),
+    )
+    whole = _met(
+        coded.select("vec_id", "vector", *counts), again.select("*", *counts), [], dim, k, seed
     )
+    return found.join(short, "query_id", "left_anti").unionByName(_ranked(whole, k))
