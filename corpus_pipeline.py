@@ -19,16 +19,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_quality(docs, fit_quality(docs, read_table(spark, sf_dir, "labels")))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``(rid, row)``: every row with a number of its own, written so that it stays."""
+    rid = F.monotonically_increasing_id().alias("rid")
+    return written(docs.select(rid, F.struct(*docs.columns).alias("row")), "numbered")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that link, directly or not, the one with the smallest id stays.
+    """Of rows that link, directly or not, the one with the smallest id stays.
 
-    Rows that share an id stay or go together; rows without an id are told apart
-    by nothing and count as one.
+    Rows without an id come after all others, and of rows with equal ids one stays. A
+    row without words links with none and stays.
     """
-    groups = jaccard_components(docs)
-    stays = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = stays.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
+    rows = numbered(docs)
+    # The join tells documents apart by id: here a row's number is its id.
+    groups = jaccard_components(rows.select(F.col("rid").alias("doc_id"), F.col("row.text")))
+    groups = groups.select(F.col("doc_id").alias("rid"), "component_id")
+    doc_id = F.col("row.doc_id")
+    ids = rows.select("rid", doc_id.isNull().alias("no_id"), doc_id.alias("doc_id"))
+    first = F.min(F.struct("no_id", "doc_id", "rid")).alias("first")
+    stays = ids.join(groups, "rid").groupBy("component_id").agg(first).select("first.rid")
+    return rows.join(stays, "rid", "left_semi").select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

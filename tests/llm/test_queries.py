@@ -1,6 +1,7 @@
 """The registered queries and the pipeline over the sample tables."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -8,7 +9,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
-from cases import jaccard_components, raw, repeated_bytes, words
+from cases import frame, jaccard_components, prose, raw, repeated_bytes, words
 
 import corpus_pipeline
 from vestibule.llm.queries import oracle_sql, queries, tokenizer_path
@@ -144,3 +145,18 @@ def test_pipeline_over_awkward_rows(spark):
             assert out.columns == made.columns
         assert corpus_pipeline.STAGES[-1][1](spark, out, folder).columns[0] == "doc_id"
         out.count()
+
+
+def test_one_row_of_each_near_duplicate_group_stays(spark):
+    """Rows are told apart, not ids: no copy is left, and no content goes with the copies."""
+    rng = random.Random(4)
+    long, other, lone, unnamed = (prose(rng, 120) for _ in range(4))
+    rows = [(1, long), (1, long), (5, long), (None, long)]  # repeats, a copy, one without id
+    rows += [(7, other), (2, other + " more"), (7, lone), (None, unnamed), (None, unnamed)]
+    rows += [(8, None), (9, "")]
+    out = corpus_pipeline.near_duplicates(spark, frame(spark, rows), "")
+    want = [(1, long), (2, other + " more"), (7, lone), (None, unnamed), (8, None), (9, "")]
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(want)
+    assert out.dtypes == frame(spark, rows).dtypes
+    cut = corpus_pipeline.repeated_passages(spark, out, "")
+    assert Counter((r.doc_id, r.text) for r in cut.collect()) == Counter(want)
