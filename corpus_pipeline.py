@@ -56,13 +56,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a twentieth or more stands in the benchmark go.
-
-    Rows that share an id go together; rows without an id stay.
-    """
-    found = find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    hit = found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti")
+    """Rows of which a twentieth or more stands in the benchmark go, whatever their id."""
+    rows = numbered(docs)
+    texts = rows.select(F.col("rid").alias("doc_id"), F.col("row.text"))
+    found = find_contamination(texts, read_table(spark, sf_dir, "benchmark"))
+    hit = found.filter(contaminated(F.col("n_hit"), F.col("n_words")))
+    hit = hit.select(F.col("doc_id").alias("rid"))
+    return rows.join(hit, "rid", "left_anti").select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

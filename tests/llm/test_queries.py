@@ -160,3 +160,14 @@ def test_one_row_of_each_near_duplicate_group_stays(spark):
     assert out.dtypes == frame(spark, rows).dtypes
     cut = corpus_pipeline.repeated_passages(spark, out, "")
     assert Counter((r.doc_id, r.text) for r in cut.collect()) == Counter(want)
+
+
+def test_decontamination_judges_rows(spark, tmp_path):
+    """A hit row without an id goes, and a clean row stays beside a hit one of its id."""
+    rng = random.Random(5)
+    item, clean, other = (prose(rng, 40) for _ in range(3))
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, item), (None, clean), (1, item), (1, clean), (2, other), (2, other), (3, None)]
+    out = corpus_pipeline.decontamination(spark, frame(spark, rows), str(tmp_path))
+    want = [(None, clean), (1, clean), (2, other), (2, other), (3, None)]
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(want)
