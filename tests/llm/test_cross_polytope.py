@@ -146,3 +146,17 @@ def test_stray_queries_beside_a_cluster(spark):
     assert {len(got.get(q, ())) for q in ids[::20]} == {20}
     want = exact(ids, rows, [20], 20)
     assert [v for v, _ in got[20]] == [v for v, _ in want[20]]
+
+
+def test_a_repeated_id_takes_one_place_of_its_block():
+    rng = np.random.default_rng(10)
+    rows = rng.normal(size=(60, 8))
+    rows[:30] = rows[0] * np.linspace(1, 2, 30)[:, None]
+    ids = np.concatenate([np.full(30, 3), np.arange(100, 130)])
+    query = rows[:1]
+    got = cp.best_of(np.array([1]), query, ids, rows, 20)
+    score = (rows * query[0]).sum(1)
+    best = {}
+    for i, s in zip(ids.tolist(), score.tolist()):
+        best[i] = max(s, best.get(i, s))
+    assert got == [(1, i, s) for i, s in sorted(best.items(), key=lambda x: (-x[1], x[0]))[:20]]

@@ -211,21 +211,30 @@ _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score",
 def best_of(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int
 ) -> list[tuple[int, int, float]]:
-    """The ``k`` best rows for each query, ties to the smaller id, itself left out."""
+    """The ``k`` best ids for each query, ties to the smaller id, itself left out.
+
+    An id counts once, by its best row.
+    """
     out = []
+    by_id = np.argsort(ids, kind="stable")
+    ids, rows = ids[by_id], rows[by_id]
+    distinct, first, times = np.unique(ids, return_index=True, return_counts=True)
     rough = queries @ rows.T
     rough[query_ids[:, None] == ids[None, :]] = -np.inf
     for i, query_id in enumerate(query_ids.tolist()):
-        near = rough[i]
+        near = np.maximum.reduceat(rough[i], first)
         own = int(np.isneginf(near).sum())
-        kept = min(k, len(ids) - own)
+        kept = min(k, len(distinct) - own)
         if kept <= 0:
             continue
         last = np.partition(near, len(near) - kept)[len(near) - kept]
         # Each pair's sum is formed in one order, so equal vectors tie exactly.
-        at = np.flatnonzero(near >= last - SLACK * max(1.0, abs(last)))
+        close = near >= last - SLACK * max(1.0, abs(last))
+        at = np.flatnonzero(np.repeat(close, times))
         exact = (rows[at] * queries[i]).sum(1)
-        order = np.lexsort((ids[at], -exact))[:kept]
+        order = np.lexsort((-exact, ids[at]))
+        order = order[np.unique(ids[at][order], return_index=True)[1]]
+        order = order[np.lexsort((ids[at][order], -exact[order]))][:kept]
         out += [(query_id, int(ids[at[j]]), float(exact[j])) for j in order]
     return out
 
