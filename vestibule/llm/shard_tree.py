@@ -4,8 +4,10 @@ Every shard draws an exponential number with its weight as the rate, from a hash
 of the row's key and the shard's own name. A rack's draw is the smallest of its
 shards' draws, a region's the smallest of its racks'; the smallest of several
 exponential draws is itself exponential with the sum of the rates, so at each
-level a child wins in proportion to the weight below it. A row goes down from
-the root to the child with the smallest draw. A changed weight changes the draws
+level a child wins in proportion to the weight below it. The child with the smallest
+draw at every level leads to the leaf with the smallest draw of all: the result is
+that of flat weighted rendezvous hashing over the leaves, whose draws are all
+computed, and no level has draws of its own. A changed weight changes the draws
 of one shard and of the rack and region above it alone: rows move into that
 subtree when it grows and out of it when it shrinks, nowhere else.
 """
@@ -53,7 +55,7 @@ def shard_draw(key: Column, shard: Shard) -> Column:
 
 
 def pick_shard(key: Column, shards: Sequence[Shard]) -> Column:
-    """Go down the tree: the region, then the rack, then the shard with the smallest draw."""
+    """The shard with the smallest draw, which also has the smallest of its rack and region."""
     tree: dict[str, dict[str, list[Shard]]] = {}
     for shard in shards:
         tree.setdefault(shard.region, {}).setdefault(shard.rack, []).append(shard)
