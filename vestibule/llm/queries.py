@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vestibule.llm import sql
+from vestibule.llm.alignment import align_tokens, alignment_digests
 from vestibule.llm.chat_parts import chat_digests, format_turns, probe_turns, text_parts
 from vestibule.llm.cross_polytope import nearest_vectors
 from vestibule.llm.jaccard_join import jaccard_components
 from vestibule.llm.license_scan import scan_licenses
 from vestibule.llm.packing import pack_documents
+from vestibule.llm.pieces import encode_pieces
 from vestibule.llm.quality_pu import fit_quality, score_quality
 from vestibule.llm.shard_tree import assign_shards, topology
 from vestibule.llm.shared import read_table, share_package, written
@@ -25,13 +27,15 @@ NEIGHBOURS = 20
 QUERY_ONE_IN = 20
 SHARDS = 24
 TOKENIZER = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file, at the same place on every machine."""
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """A vocabulary file, at the same place on every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +96,25 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies lie on the bytes of every document."""
+    paths = (tokenizer_path(name) for name in (BYTE_VOCABULARY, PIECE_VOCABULARY))
+    return alignment_digests(align_tokens(read_table(spark, sf_dir, "documents"), *paths))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The piece ids of every document and what they read back as, as digests."""
+    docs = read_table(spark, sf_dir, "documents")
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return encode_pieces(docs, tokenizer_path(PIECE_VOCABULARY)).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of the operators, by name."""
     registered = (
@@ -105,6 +128,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_shard_tree,
         op9_best_fit_packing,
         op10_suffix_dedup,
+        op11_token_alignment,
+        op13_sentencepiece,
     )
     return {query.__name__: _shared(query) for query in registered}
 

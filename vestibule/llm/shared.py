@@ -8,12 +8,15 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of a batch that are turned into Python objects at a time, and rows of a batch.
 SLICE_ROWS = 256
 BATCH_ROWS = 1000
+# Bytes of text that are turned into Python objects at a time.
+SLICE_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -85,11 +88,32 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows).to_pydict()
 
 
+def byte_slices(
+    batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES
+) -> Iterator[dict[str, list]]:
+    """The batches as dicts of Python lists, of at most ``most`` bytes in ``column`` each.
+
+    A longer value comes alone.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        start = held = 0
+        for at, size in enumerate(sizes):
+            if at > start and held + size > most:
+                yield batch.slice(start, at - start).to_pydict()
+                start, held = at, 0
+            held += size
+        if batch.num_rows > start:
+            yield batch.slice(start).to_pydict()
+
+
 def record(schema: pa.Schema, **columns) -> pa.RecordBatch:
     """A batch of ``schema`` from one list or array per column."""
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[field.name], type=field.type) for field in schema], schema=schema
-    )
+    made = [
+        column if isinstance(column, pa.Array) else pa.array(column, type=field.type)
+        for field, column in ((field, columns[field.name]) for field in schema)
+    ]
+    return pa.RecordBatch.from_arrays(made, schema=schema)
 
 
 def ddl(schema: pa.Schema) -> str:
