@@ -41,7 +41,7 @@ def test_query_equals_oracle(spark, name, sf):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_repeated_bytes_of_the_sample(spark):

@@ -1,0 +1,193 @@
+"""Repaired conversations against a search through all cheapest edits."""
+
+import hashlib
+import heapq
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import duckdb
+import pytest
+from test_queries import sample
+
+from vestibule.llm import repair
+from vestibule.llm.queries import queries
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if v is None else v for v in (role, text))
+        key = ":".join(" " if v is None else str(v) for v in (conv, turn))
+        way = zlib.crc32(key.encode()) % 20
+        if way == 1:
+            text = ""
+        elif way == 2:
+            text = re.sub("[.!?]", "", text)
+        elif way == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (0 if way == 0 else 2 if way == 3 else 1)
+    return out
+
+
+def faults(rows):
+    """A letter per row: b, d, t or nothing."""
+    seen, out = set(), []
+    for _, _, role, text in rows:
+        bare = text.strip(SPACES)
+        found = "" if bare[-1:] in tuple(".!?") else "t"
+        found = "b" if not bare else "d" if (role, text) in seen else found
+        seen.add((role, text))
+        out.append(found)
+    return out
+
+
+def cheapest(rows, found):
+    """Cost, audit and repaired turns: uniform-cost search that expands least audits first."""
+    before = {"s": ("",), "u": ("", "s", "a"), "a": ("u",)}  # the turns each may follow
+    heap, settled = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, at, last, turns = heapq.heappop(heap)
+        if at == len(rows) and last in ("", "a"):
+            return cost, audit, turns
+        if (at, last) in settled:
+            continue
+        settled.add((at, last))
+        new = [(i, role) for i, role in (("u", "user"), ("a", "assistant")) if last in before[i]]
+        for i, role in new:
+            heapq.heappush(heap, (cost + 3, audit + "I", at, i, (*turns, (role, ""))))
+        if at == len(rows):
+            continue
+        _, _, own, text = rows[at]
+        heapq.heappush(heap, (cost + 4, audit + "D", at + 1, last, turns))
+        if found[at] in ("", "t"):
+            extra = 3 if found[at] else 0
+            if last in before.get(own[:1], ()):
+                kept = (cost + extra, audit + "K", at + 1, own[0], (*turns, (own, text)))
+                heapq.heappush(heap, kept)
+            for i, role in new:
+                changed = (cost + 3 + extra, audit + "R", at + 1, i, (*turns, (role, text)))
+                heapq.heappush(heap, changed)
+    raise AssertionError
+
+
+def expected(rows, broken):
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[0]]
+    for row in broken:
+        groups[row[0]].append(row)
+    out = []
+    for conv, own in groups.items():
+        own.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+        found = faults(own)
+        turns = {r[1] for r in own} - {None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:]))
+        cost, audit, kept = cheapest(own, found)
+        digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in kept).encode()).hexdigest()
+        out.append((conv, gaps, *map(found.count, "bdt"), illegal, cost, audit, digest))
+    return out
+
+
+def frame(spark, rows):
+    schema = "conv_id bigint, turn bigint, role string, text string, at string, code string, kind int"
+    made = [(*row, "x", "y", 9) for row in rows]
+    return spark.createDataFrame(made, schema).repartition(3)
+
+
+def rows_of(seed, n, longest=12):
+    rng = random.Random(seed)
+    texts = ["Hello.", "Yes!", "cut off", "", "  \t", "What?", "ok. ", "a.b", None, "\x1f"]
+    texts += [f"Number {i}." for i in range(60)]
+    roles = ["user", "assistant"] * 6 + ["system", "system", "tool", None, "", "s", "umpire"]
+    out = []
+    for conv in range(n):
+        role = ["system", "user", "assistant"]
+        length = rng.randrange(1, longest)
+        for k in range(length):
+            tidy = rng.random() < 0.7
+            turn = None if rng.random() < 0.05 else k + (rng.random() < 0.1) * rng.randrange(4)
+            made = role[0 if k == 0 and conv % 3 == 0 else 1 + (k + (conv % 3 == 0)) % 2]
+            out.append((conv, turn, made if tidy else rng.choice(roles), rng.choice(texts)))
+    return out + out[:2] + [(None, k, rng.choice(roles), rng.choice(texts)) for k in range(9)]
+
+
+def sorted_rows(rows):
+    return sorted(map(tuple, rows), key=lambda r: (r[0] is None, r[0] or 0))
+
+
+@pytest.mark.parametrize("bits", [repair.SEGMENT_BITS, 1, 0])
+def test_repair_equals_search(spark, bits, monkeypatch):
+    monkeypatch.setattr(repair, "SEGMENT_BITS", bits)
+    rows = rows_of(21 + bits, 150)
+    turns = frame(spark, rows)
+    got = repair.repair_report(repair.repaired_turns(repair.damaged_turns(turns), turns)).collect()
+    assert sorted_rows(got) == sorted_rows(expected(rows, damage(rows)))
+
+
+def test_undamaged_turns_and_empty_tables(spark):
+    rows = [(1, 0, "system", "Be kind."), (1, 1, "user", "Hi!"), (1, 2, "assistant", "Yes?")]
+    got = repair.repair_report(repair.repaired_turns(frame(spark, rows))).collect()
+    digest = hashlib.sha256(b"system:Be kind.\nuser:Hi!\nassistant:Yes?").hexdigest()
+    assert list(map(tuple, got)) == [(1, 0, 0, 0, 0, 0, 0, "KKK", digest)]
+    assert repair.repair_report(repair.repaired_turns(frame(spark, []))).count() == 0
+
+
+def test_one_long_conversation_and_long_texts(spark):
+    """Thousands of rows of one conversation: many segments, and texts of some MB."""
+    rows = [(c, t, r, x) for c, t, r, x in rows_of(33, 1, 2)]
+    rng = random.Random(34)
+    for k in range(3000):
+        role = rng.choice(["user", "assistant"]) if rng.random() < 0.2 else ("user", "assistant")[k % 2]
+        rows.append((7, k, role, rng.choice(["fine.", "cut", ""]) if rng.random() < 0.2 else f"t{k}."))
+    rows.append((8, 0, "user", "long " * 600_000))
+    turns = frame(spark, rows)
+    got = repair.repair_report(repair.repaired_turns(repair.damaged_turns(turns), turns)).collect()
+    assert sorted_rows(got) == sorted_rows(expected(rows, damage(rows)))
+
+
+def all_edits(codes):
+    """Least cost and least audit by dynamic programming from the end."""
+    best = {}
+    for row in range(len(codes), -1, -1):
+        for _ in range(4):  # insertions stay in the column
+            for q in repair.STATES:
+                choices = [(0, "")] if row == len(codes) and q in repair.ENDING else []
+                steps = [("I", (row, repair.ADDED[q]), 3)]
+                if row < len(codes):
+                    code = codes[row]
+                    steps.append(("D", (row + 1, q), 4))
+                    if code not in repair.GONE:
+                        extra = 3 if code.isupper() else 0
+                        steps.append(("R", (row + 1, repair.ADDED[q]), 3 + extra))
+                        kept = repair.FOLLOWS.get(code.lower(), {}).get(q)
+                        if kept is not None:
+                            steps.append(("K", (row + 1, kept), extra))
+                choices += [
+                    (best[end][0] + cost, letter + best[end][1]) for letter, end, cost in steps if end in best
+                ]
+                if choices:
+                    best[row, q] = min(choices)
+    return best[0, repair.START]
+
+
+def test_auction_equals_dynamic_programming():
+    rng = random.Random(35)
+    for _ in range(3000):
+        codes = "".join(rng.choices("suaoSUAObd", [1, 5, 5, 1, 1, 1, 1, 1, 1, 1], k=rng.randrange(14)))
+        lattice = repair.Lattice(codes, repair.AT_END, last=True)
+        assert (lattice.cost_from(0), lattice.trace(0)) == all_edits(codes), codes
+        # Prices stay below every arc's cost plus the price at its far end.
+        for node, arcs in enumerate(lattice.arcs):
+            assert all(lattice.price[node] <= cost + lattice.price[end] for _, end, cost in arcs)
+
+
+def test_query_over_the_sample(spark):
+    folder = sample("0.01")
+    rows = duckdb.sql(f"SELECT conv_id, turn, role, text FROM '{folder}/conversations.parquet'").fetchall()
+    got = queries()["op12_turn_repair"](spark, folder).collect()
+    assert sorted_rows(got) == sorted_rows(expected(rows, damage(rows)))

@@ -17,6 +17,7 @@ from vestibule.llm.license_scan import scan_licenses
 from vestibule.llm.packing import pack_documents
 from vestibule.llm.pieces import encode_pieces
 from vestibule.llm.quality_pu import fit_quality, score_quality
+from vestibule.llm.repair import damaged_turns, repair_report, repaired_turns
 from vestibule.llm.shard_tree import assign_shards, topology
 from vestibule.llm.shared import read_table, share_package, written
 from vestibule.llm.suffix_dedup import repeated_spans
@@ -102,6 +103,12 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_digests(align_tokens(read_table(spark, sf_dir, "documents"), *paths))
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by rule and repaired by the cheapest edits."""
+    turns = read_table(spark, sf_dir, "conversations")
+    return repair_report(repaired_turns(damaged_turns(turns), turns))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The piece ids of every document and what they read back as, as digests."""
     docs = read_table(spark, sf_dir, "documents")
@@ -129,6 +136,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_best_fit_packing,
         op10_suffix_dedup,
         op11_token_alignment,
+        op12_turn_repair,
         op13_sentencepiece,
     )
     return {query.__name__: _shared(query) for query in registered}
