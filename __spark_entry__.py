@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from datetime import date
 from importlib.util import find_spec
 from pathlib import Path
 
@@ -24,9 +25,15 @@ from vestibule.operators.lookbacks import (
 )
 from vestibule.plans import change, onboarding, openings, pipeline
 from vestibule.session import shared_folder
-from vestibule.sources import schemas, standins
-from vestibule.sources.reports import read_report, write_report
+from vestibule.sources import bucketed, publish, schemas, standins
+from vestibule.sources.reports import (
+    read_quarantine,
+    read_report,
+    read_report_sorted_out,
+    write_report,
+)
 from vestibule.sources.tables import read_table
+from vestibule.state import bitmaps, cohorts, hours
 
 LOOKBACKS = (change.BASE, *change.EARLIER)
 
@@ -115,17 +122,162 @@ def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_report(spark, folder, "cohort_matrix", schemas.COHORT_MATRIX)
 
 
-def openings_by_hour_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events copied into a log partitioned by the day after, and read by that column."""
+def _log_by_load_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events copied into a log partitioned by the day after, as column ``dia``."""
     path = f"{shared_folder(spark)}/events"
     log = standins.event_log(spark, sf_dir)
     loaded = log.withColumn("dia", F.date_add(F.to_date("dt_ocorrencia"), 1))
     loaded.repartition("dia").write.partitionBy("dia").parquet(path)
-    copy = read_table(spark, path, schemas.EVENT_LOG, "dia")
+    return read_table(spark, path, schemas.EVENT_LOG, "dia")
+
+
+def _stored_calendar(spark: SparkSession) -> DataFrame:
+    """The calendar as a stored table."""
+    path = f"{shared_folder(spark)}/calendar"
+    standins.calendar(spark).write.parquet(path)
+    return read_table(spark, path, schemas.CALENDAR)
+
+
+def _days_of(log: DataFrame) -> list[date]:
+    """The days that a log has events on: a row per day reaches the driver."""
+    days = log.select(F.to_date("dt_ocorrencia").alias("dia")).distinct()
+    return sorted(row.dia for row in days.collect())
+
+
+def openings_by_hour_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The openings by hour of a log partitioned by the day of loading."""
+    copy = _log_by_load_day(spark, sf_dir)
     kind, as_of = standins.SIGNUP, standins.AS_OF
     return openings.openings_by_hour(copy, as_of, kind, partition="dia", late_days=1)
 
 
+def lookback_counts_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of every lookback, from that log and a stored calendar."""
+    days = fetch_lookbacks(_stored_calendar(spark), standins.AS_OF, LOOKBACKS)
+    copy = _log_by_load_day(spark, sf_dir)
+    return count_lookbacks(copy, days, standins.SIGNUP, F.col("dia"), late_days=1)
+
+
+def business_day_rollback_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days to compare with, for every day of the log, from a stored calendar."""
+    days = standins.event_log(spark, sf_dir).select(F.to_date("dt_ocorrencia").alias("as_of"))
+    resolved = resolve_lookbacks_of(_stored_calendar(spark), days.distinct(), LOOKBACKS)
+    return resolved.select(
+        F.col("as_of").cast("string").alias("as_of"),
+        "k",
+        F.col("d0").cast("string").alias("d0"),
+        F.col("day").cast("string").alias("day"),
+    )
+
+
+def hourly_change_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change without a job while planning: a stored calendar prunes the log as it runs."""
+    log, calendar = _log_by_load_day(spark, sf_dir), _stored_calendar(spark)
+    return change.hourly_change_pruned(
+        log, calendar, standins.AS_OF, "dia", standins.SIGNUP, late_days=1
+    )
+
+
+def hourly_change_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change from kept hours: Monday's run first, then the one that reads what is new."""
+    path = f"{shared_folder(spark)}/hours"
+    log, calendar = standins.event_log(spark, sf_dir), standins.calendar(spark)
+    for as_of in (standins.AS_OF_MONDAY, standins.AS_OF):
+        report = hours.hourly_change_kept(log, calendar, as_of, path, standins.SIGNUP)
+    return report
+
+
+def openings_from_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The openings by month from one bitmap per day; the last day comes in a run of its own."""
+    path = f"{shared_folder(spark)}/bitmaps"
+    log = standins.event_log(spark, sf_dir)
+    *earlier, last = _days_of(log)
+    for days in (earlier, [last]):
+        bitmaps.refresh_bitmaps(log, path, days, standins.SIGNUP)
+    return bitmaps.openings_from_bitmaps(bitmaps.read_bitmaps(spark, path), standins.AS_OF)
+
+
+def openings_from_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for ids that lie far apart: each gets a number close to others first."""
+    folder = shared_folder(spark)
+    path, numbers = f"{folder}/bitmaps", f"{folder}/numbers"
+    far = F.col("cd_cpfcgc") * F.lit(1_000_003) + F.lit(10_000_000_000)
+    log = standins.event_log(spark, sf_dir).withColumn("cd_cpfcgc", far)
+    days = _days_of(log)
+    for part in (days[: len(days) // 2], days[len(days) // 2 :]):
+        bitmaps.refresh_bitmaps(log, path, part, standins.SIGNUP, numbers)
+    return bitmaps.openings_from_bitmaps(bitmaps.read_bitmaps(spark, path), standins.AS_OF)
+
+
+def openings_of_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The openings by month from a copy of the log in buckets by id."""
+    folder = shared_folder(spark)
+    table = f"log_{folder.rsplit('-', 1)[-1]}"
+    log = standins.event_log(spark, sf_dir)
+    copy = bucketed.write_bucketed(log, table, buckets=8, path=f"{folder}/log")
+    return bucketed.openings_of_buckets(copy, standins.AS_OF, standins.SIGNUP)
+
+
+def cohort_matrix_from_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix from kept sums: all clients as they were, then those that have changed."""
+    path = f"{shared_folder(spark)}/sums"
+    now = standins.clients(spark, sf_dir)
+    before = standins.earlier_clients(now)
+    batches = {
+        "base": before.withColumn(cohorts.SIGN, F.lit(1)),
+        "changes": cohorts.signed_changes(before, now),
+    }
+    for name, rows in batches.items():
+        deltas = cohorts.cohort_deltas(rows, standins.SINCE, **standins.PATTERNS)
+        cohorts.store_deltas(deltas, path, name)
+    return cohorts.matrix_from_sums(cohorts.stored_sums(spark, path))
+
+
+def cohort_matrix_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix over clients whose hot orders are split by the plan."""
+    clients = standins.clients(spark, sf_dir, rows_per_task=1_000_000)
+    return onboarding.cohort_matrix(clients, standins.SINCE, **standins.PATTERNS)
+
+
+def cohort_matrix_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix as readers see it after two runs were published as a whole."""
+    folder = shared_folder(spark)
+    matrices = (cohort_matrix_sparse(spark, sf_dir), cohort_matrix(spark, sf_dir))
+    for matrix in matrices:
+        publish.publish_reports(spark, folder, {"cohort_matrix": matrix})
+    return publish.read_published(spark, folder, "cohort_matrix", schemas.COHORT_MATRIX)
+
+
+def _with_broken_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a report with a line of two fields beside each good one."""
+    folder = shared_folder(spark)
+    write_report(cohort_matrix(spark, sf_dir), folder, "cohort_matrix")
+    good = spark.read.option("header", False).text(f"{folder}/cohort_matrix")
+    fields = F.split("value", ",")
+    head = F.col("value").startswith("mes")
+    broken = good.filter(~head).select(F.concat(fields[0], F.lit(",?")).alias("value"))
+    header = good.filter(head).limit(1)
+    rows = header.unionByName(broken).coalesce(1)  # a dozen lines
+    rows.write.mode("append").text(f"{folder}/cohort_matrix")
+    return folder
+
+
+def cohort_matrix_sorted_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The good lines of a report with broken ones."""
+    folder = _with_broken_lines(spark, sf_dir)
+    return read_report_sorted_out(
+        spark, folder, "cohort_matrix", schemas.COHORT_MATRIX, f"{folder}/quarantine"
+    )
+
+
+def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The broken ones."""
+    folder = _with_broken_lines(spark, sf_dir)
+    quarantine = f"{folder}/quarantine"
+    read_report_sorted_out(spark, folder, "cohort_matrix", schemas.COHORT_MATRIX, quarantine)
+    return read_quarantine(spark, quarantine, "cohort_matrix").drop("arquivo")
+
+
 def cohort_matrix_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The matrix from a later day on: some cells have no client."""
     clients = standins.clients(spark, sf_dir)
@@ -175,6 +327,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         cohort_matrix_sparse,
         cohort_matrix_stray_text,
         lookback_bars,
+        lookback_counts_partitioned,
+        business_day_rollback_stored,
+        hourly_change_pruned,
+        hourly_change_kept,
+        openings_from_bitmaps,
+        openings_from_numbers,
+        openings_of_buckets,
+        cohort_matrix_from_deltas,
+        cohort_matrix_salted,
+        cohort_matrix_published,
+        cohort_matrix_sorted_out,
+        quarantined_lines,
     )
     return {query.__name__: query for query in registered} | _optional("queries")
 
@@ -323,6 +487,13 @@ def oracle_sql() -> dict[str, str]:
     in_order = " SELECT * FROM matrix ORDER BY mes"
     matrix = _FLAGS + _MATRIX + in_order
     bars = "SELECT {x} AS x, n AS height, n::VARCHAR AS label, n / 2 AS label_y"
+    by_hour = change + "SELECT * FROM change ORDER BY hora"
+    counts = _COUNTS.format(as_of=standins.AS_OF) + "SELECT * FROM counted"
+    rollback = (
+        "WITH asked AS (SELECT DISTINCT ts::DATE AS as_of FROM events),"
+        + _RESOLVED
+        + "SELECT as_of::VARCHAR AS as_of, k, d0::VARCHAR AS d0, day::VARCHAR AS day FROM resolved"
+    )
     return {
         "openings_by_month": by_month,
         "openings_by_month_orders": _OPENINGS_BY_MONTH.format(
@@ -335,13 +506,23 @@ def oracle_sql() -> dict[str, str]:
                    count(DISTINCT o_custkey) FILTER (hour(o_orderdate) = h)::BIGINT AS n
             FROM range(24) AS hours(h), orders GROUP BY h
         """,
-        "business_day_rollback": "WITH asked AS (SELECT DISTINCT ts::DATE AS as_of FROM events),"
-        + _RESOLVED
-        + """
-            SELECT as_of::VARCHAR AS as_of, k, d0::VARCHAR AS d0, day::VARCHAR AS day FROM resolved
-        """,
-        "lookback_counts": _COUNTS.format(as_of=standins.AS_OF) + "SELECT * FROM counted",
-        "hourly_change": change + "SELECT * FROM change ORDER BY hora",
+        "business_day_rollback": rollback,
+        "business_day_rollback_stored": rollback,
+        "lookback_counts": counts,
+        "lookback_counts_partitioned": counts,
+        "hourly_change": by_hour,
+        "hourly_change_pruned": by_hour,
+        "hourly_change_kept": by_hour,
+        "openings_from_bitmaps": by_month,
+        "openings_from_numbers": by_month,
+        "openings_of_buckets": by_month,
+        "cohort_matrix_from_deltas": matrix,
+        "cohort_matrix_salted": matrix,
+        "cohort_matrix_published": matrix,
+        "cohort_matrix_sorted_out": matrix,
+        "quarantined_lines": _FLAGS
+        + _MATRIX
+        + " SELECT 'cohort_matrix' AS relatorio, mes || ',?' AS linha FROM matrix",
         "hourly_change_monday": _CHANGE.format(as_of=standins.AS_OF_MONDAY)
         + "SELECT * FROM change ORDER BY hora",
         "profile_flags_by_gap": _FLAGS + "SELECT * FROM flags",

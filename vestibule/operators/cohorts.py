@@ -26,9 +26,12 @@ def flagged_clients(
     person_type: str = PERSON_TYPE,
     no_profile: Sequence[str] = NO_PROFILE,
     known_profiles: Sequence[str] = KNOWN_PROFILES,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``(mes, gap, sem, com)`` per client: creation month, months to update, flags.
 
+    The columns named in ``carry`` stay beside them.
+
     ``sem`` marks a client without a profile, ``com`` one with a known profile;
     any other text is neither. There is no upper date bound and ``mes`` is the
     month number, so equal months of different years fall together.
@@ -41,6 +44,7 @@ def flagged_clients(
         whole_months(F.col("dt_atualiz"), F.col("dt_criacao")).alias("gap"),
         flag(profile.isNull() | contains_any(profile, no_profile)).alias("sem"),
         flag(contains_any(profile, known_profiles)).alias("com"),
+        *carry,
     )
 
 

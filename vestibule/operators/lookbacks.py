@@ -86,10 +86,48 @@ def lookback_profile(
         .select(F.hour(at).alias("hora"), F.to_date(at).alias("day"), "cd_cpfcgc")
         .distinct()
     )
+    return count_seen(seen, days, ks)
+
+
+def count_seen(seen: DataFrame, days: Mapping[int, date], ks: Sequence[int]) -> DataFrame:
+    """``(hora, d<k>...)`` from distinct ``(hora, day, cd_cpfcgc)``: they are only counted."""
     cells = [_ids_on(days.get(k)).alias(f"d{k}") for k in ks]
     return seen.groupBy("hora").agg(*cells) if cells else seen.select("hora").distinct()
 
 
+def joined_profile(
+    events: DataFrame,
+    resolved: DataFrame,
+    ks: Sequence[int],
+    kind: str,
+    partition: str,
+    late_days: int = 0,
+) -> DataFrame:
+    """``lookback_profile`` with the days as a table: planning it runs no job.
+
+    ``resolved`` is ``(k, day)``, one row per ``k`` at most, as from
+    ``resolve_lookbacks``. The days are joined to ``partition``, the date column the log
+    is partitioned by, so Spark reads the calendar when the query runs and then only the
+    partitions that it names. Ids are counted per day before they meet the lookbacks, so
+    two that read the same day share its rows.
+    """
+    at = F.col("dt_ocorrencia")
+    late = F.explode(F.sequence(F.lit(0), F.lit(late_days))).alias("late")
+    stored = resolved.select("day").distinct().select("day", late)
+    stored = stored.select("day", F.date_add("day", F.col("late")).alias("stored"))
+    # At most a few days for each of ``ks``: a bounded broadcast.
+    on_day = (F.col(partition) == F.col("stored")) & (F.to_date(at) == F.col("day"))
+    of_kind = events.filter(F.col("ds_ocorrencia") == kind)
+    seen = of_kind.join(F.broadcast(stored), on_day).select(
+        F.hour(at).alias("hora"), "day", "cd_cpfcgc"
+    )
+    # A row per hour and day, then one per lookback: all small from here on.
+    counts = seen.groupBy("hora", "day").agg(F.count_distinct("cd_cpfcgc").alias("n"))
+    long = counts.join(F.broadcast(resolved.select("k", "day")), "day")
+    cells = [F.max(F.when(F.col("k") == k, F.col("n"))).alias(f"d{k}") for k in ks]
+    return long.groupBy("hora").agg(*cells)
+
+
 def _ids_on(day: date | None) -> Column:
     """Number of non-null ids on ``day`` among distinct rows; null without any row."""
     if day is None:
@@ -103,9 +141,10 @@ def lookback_counts(
     days: Mapping[int, date],
     kind: str,
     partition: Column | None = None,
+    late_days: int = 0,
 ) -> DataFrame:
     """``(k, hora, n)``: the profile as one row per lookback and hour that saw an event."""
-    wide = lookback_profile(events, days, sorted(days), kind, partition)
+    wide = lookback_profile(events, days, sorted(days), kind, partition, late_days)
     cells = [cell for k in sorted(days) for cell in (F.lit(k), F.col(f"d{k}"))]
     by_lookback = F.create_map(*cells).cast("map<int, bigint>")
     long = wide.select("hora", F.explode(by_lookback).alias("k", "n"))

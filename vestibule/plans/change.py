@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from vestibule.functions.measures import relative_change
 from vestibule.operators.densify import HOURS, densify
-from vestibule.operators.lookbacks import fetch_lookbacks, lookback_profile
+from vestibule.operators.lookbacks import (
+    fetch_lookbacks,
+    joined_profile,
+    lookback_profile,
+    resolve_lookbacks,
+)
 from vestibule.plans.openings import OPENING, fill_hours
 
 # The lookbacks in calendar days, the first being the base.
@@ -39,6 +44,23 @@ def hourly_change(
     return change_of(lookback_profile(events, days, ks, kind, day, late_days))
 
 
+def hourly_change_pruned(
+    events: DataFrame,
+    calendar: DataFrame,
+    as_of: date,
+    partition: str,
+    kind: str = OPENING,
+    late_days: int = 0,
+) -> DataFrame:
+    """``hourly_change`` of a log partitioned by date, planned without running a job.
+
+    The calendar is read when the query runs; the days it names prune the partitions.
+    """
+    ks = (BASE, *EARLIER)
+    resolved = resolve_lookbacks(calendar, as_of, ks)
+    return change_of(joined_profile(events, resolved, ks, kind, partition, late_days))
+
+
 def hour_profile(
     events: DataFrame,
     calendar: DataFrame,

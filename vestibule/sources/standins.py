@@ -14,6 +14,8 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from vestibule.operators.salting import salted_join
+
 # Which sample rows stand in for which report input.
 AS_OF = date(2024, 1, 31)
 AS_OF_MONDAY = date(2024, 1, 29)
@@ -22,6 +24,7 @@ ORDERS_AS_OF = date(1998, 12, 31)
 ORDERS_KIND = "F"
 SINCE = date(1998, 7, 1)
 SPARSE_SINCE = date(2000, 6, 1)
+UPDATED_SINCE = date(1999, 1, 1)
 PATTERNS = {
     "no_profile": ("NOT SPECIFIED",),
     "known_profiles": ("URGENT", "HIGH", "MEDIUM"),
@@ -82,7 +85,23 @@ def calendar(spark: SparkSession) -> DataFrame:
     )
 
 
-def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+def earlier_clients(now: DataFrame) -> DataFrame:
+    """The client view as it was before: updates from 1999 on had not been made yet.
+
+    Who was updated since then had no update date and no profile; some others, created
+    on the first ten days of a month, had another profile.
+    """
+    updated = F.coalesce(F.col("dt_atualiz") >= F.lit(UPDATED_SINCE), F.lit(False))
+    other = F.when(F.dayofmonth("dt_criacao") <= 10, F.lit("2-HIGH")).otherwise(F.col("perfil"))
+    return now.select(
+        "dt_criacao",
+        F.when(~updated, F.col("dt_atualiz")).alias("dt_atualiz"),
+        F.when(~updated, other).alias("perfil"),
+        "tp_pessoa",
+    )
+
+
+def clients(spark: SparkSession, sf_dir: str, rows_per_task: int | None = None) -> DataFrame:
     """``orders LEFT JOIN lineitem`` as the client view, one row per order line.
 
     Written as the matched rows plus the orders without lines. Spark can split
@@ -91,7 +110,8 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     the inner join: a merge join streams its left side and holds the matches of
     its right, here a single order and not all lines of one. Orders without a key
     match nothing and are a third part; without them both joins filter the orders
-    alike and share their exchange.
+    alike and share their exchange. With ``rows_per_task`` hot orders are split by the
+    plan itself and not by replanning.
     """
     orders = spark.read.schema(_ORDERS).parquet(f"{sf_dir}/orders.parquet")
     lines = spark.read.schema(_LINES).parquet(f"{sf_dir}/lineitem.parquet")
@@ -103,7 +123,11 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("tp_pessoa"),
     )
     keyed = client.filter(F.col("l_orderkey").isNotNull())
-    updated = lines.withColumnRenamed("l_shipdate", "dt_atualiz").join(keyed, "l_orderkey")
+    lines_made = lines.withColumnRenamed("l_shipdate", "dt_atualiz")
+    if rows_per_task is None:
+        updated = lines_made.join(keyed, "l_orderkey")
+    else:
+        updated = salted_join(lines_made, keyed, "l_orderkey", rows_per_task)
     unseen = keyed.join(lines.select("l_orderkey").distinct(), "l_orderkey", "left_anti")
     unkeyed = client.filter(F.col("l_orderkey").isNull())
     without = unseen.unionByName(unkeyed).withColumn("dt_atualiz", F.lit(None).cast("timestamp_ntz"))
