@@ -13,6 +13,15 @@ def raw(text):
     return (text or "").encode()
 
 
+def thue_morse(length):
+    """Two different strings of a and b with one polynomial hash modulo 2 ** 64."""
+    swap = str.maketrans("ab", "ba")
+    first = "a"
+    while len(first) < length:
+        first += first.translate(swap)
+    return first[:length], first[:length].translate(swap)
+
+
 def words(text, pattern=ALNUM):
     return pattern.findall(raw(text).lower())
 

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from cases import documents, edited, frame, jaccard_components, prose
+from cases import documents, edited, frame, jaccard_components, prose, thue_morse
 
 from vestibule.llm import jaccard_join as jj
 
@@ -61,3 +61,23 @@ def test_levels_of_linked_sizes():
         most = n * 100 // 80
         assert jj.level_of(most) - jj.level_of(n) in (0, 1)
         assert jj.level_classes(jj.level_of(n)) <= max(1, n * 20 // 100)
+
+
+@pytest.mark.parametrize("length", [1024, 2048])
+def test_words_made_to_collide_stay_apart(spark, length):
+    first, second = thue_morse(length)
+    rows = [(1, first), (2, second), (3, f"{first} a b c d e"), (4, f"{second} a b c d e"), (5, second)]
+    rows += [(6, "é" * 100_000), (7, "é" * 100_001), (8, "w " * 400_000), (9, "W " * 400_001)]
+    assert got(spark, rows) == jaccard_components(rows)
+
+
+def test_rows_without_an_id_are_told_apart_by_their_texts(spark):
+    rng = random.Random(8)
+    texts = [prose(rng, 40) for _ in range(60)]
+    rows = [(None, t) for t in texts + texts[:20]] + [(k, t) for k, t in enumerate(texts[10:30])]
+    found = jj.jaccard_components(frame(spark, rows)).collect()
+    named = {(r.doc_id, r.component_id) for r in found}
+    assert named == {(k, k) for k in range(20)} | {(None, k) for k in range(20)} | {(None, None)}
+    assert sum(r.doc_id is None and r.component_id is None for r in found) == sum(
+        t not in texts[10:30] for t in texts + texts[:20]
+    )

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from cases import documents, frame
+from cases import documents, frame, thue_morse
 from tokenizers import Tokenizer
 
 from vestibule.llm import packing, token_ids, wavelet
@@ -40,6 +40,32 @@ def test_encoder_equals_the_library(library, limits, monkeypatch):
         assert ids[first[i] : first[i + 1]].tolist() == ids_of(library, text), text
 
 
+@pytest.mark.parametrize("hashes", [1, 3, 50])
+def test_pieces_that_share_a_hash_keep_their_ids(library, hashes, monkeypatch):
+    """With a handful of hashes for all pieces, within a block, across blocks and after forgetting."""
+    few = lambda block, starts, ends: ((block[starts] + ends - starts) % hashes).astype(np.uint64)
+    monkeypatch.setattr(token_ids, "span_hashes", few)
+    monkeypatch.setattr(token_ids, "BLOCK", 200)
+    monkeypatch.setattr(token_ids, "RECENT", 2)
+    monkeypatch.setattr(token_ids, "REMEMBERED", 4)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(["ab", "ba", "abc", "cab", "x", "y1", "zz-"], k=20)) for _ in range(60)]
+    texts += list(thue_morse(2048))
+    ids, first = token_ids.Encoder(PATH).encode([t.encode() for t in texts])
+    for i, text in enumerate(texts):
+        assert ids[first[i] : first[i + 1]].tolist() == ids_of(library, text), text
+
+
+def test_words_made_to_collide_in_shards_and_sequences(spark, library):
+    rows = list(enumerate([*thue_morse(1024), *thue_morse(2048), "x" * 100_000, "word " * 300_000]))
+    shards = wavelet.token_shards(frame(spark, rows, 1), PATH).collect()
+    ids = {doc_id: ids_of(library, text) for doc_id, text in rows}
+    assert {r.doc_id: r.ids_crc32 for r in shards} == {d: crc([*i, 2]) for d, i in ids.items()}
+    pieces = packing.pack_documents(frame(spark, rows, 1), PATH).collect()
+    want = {(d, k // 4096): crc([*i, 1][k : k + 4096]) for d, i in ids.items() for k in range(0, len(i) + 1, 4096)}
+    assert {(r.doc_id, r.piece): r.ids_crc32 for r in pieces} == want
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 

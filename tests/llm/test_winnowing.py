@@ -1,8 +1,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from cases import frame, prose, words
+from cases import frame, prose, thue_morse, words
 from pyspark.sql import functions as F
 
 from vestibule.llm import winnowing as wn
@@ -78,3 +79,45 @@ def test_contaminated_from_a_twentieth(spark):
     rows = spark.createDataFrame([(0, 0), (1, 20), (1, 21), (0, 5)], "h int, n int")
     got = rows.select(wn.contaminated(F.col("h"), F.col("n")).alias("c")).collect()
     assert [r.c for r in got] == [False, True, False, False]
+
+
+@pytest.mark.parametrize("length", [1024, 2048])
+def test_words_made_to_collide_are_no_hits(spark, length):
+    first, second = thue_morse(length)
+    items = [(1, first), (2, f"{second} b"), (3, "q" * 100_000)]
+    rows = [(1, first), (2, second), (3, f"x {second} b {first}"), (4, "q" * 100_000), (5, "q" * 99_999)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = wn.find_contamination(frame(spark, rows), benchmark).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r["items"], len(r.spans)) for r in got) == brute(rows, items)
+
+
+def test_fingerprints_that_agree_are_extended_by_words():
+    batch = {"rid": [1, 2], "item_id": [7, 7], "window": [3, 3], "at": [4, 4], "left": [1, 1]}
+    batch |= {"words": [b"one TWO,three four", b"one two other"], "item_left": [1, 1]}
+    batch |= {"item_words": [b"one two three"] * 2}
+    rows = pa.RecordBatch.from_pydict(batch)
+    assert [t for b in wn._extend([rows]) for t in b.to_pylist()] == [
+        {"rid": 1, "item_id": 7, "start": 3, "end": 6}
+    ]
+
+
+def test_a_text_of_very_many_runs_and_a_very_long_one(spark):
+    items = [(i, f"k{i} l{i} m{i}") for i in range(40)]
+    hits = " ".join(f"k{i % 40} l{i % 40} m{i % 40} free{i}" for i in range(10_000))
+    rows = [(1, hits), (2, "free " * 600_000 + "k1 l1 m1")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {r.doc_id: r for r in wn.find_contamination(frame(spark, rows), benchmark).collect()}
+    assert (got[1].n_words, got[1].n_hit, len(got[1].spans), len(got[1]["items"])) == (40_000, 30_000, 10_000, 40)
+    assert [tuple(s) for s in got[1].spans[:2]] == [(0, 3), (4, 7)]
+    assert (got[2].n_words, got[2].n_hit, [tuple(s) for s in got[2].spans]) == (600_003, 3, [(600_000, 600_003)])
+
+
+def test_spans_that_touch_or_overlap_become_one(spark):
+    rng = random.Random(4)
+    rows = [(rid, 0, s, s + rng.randrange(1, 9)) for rid in range(5) for s in (rng.randrange(300) for _ in range(60))]
+    runs = spark.createDataFrame(rows, "rid bigint, item_id bigint, start bigint, end bigint")
+    for rid, spans in wn.merged_spans(runs).collect():
+        hit = {k for r, _, s, e in rows if r == rid for k in range(s, e)}
+        starts = [k for k in sorted(hit) if k - 1 not in hit]
+        assert [s for s, _ in spans] == starts
+        assert {k for s, e in spans for k in range(s, e)} == hit

@@ -14,6 +14,8 @@ tokens do not rule out, are compared with the rest, block by block.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -22,7 +24,15 @@ from pyspark.sql import functions as F
 
 from vestibule.llm import packed
 from vestibule.llm.components import components
-from vestibule.llm.shared import ddl, map_arrow, slices, utf8, written, written_and_counted
+from vestibule.llm.shared import (
+    byte_slices,
+    ddl,
+    map_arrow,
+    slices,
+    utf8,
+    written,
+    written_and_counted,
+)
 from vestibule.llm.words import BLANK, grams, mix, words_of
 
 SHINGLE = 5
@@ -60,10 +70,10 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE):
         at = end
 
 
-def set_key(shingles: np.ndarray) -> int:
-    """One number per set, the same for equal sets."""
-    whole = mix(shingles).sum(dtype=np.uint64) + np.uint64(len(shingles))
-    return int(mix(np.array([whole]))[0].astype(np.int64))
+def set_key(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits per set, the same for equal sets."""
+    digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+    return tuple(np.frombuffer(digest, np.int64).tolist())
 
 
 def least_overlap(n: np.ndarray | int, other: np.ndarray | int) -> np.ndarray | int:
@@ -135,20 +145,25 @@ _SETS = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("n_shingles", pa.int64()),
-        ("node", pa.int64()),
+        ("key", pa.int64()),
+        ("check", pa.int64()),
+        ("place", pa.int64()),
         ("n_bytes", pa.int64()),
     ]
 )
 
 
 def _read_sets(batches):
-    for rows in slices(batches):
+    for rows in byte_slices(batches, "raw"):
         sets = list(shingle_sets(rows["raw"]))
+        keys = list(map(set_key, sets))
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": rows["doc_id"],
                 "n_shingles": list(map(len, sets)),
-                "node": list(map(set_key, sets)),
+                "key": [key for key, _ in keys],
+                "check": [check for _, check in keys],
+                "place": rows["place"],
                 "n_bytes": list(map(len, rows["raw"])),
             },
             schema=_SETS,
@@ -166,35 +181,34 @@ _NODES = pa.schema(
 )
 
 
-def _node_sets(docs: pa.Table, nodes: dict[int, int | None]):
+def _node_sets(docs: pa.Table, nodes: dict[int, dict]):
     """``(node, shingles)`` of the texts that stand for a node, each node once."""
     done = set()
-    for start in range(0, docs.num_rows, 256):
-        part = docs.slice(start, 256)
-        ids, raws = part.column("doc_id").to_pylist(), part.column("raw").to_pylist()
-        kept = [raw for doc_id, raw in zip(ids, raws, strict=True) if doc_id in nodes]
-        ids = [doc_id for doc_id in ids if doc_id in nodes]
-        for doc_id, shingles in zip(ids, shingle_sets(kept), strict=True):
-            node = set_key(shingles)
-            if node in nodes[doc_id] and node not in done:
+    for batch in docs.to_batches(max_chunksize=256):
+        places = batch.column("place").to_pylist()
+        kept = [k for k, place in enumerate(places) if place in nodes]
+        raws = batch.column("raw").take(pa.array(kept, pa.int64())).to_pylist()
+        for k, shingles in zip(kept, shingle_sets(raws), strict=True):
+            node = nodes[places[k]].get(set_key(shingles))
+            if node is not None and node not in done:
                 done.add(node)
                 yield node, shingles
 
 
-def _by_doc(rows: pa.Table) -> dict:
-    """The nodes that each document stands for (more than one where an id repeats)."""
+def _by_place(rows: pa.Table) -> dict[int, dict]:
+    """The nodes by the place of the text that stands for them, then by their set."""
     found: dict = {}
-    for doc_id, node in zip(
-        rows.column("rep").to_pylist(), rows.column("node").to_pylist(), strict=True
+    for place, node, *key in zip(
+        *(rows.column(c).to_pylist() for c in ("place", "node", "key", "check")), strict=True
     ):
         if node is not None:
-            found.setdefault(doc_id, set()).add(node)
+            found.setdefault(place, {})[tuple(key)] = node
     return found
 
 
 def _request(buckets: int):
     def ask(key: tuple, docs: pa.Table, nodes: pa.Table) -> pa.Table:
-        sets = [shingles for _, shingles in _node_sets(docs, _by_doc(nodes))]
+        sets = [shingles for _, shingles in _node_sets(docs, _by_place(nodes))]
         values = np.concatenate(sets) if sets else np.empty(0, np.uint64)
         values, times = np.unique(values, return_counts=True)
         return packed.requests(key[0].as_py(), values, times, buckets)
@@ -222,7 +236,7 @@ def _index(docs: pa.Table, rows: pa.Table) -> pa.Table:
         times.append(packed.unpack(data[cut:], np.uint32))
     known, known_times = np.concatenate(values), np.concatenate(times)
     out = {name: [] for name in _NODES.names}
-    for node, shingles in _node_sets(docs, _by_doc(rows)):
+    for node, shingles in _node_sets(docs, _by_place(rows)):
         if not len(known):
             break
         at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
@@ -345,33 +359,40 @@ def jaccard_components(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Null and empty texts have no shingles, link with nothing and are components of
     their own. Equal sets always link, so repeated rows and copies share a
-    component. Rows that repeat an id with another text are separate documents. Extra
-    columns are not read; an empty table gives no rows.
+    component. Rows that repeat an id with another text are separate documents. Very
+    long texts and words are read whole, some megabytes at a time or a longer text
+    alone. Extra columns are not read; an empty table gives no rows. Sets are told
+    apart by 128 bits, shingles within a comparison by 64.
     """
-    rows = docs.select("doc_id", utf8(F.col(text)).alias("raw"))
+    raw = utf8(F.col(text))
+    # Texts are dealt by id and text: neither one id nor rows without any make a hot batch.
+    rows = docs.select("doc_id", raw.alias("raw"), F.xxhash64("doc_id", raw).alias("place"))
     sets = written(map_arrow(rows, _read_sets, _SETS), "shingle-sets")
     reps = written(
         sets.filter("n_shingles > 0")
-        .groupBy("node")
+        .groupBy("key", "check")
         .agg(
             F.min("doc_id").alias("rep"),
+            F.min("place").alias("place"),
             F.min("n_bytes").alias("n_bytes"),
             F.max("n_shingles").alias("n"),
-        ),
+        )
+        .withColumn("node", F.monotonically_increasing_id()),
         "shingle-nodes",
     )
     size = reps.agg(F.sum("n_bytes").alias("bytes"), F.sum("n").alias("tokens")).first()
     n_batches = packed.batch_count(size.bytes or 0)
     buckets = max(packed.LEAST, -(-(size.tokens or 0) // packed.BUCKET_VALUES))
 
-    dealt = rows.withColumn("batch", packed.batch_of(F.col("doc_id"), n_batches)).groupBy("batch")
-    standing = reps.select("node", "rep", packed.batch_of(F.col("rep"), n_batches).alias("batch"))
+    batch = packed.batch_of(F.col("place"), n_batches).alias("batch")
+    dealt = rows.select("raw", "place", batch).groupBy("batch")
+    standing = reps.select("node", "key", "check", "place", batch)
     asked = dealt.cogroup(standing.groupBy("batch")).applyInArrow(
         _request(buckets), ddl(packed.REQUEST)
     )
     answers = packed.totals(asked, _answer_shared).filter("answer is not null")
     told = standing.select(
-        "batch", "node", "rep", F.lit(None).cast("int").alias("bucket"),
+        "batch", "node", "key", "check", "place", F.lit(None).cast("int").alias("bucket"),
         F.lit(None).cast("binary").alias("answer"),
     ).unionByName(answers, allowMissingColumns=True)
     nodes = dealt.cogroup(told.groupBy("batch")).applyInArrow(_index, ddl(_NODES))
@@ -402,11 +423,11 @@ def jaccard_components(docs: DataFrame, text: str = "text") -> DataFrame:
     smallest = found.join(reps, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     named = found.join(smallest, "component").select("node", "component_id")
     of_node = reps.join(named, "node", "left").select(
-        "node", F.coalesce("component_id", "rep").alias("component_id")
+        "key", "check", F.coalesce("component_id", "rep").alias("component_id")
     )
     # Written, so that Spark can split the rows of a node with very many copies below.
     of_node = written(of_node, "node-components")
     linked = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return sets.join(of_node, "node", "left").select(
+    return sets.join(of_node, ["key", "check"], "left").select(
         "doc_id", "n_shingles", linked.alias("component_id")
     )

@@ -21,14 +21,10 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new subfolder of the folder that all executors share.
-
-    That is ``spark.checkpoint.dir``; only where it is unset, as in tests, the
-    warehouse serves.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir"
-    )
+    """A new subfolder of the folder that all executors share, ``spark.checkpoint.dir``."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -2,8 +2,9 @@
 
 White space ends every token of the vocabularies used here, and so does the step
 from an ASCII letter to ASCII punctuation or a digit. Texts are cut there, equal
-pieces are found by a 64-bit hash, and the tokenizers library encodes each new
-piece once per worker; the ids of a text are those of its pieces in order.
+pieces are found by a hash and compared byte by byte, and the tokenizers library
+encodes each new piece once per worker; the ids of a text are those of its pieces in
+order.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 
-from vestibule.llm.words import SPACE, span_hashes
+from vestibule.llm.words import SPACE, same_spans, span_hashes
 
 # Pieces that a worker remembers before it forgets those that came once only, how
 # many new ones it collects before they join the others, and how many are encoded at
@@ -38,38 +39,61 @@ _BLANKS = bytes.maketrans(b"\t\n\r", b"   ")
 
 
 class _Memory:
-    """Ids of pieces by the hash of the piece, in sorted arrays."""
+    """Pieces and their ids by the hash of the piece, in sorted arrays."""
 
     def __init__(self):
         self.keys = np.empty(0, np.uint64)
-        self.begin = np.empty(0, np.int64)
-        self.length = np.empty(0, np.int64)
         self.again = np.empty(0, bool)
-        self.ids = np.empty(0, np.uint32)
+        self.begin, self.length, self.ids = _nothing(np.uint32)
+        self.at, self.size, self.raw = _nothing(np.uint8)
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each key stands or would stand, and whether it is there."""
+    def find(self, keys, block, starts, size) -> tuple[np.ndarray, np.ndarray]:
+        """Where each piece's key stands or would stand, and whether the piece is there."""
         at = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), bool)
         inside = at < len(self.keys)
         known[inside] = self.keys[at[inside]] == keys[inside]
+        held = np.flatnonzero(known)
+        same = self.size[at[held]] == size[held]
+        known[held[~same]] = False
+        held = held[same]
+        known[held] = same_spans(block, starts[held], self.raw, self.at[at[held]], size[held])
         return at, known
 
     def add(self, other: _Memory) -> None:
+        """Take in the pieces of another; of two with the same key the older stays."""
         at = np.searchsorted(self.keys, other.keys)
-        self.keys = np.insert(self.keys, at, other.keys)
-        self.begin = np.insert(self.begin, at, other.begin + len(self.ids))
-        self.length = np.insert(self.length, at, other.length)
-        self.again = np.insert(self.again, at, other.again)
+        inside = at < len(self.keys)
+        new = np.ones(len(at), bool)
+        new[inside] = self.keys[at[inside]] != other.keys[inside]
+        at = at[new]
+        self.keys = np.insert(self.keys, at, other.keys[new])
+        self.again = np.insert(self.again, at, other.again[new])
+        self.begin = np.insert(self.begin, at, other.begin[new] + len(self.ids))
+        self.length = np.insert(self.length, at, other.length[new])
         self.ids = np.concatenate([self.ids, other.ids])
+        self.at = np.insert(self.at, at, other.at[new] + len(self.raw))
+        self.size = np.insert(self.size, at, other.size[new])
+        self.raw = np.concatenate([self.raw, other.raw])
+
+    def drop(self, kept: np.ndarray) -> None:
+        """Only the pieces ``kept`` stay listed; their bytes and ids stay where they are."""
+        for name in ("keys", "again", "begin", "length", "at", "size"):
+            setattr(self, name, getattr(self, name)[kept])
 
     def keep(self, kept: np.ndarray) -> None:
         self.ids = self.ids[_ranges(self.begin[kept], self.length[kept])]
-        self.keys, self.length = self.keys[kept], self.length[kept]
+        self.raw = self.raw[_ranges(self.at[kept], self.size[kept])]
+        self.keys, self.length, self.size = self.keys[kept], self.length[kept], self.size[kept]
         self.begin = np.cumsum(self.length) - self.length
+        self.at = np.cumsum(self.size) - self.size
         self.again = np.zeros(len(self.keys), bool)
 
 
+def _nothing(kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, kind)
+
+
 def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """All positions of the ranges, one after another."""
     end = np.cumsum(length)
@@ -115,8 +139,20 @@ class Encoder:
         ends = np.flatnonzero(filled[:-1] & (~filled[1:] | cut)) + 1
         if b"<|" in joined:  # a piece with a special string stays whole
             starts, ends = _join_special(joined, starts, ends)
-        keys, inverse = np.unique(span_hashes(block, starts, ends), return_inverse=True)
-        begin, length, ids = self._look_up(joined, keys, inverse, starts, ends)
+        keys, place, inverse = np.unique(
+            span_hashes(block, starts, ends), return_index=True, return_inverse=True
+        )
+        size = ends - starts
+        same = size == size[place][inverse]
+        at = np.flatnonzero(same)
+        same[at] = same_spans(block, starts[at], block, starts[place][inverse[at]], size[at])
+        if not same.all():  # two pieces in one hash: each one for itself
+            apart = np.flatnonzero(~same)
+            keys = np.append(keys, np.zeros(len(apart), np.uint64))
+            inverse[apart] = np.arange(len(place), len(keys))
+            place = np.append(place, apart)
+        by_hash = len(keys) - np.count_nonzero(~same)
+        begin, length, ids = self._look_up(joined, block, keys, by_hash, starts[place], ends[place])
         begin, length = begin[inverse], length[inverse]
         total = np.zeros(len(inverse) + 1, np.int64)
         np.cumsum(length, out=total[1:])
@@ -124,8 +160,12 @@ class Encoder:
         bounds = np.concatenate([[1], np.cumsum(sizes + 1) + 1])
         return ids[_ranges(begin, length)], np.diff(total[np.searchsorted(starts, bounds)])
 
-    def _look_up(self, joined: bytes, keys, inverse, starts, ends):
-        """Begin and length of each key's ids, and the ids; new pieces are encoded first."""
+    def _look_up(self, joined: bytes, block, keys, by_hash: int, starts, ends):
+        """Begin and length of each piece's ids, and the ids; new pieces are encoded first.
+
+        The first ``by_hash`` pieces have ascending keys; the others share a key with one
+        of them, or with a remembered piece, and are not remembered.
+        """
         if len(self.recent.keys) > RECENT:
             self.memory.add(self.recent)
             self.recent = _Memory()
@@ -133,26 +173,32 @@ class Encoder:
                 again = self.memory.again
                 few = again.sum() <= REMEMBERED // 2
                 self.memory.keep(again if few else np.zeros(len(again), bool))
-        old, in_old = self.memory.find(keys)
+        size = ends - starts
+        old, in_old = self.memory.find(keys, block, starts, size)
+        place, in_recent = self.recent.find(keys, block, starts, size)
+        in_old[by_hash:] = in_recent[by_hash:] = False
+        in_recent &= ~in_old
         self.memory.again[old[in_old]] = True
-        _, in_recent = self.recent.find(keys)
+        self.recent.again[place[in_recent]] = True
         new = np.flatnonzero(~in_old & ~in_recent)
-        if len(new):
-            place = np.empty(len(keys), np.int64)
-            place[inverse] = np.arange(len(inverse))
-            self.recent.add(self._encoded(joined, keys[new], starts[place[new]], ends[place[new]]))
+        found = self._encoded(joined, block, keys[new], starts[new], ends[new])
+        # The ids of recent pieces follow those of the others, those of new ones come last.
         begin, length = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
-        begin[in_old] = self.memory.begin[old[in_old]]
-        length[in_old] = self.memory.length[old[in_old]]
-        at, _ = self.recent.find(keys[~in_old])
-        self.recent.again[at] |= in_recent[~in_old]
-        # The ids of recent pieces follow those of the others.
-        used = _ranges(self.recent.begin[at], self.recent.length[at])
-        length[~in_old] = self.recent.length[at]
-        begin[~in_old] = len(self.memory.ids) + np.cumsum(length[~in_old]) - length[~in_old]
-        return begin, length, _Joined(self.memory.ids, self.recent.ids[used])
-
-    def _encoded(self, joined: bytes, keys, starts, ends) -> _Memory:
+        used = place[in_recent]
+        for where, memory, at, base in (
+            (in_old, self.memory, old[in_old], 0),
+            (in_recent, self.recent, used, len(self.memory.ids)),
+            (new, found, np.arange(len(new)), len(self.memory.ids) + len(self.recent.ids)),
+        ):
+            begin[where], length[where] = memory.begin[at] + base, memory.length[at]
+        ids = _Joined(self.memory.ids, self.recent.ids, found.ids)
+        # What shares its key with another piece of the block or of the memory is passed over.
+        found.drop(np.flatnonzero(new < by_hash))
+        self.recent.add(found)
+        return begin, length, ids
+
+    def _encoded(self, joined: bytes, block, keys, starts, ends) -> _Memory:
+        """The pieces with their ids, in the order given."""
         out, encoded = _Memory(), []
         pieces = [
             joined[s:e].decode("utf-8", "replace")
@@ -163,7 +209,9 @@ class Encoder:
                 pieces[at : at + ENCODED], add_special_tokens=False
             )
             encoded += [e.ids for e in part]
-        out.keys = keys
+        out.keys, out.size = keys, ends - starts
+        out.at = np.cumsum(out.size) - out.size
+        out.raw = block[_ranges(starts, out.size)]
         out.length = np.fromiter(map(len, encoded), np.int64, len(encoded))
         out.begin = np.cumsum(out.length) - out.length
         out.again = np.zeros(len(keys), bool)
@@ -172,16 +220,17 @@ class Encoder:
 
 
 class _Joined:
-    """Two arrays read as one."""
+    """Some arrays read as one."""
 
-    def __init__(self, first: np.ndarray, second: np.ndarray):
-        self.first, self.second = first, second
+    def __init__(self, *arrays: np.ndarray):
+        self.arrays = arrays
 
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
-        out = np.empty(len(at), np.uint32)
-        front = at < len(self.first)
-        out[front] = self.first[at[front]]
-        out[~front] = self.second[at[~front] - len(self.first)]
+        out, begin = np.empty(len(at), np.uint32), 0
+        for array in self.arrays:
+            own = np.flatnonzero((at >= begin) & (at < begin + len(array)))
+            out[own] = array[at[own] - begin]
+            begin += len(array)
         return out
 
 

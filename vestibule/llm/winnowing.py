@@ -9,12 +9,14 @@ sides gives the run itself.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vestibule.llm.shared import map_arrow, slices, utf8, written
+from vestibule.llm.shared import byte_slices, map_arrow, slices, utf8, written
 from vestibule.llm.words import ALNUM, Words, grams, mix, words_of
 
 WINDOW = 13
@@ -49,15 +51,27 @@ def _keys(values: np.ndarray, window: int) -> np.ndarray:
     return mix(values + np.uint64(window)).view(np.int64)
 
 
-def _context(hashes: np.ndarray, at: int, window: int, k: int) -> tuple[int, bytes]:
-    """Words before ``at`` that are kept, and the hashes around it as far as a window reaches."""
-    left = min(at, window - k)
-    return left, hashes[at - left : at + window].tobytes()
+class _Text:
+    """The words of one of several texts."""
+
+    def __init__(self, words: Words, raw: bytes, i: int):
+        own = slice(words.first[i], words.first[i + 1])
+        self.hashes, self.starts, self.ends = (
+            values[own] for values in (words.hashes, words.starts, words.ends)
+        )
+        self.raw = raw
+
+    def context(self, at: int, window: int, k: int) -> tuple[int, bytes]:
+        """Words before ``at`` that are kept, and the words around it as far as a window reaches."""
+        left = min(at, window - k)
+        last = min(at + window, len(self.hashes)) - 1
+        return left, self.raw[self.starts[at - left] : self.ends[last]]
 
 
-def _each_text(words: Words):
-    for i in range(len(words.first) - 1):
-        yield words.hashes[words.first[i] : words.first[i + 1]]
+def _texts(raws: list[bytes]) -> list[_Text]:
+    words = words_of(raws, ALNUM)
+    raw = words.block.tobytes()
+    return [_Text(words, raw, i) for i in range(len(raws))]
 
 
 _ITEM_HITS = pa.schema(
@@ -79,16 +93,15 @@ def item_fingerprints(benchmark: DataFrame, window: int = WINDOW, gram: int = GR
     """
 
     def read(batches):
-        for rows in slices(batches):
+        for rows in byte_slices(batches, "raw"):
             columns = {name: [] for name in _ITEM_HITS.names}
-            words = words_of(rows["raw"], ALNUM)
-            for item_id, hashes in zip(rows["item_id"], _each_text(words), strict=True):
-                n = min(window, len(hashes))
+            for item_id, item in zip(rows["item_id"], _texts(rows["raw"]), strict=True):
+                n = min(window, len(item.hashes))
                 if not n:
                     continue
-                at, values = winnow(hashes, n, gram)
+                at, values = winnow(item.hashes, n, gram)
                 for p, fp in zip(at.tolist(), _keys(values, n).tolist(), strict=True):
-                    left, context = _context(hashes, p, n, min(gram, n))
+                    left, context = item.context(p, n, min(gram, n))
                     columns["fp"].append(fp)
                     columns["item_id"].append(item_id)
                     columns["window"].append(n)
@@ -141,22 +154,22 @@ _DOC_ROWS = pa.schema(
 def _doc_hits(docs: DataFrame, windows: list[int], packed, gram: int) -> DataFrame:
     def read(batches):
         bits = np.unpackbits(packed.value, bitorder="little").view(bool)
-        for rows in slices(batches):
-            words = words_of(rows["raw"], ALNUM)
-            hits = [[] for _ in rows["raw"]]
-            for i, hashes in enumerate(_each_text(words)):
+        for rows in byte_slices(batches, "raw"):
+            texts = _texts(rows["raw"])
+            hits = [[] for _ in texts]
+            for i, text in enumerate(texts):
                 for n in windows:
-                    at, values = winnow(hashes, n, gram)
+                    at, values = winnow(text.hashes, n, gram)
                     keys = _keys(values, n)
                     kept = bits[keys % len(bits)]
                     for p, fp in zip(at[kept].tolist(), keys[kept].tolist(), strict=True):
-                        left, context = _context(hashes, p, n, min(gram, n))
+                        left, context = text.context(p, n, min(gram, n))
                         hits[i].append({"fp": fp, "at": p, "left": left, "words": context})
             yield pa.RecordBatch.from_pydict(
                 {
                     "rid": rows["rid"],
                     "doc_id": rows["doc_id"],
-                    "n_words": np.diff(words.first),
+                    "n_words": [len(text.hashes) for text in texts],
                     "hits": hits,
                 },
                 schema=_DOC_ROWS,
@@ -180,11 +193,9 @@ def _extend(batches):
             rows["item_words"],
             strict=True,
         ):
-            doc, test = np.frombuffer(dw, np.uint64), np.frombuffer(iw, np.uint64)
-            before, after = min(dl, il), min(len(doc) - dl, len(test) - il)
-            same = doc[dl - before : dl + after] == test[il - before : il + after]
-            left = _leading(same[:before][::-1])
-            right = _leading(same[before:])
+            doc, test = _split(dw), _split(iw)
+            left = _leading(reversed(doc[:dl]), reversed(test[:il]))
+            right = _leading(doc[dl:], test[il:])
             if left + right >= n:
                 out["rid"].append(rid)
                 out["item_id"].append(item)
@@ -193,9 +204,18 @@ def _extend(batches):
         yield pa.RecordBatch.from_pydict(out, schema=_RUNS)
 
 
-def _leading(flags: np.ndarray) -> int:
-    """Number of true values before the first false one."""
-    return len(flags) if flags.all() else int(flags.argmin())
+def _split(context: bytes) -> list[bytes]:
+    return context.translate(ALNUM).split()
+
+
+def _leading(a: Iterable[bytes], b: Iterable[bytes]) -> int:
+    """How many words agree before the first two that do not."""
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
 
 
 def find_contamination(
@@ -210,7 +230,8 @@ def find_contamination(
     ``spans`` are the merged hit words ``[start, end)``, ``items`` the sorted ids,
     as strings, of the items with a window that stands in the text. Null and empty
     texts have no words; items without words match nothing; an item whose id is
-    null counts for its words but has no id to list. Repeated rows and ids give a
+    null counts for its words but has no id to list. Very long texts and words are read
+    whole, some megabytes at a time or a longer text alone. Repeated rows and ids give a
     row each (``rid`` numbers them), repeated items count once per id. Extra columns
     are not read. A fingerprint that stands in very many texts meets only its few
     places in the benchmark, and Spark can split its rows.
@@ -225,12 +246,8 @@ def find_contamination(
     scanned = written(_doc_hits(numbered, windows, packed, gram), "winnowed")
     hits = scanned.select("rid", F.explode("hits").alias("hit")).select("rid", "hit.*")
     runs = map_arrow(hits.join(prints, "fp"), _extend, _RUNS).distinct()
-    # Per text at most a run for each start, end and item.
-    spans = F.array_sort(F.collect_set(F.struct("start", "end")))
-    by_text = runs.groupBy("rid").agg(
-        merge_spans(spans).alias("spans"),
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
-    )
+    items = F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")
+    by_text = merged_spans(runs).join(runs.groupBy("rid").agg(items), "rid")
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     none = F.array().cast("array<string>")
     return (
@@ -249,21 +266,25 @@ def find_contamination(
     )
 
 
-def merge_spans(spans) -> F.Column:
-    """Sorted spans as disjoint ones: touching and overlapping spans become one."""
-
-    def step(done, span):
-        last = F.element_at(done, -1)
-        longer = F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end")
-        )
-        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))
-        fresh = F.concat(done, F.array(span))
-        touches = F.try_element_at(done, F.lit(-1))["end"] >= span["start"]
-        return F.when((F.size(done) > 0) & touches, joined).otherwise(fresh)
+def merged_spans(runs: DataFrame) -> DataFrame:
+    """``(rid, spans)``: spans that touch or overlap as one, in order, in linear time.
 
-    empty = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    return F.aggregate(spans, empty, step)
+    A text's runs, at most a few per word, are ordered in one task.
+    """
+    by_start = Window.partitionBy("rid").orderBy("start", "end")
+    before = by_start.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    apart = runs.select("rid", "start", "end").distinct()
+    apart = apart.withColumn("reach", F.max("end").over(before))
+    begins = F.when(F.col("reach") >= F.col("start"), 0).otherwise(1)
+    joined = (
+        apart.withColumn("begins", begins)
+        .withColumn("number", F.sum("begins").over(so_far))
+        .groupBy("rid", "number")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    )
+    spans = F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")
+    return joined.groupBy("rid").agg(spans)
 
 
 def contaminated(n_hit, n_words) -> F.Column:

@@ -8,12 +8,10 @@ from dataclasses import dataclass
 import numpy as np
 
 SPACE = 0x20
-PIECE = 1 << 19
-LONG_WORD = 1 << 16
+# Longer words get a cryptographic digest.
+LONG_WORD = 64
 
 _RANDOM = np.random.default_rng(20240131)
-_BYTE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15
 _COMBINE = _RANDOM.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -36,45 +34,57 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.ones(n, np.uint64)
-    out[1:] = np.uint64(base)
-    return np.multiply.accumulate(out)
+def _loads(block: np.ndarray) -> np.ndarray:
+    """Eight bytes from every place on as one number, zeros behind the end."""
+    padded = np.concatenate([block, np.zeros(8, np.uint8)])
+    return np.ndarray(len(block) + 1, "<u8", padded, strides=(1,))
 
 
-_POW = _powers(_BASE, PIECE + LONG_WORD + 1)
-_INV = _powers(pow(_BASE, -1, 1 << 64), PIECE + LONG_WORD + 1)
+def _eights(loads: np.ndarray, starts: np.ndarray, length: np.ndarray, at: int) -> np.ndarray:
+    """The bytes ``at`` to ``at + 8`` of spans longer than ``at``, zeros behind a span's end."""
+    left = np.minimum(length - at, 8).astype(np.uint64)
+    spare = np.uint64(64) - left * np.uint64(8)
+    return loads[starts + at] << spare >> spare
 
 
 def span_hashes(block: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each byte span ``[start, end)``; spans are ascending and disjoint.
+    """Hash of each byte span ``[start, end)``; spans are not empty.
 
-    A polynomial over random byte values, piece by piece so that memory is
-    bounded; spans over 64 KiB are hashed one by one.
+    Eight bytes at a time are mixed in, so that a span of up to eight bytes shares its
+    hash with no other of its length. Spans over ``LONG_WORD`` bytes get a cryptographic
+    digest each: no text can be made up of long words that agree.
     """
-    out = np.empty(len(starts), np.uint64)
     length = ends - starts
-    long = np.flatnonzero(length > LONG_WORD)
-    first = 0
-    while first < len(starts):
-        at = int(starts[first])
-        last = int(np.searchsorted(starts, at + PIECE))
-        cut = long[(long >= first) & (long < last)]
-        if len(cut):
-            last = max(int(cut[0]), first)
-            if last == first:
-                digest = hashlib.blake2b(block[at : ends[first]].tobytes(), digest_size=8)
-                out[first] = int.from_bytes(digest.digest(), "little")
-                first += 1
-                continue
-        piece = _BYTE[block[at : ends[last - 1]]]
-        piece *= _POW[: len(piece)]
-        total = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(piece, out=total[1:])
-        s, e = starts[first:last] - at, ends[first:last] - at
-        out[first:last] = (total[e] - total[s]) * _INV[s]
-        first = last
-    return mix(out + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    loads = _loads(block)
+    out = mix(length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    rest = np.flatnonzero(length <= LONG_WORD)
+    at = 0
+    while len(rest):
+        eight = _eights(loads, starts[rest], length[rest], at)
+        out[rest] = mix(out[rest] ^ eight) + np.uint64(at)
+        at += 8
+        rest = rest[length[rest] > at]
+    for k in np.flatnonzero(length > LONG_WORD).tolist():
+        digest = hashlib.blake2b(block[starts[k] : ends[k]].tobytes(), digest_size=8)
+        out[k] = int.from_bytes(digest.digest(), "little")
+    return out
+
+
+def same_spans(
+    block: np.ndarray, starts: np.ndarray, other: np.ndarray, others: np.ndarray, length: np.ndarray
+) -> np.ndarray:
+    """Whether ``length`` bytes from ``starts`` in one block are those from ``others`` in another."""
+    out = np.ones(len(starts), bool)
+    loads, other_loads = _loads(block), _loads(other)
+    rest, at = np.flatnonzero(length > 0), 0
+    while len(rest):
+        a = _eights(loads, starts[rest], length[rest], at)
+        rest_same = a == _eights(other_loads, others[rest], length[rest], at)
+        out[rest[~rest_same]] = False
+        at += 8
+        rest = rest[rest_same]
+        rest = rest[length[rest] > at]
+    return out
 
 
 @dataclass
