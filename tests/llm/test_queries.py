@@ -9,7 +9,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
-from cases import frame, jaccard_components, prose, raw, repeated_bytes, words
+from cases import frame, jaccard_components, prose, raw, repeated_bytes, spans, words
 
 import corpus_pipeline
 from vestibule.llm.queries import oracle_sql, queries, tokenizer_path
@@ -51,7 +51,8 @@ def test_repeated_bytes_of_the_sample(spark):
     for (doc_id, text), flags in zip(rows, repeated_bytes(rows), strict=True):
         kept = bytes(b for b, f in zip(raw(text), flags) if not f)
         n_spans = sum(f and not p for f, p in zip(flags, [0, *flags]))
-        want.append((doc_id, len(flags), sum(flags), n_spans, hashlib.sha256(kept).hexdigest()))
+        digest = hashlib.sha256(kept).hexdigest()
+        want.append((doc_id, len(flags), sum(flags), n_spans, digest, kept.decode("utf-8", "replace")))
     assert sorted(map(tuple, queries()["op10_suffix_dedup"](spark, folder).collect())) == sorted(want)
 
 
@@ -104,8 +105,12 @@ def test_pipeline_stages_against_brute_force(spark):
             groups = jaccard_components([r[:2] for r in before])
             assert {r[0] for r in rows} == {c for _, _, c in groups}
         if name == "suffix-array dedup":
-            cut = repeated_bytes([r[:2] for r in before])
+            cut = repeated_bytes([r[:2] for r in before], corpus_pipeline.PASSAGE_BYTES)
             assert len(rows) == len(before) and sum(map(sum, cut)) > 0
+            for old, flags in zip(before, cut, strict=True):  # spans of few words stay
+                for start, end in spans(flags):
+                    if len(raw(old[1])[start:end].split()) < corpus_pipeline.PASSAGE_WORDS:
+                        flags[start:end] = bytes(end - start)
             for row, old, flags in zip(rows, before, cut, strict=True):
                 kept = bytes(b for b, f in zip(raw(old[1]), flags) if not f)
                 text = raw(row[1])
@@ -171,3 +176,22 @@ def test_decontamination_judges_rows(spark, tmp_path):
     out = corpus_pipeline.decontamination(spark, frame(spark, rows), str(tmp_path))
     want = [(None, clean), (1, clean), (2, other), (2, other), (3, None)]
     assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(want)
+
+
+def test_passages_of_over_fifty_words_are_cut(spark):
+    """Whatever their bytes, down to words of four letters; shorter ones stay."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    passage = lambda n, size: " ".join(word(size) for _ in range(n))
+    rows, want = [], {}
+    for k, (n, size) in enumerate([(51, 4), (55, 5), (60, 9), (400, 6), (45, 9), (30, 14)]):
+        shared = passage(n, size)
+        for copy in (10 * k, 10 * k + 1):
+            rows.append((copy, f"{passage(30, 6)} {shared} {passage(30, 6)}"))
+            want[copy] = n > 50
+    rows += [(100 + k, passage(200, 6)) for k in range(5)]
+    out = corpus_pipeline.repeated_passages(spark, frame(spark, rows), "").collect()
+    was = dict(rows)
+    for row in out:
+        words_gone = len(was[row.doc_id].split()) - len(row.text.split())
+        assert words_gone > 45 if want.get(row.doc_id) else words_gone == 0, row.doc_id

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from cases import documents, frame, prose, raw, repeated_bytes, spans
+from cases import documents, frame, prose, raw, repeated_bytes, spans, thue_morse
 
 from vestibule.llm import packed
 from vestibule.llm import suffix_dedup as sd
@@ -81,8 +81,8 @@ def test_merge_sort_orders_suffixes(seed):
     block = rng.integers(97, 97 + 1 + seed, 900).astype(np.uint8)
     most = 40
     starts = rng.permutation(len(block) - most)
-    h = sd._Hashes(sd.prefix_hashes(block), starts)
-    whole = sd.span_hash(h.values, starts, most)
+    h = sd._Hashes(sd.prefix_hashes(block), sd.prefix_hashes(block, sd.PRIME), starts)
+    whole = h.whole(starts, most)
     keys = np.array([block[s] for s in starts], np.uint64) % np.uint64(2)
     order = sd.merge_sort(block, h, whole, keys, most)
     text = block.tobytes()
@@ -102,10 +102,42 @@ def test_common_extension_and_long_prefix_hashes(monkeypatch):
         assert n == most
 
 
-def test_hash_collision_is_an_error():
-    batch = sd.Batch([b"a" * 10 + b"b" * 10], 5, 3)
-    with pytest.raises(ValueError, match="share a hash"):
-        batch._check(np.array([0, 8]), np.array([1]))
+@pytest.mark.parametrize("batches", [1, 24])
+def test_strings_made_to_collide_are_kept_apart(spark, batches, monkeypatch):
+    """The words of Thue and Morse have one hash modulo 2 ** 64, whatever the base."""
+    monkeypatch.setattr(packed, "LEAST", batches)
+    first, second = thue_morse(2048)
+    rows = [(0, first), (1, second), (2, first[:1500]), (3, "x" + second[5:1400]), (4, first[:1023])]
+    rows += [(5, f"{thue_morse(1024)[0]}.")]
+    check(spark, rows, length=1024)
+    check(spark, [(0, first[:1024]), (1, second[:1024])], length=1024)
+
+
+def test_suffixes_that_agree_in_both_hashes_are_sorted_as_they_are(monkeypatch):
+    batch = sd.Batch([b"abab" * 3 + b"cdcd" * 3 + b"abab"], 4, 2)
+    starts = np.arange(0, 25, dtype=np.int64)
+    keys = np.zeros(len(starts), np.uint64)
+    same = np.zeros(len(starts), np.uint64)
+    order, equal = batch._verified(np.arange(len(starts)), starts, same, keys)
+    found = [batch.block[s : s + 4].tobytes() for s in starts[order]]
+    assert found == sorted(found)
+    assert equal.tolist() == [k > 0 and found[k] == found[k - 1] for k in range(len(found))]
+    assert sorted(order.tolist()) == starts.tolist()
+
+
+def test_prime_hash_of_spans():
+    rng = np.random.default_rng(3)
+    block = rng.integers(0, 256, 3000).astype(np.uint8)
+    block[2000:] = block[500:1500]
+    h = sd.prefix_hashes(block, sd.PRIME)
+    a = rng.integers(500, 1300, 200)
+    n = rng.integers(1, 200, 200)
+    assert (sd.PRIME.span(h, a, n) == sd.PRIME.span(h, a + 1500, n)).all()
+    assert (sd.PRIME.span(h, a, n) < sd.PRIME.modulus).all()
+    base, value = int(sd.PRIME.power[1]), 0
+    for b in block[:50].tolist():
+        value = (value * base + int(sd.PRIME.bytes[b])) % sd.PRIME.modulus
+    assert sd.PRIME.span(h, np.array([0]), np.array([50])).tolist() == [value]
 
 
 def test_values_that_differ_in_the_check_count_apart(spark):
@@ -122,3 +154,16 @@ def test_sliding_min():
         for width in (1, 2, 7, 17, 100, 101):
             want = [values[i : i + width].min() for i in range(n - width + 1)]
             assert sd.sliding_min(values, width).tolist() == want
+
+
+def test_rows_without_an_id_and_spans_of_few_words(spark):
+    """Without ids rows are told apart by their texts; ``words`` leaves spans of fewer words."""
+    rng = random.Random(5)
+    few, many = "".join(rng.choices("abcdefgh", k=300)), " ".join(rng.choices("abcd", k=150))
+    rows = [(None, f"{k} {few} {k * 7}") for k in range(20)]
+    rows += [(None, f"{k} {many} {k * 7}") for k in range(20)] + [(None, None), (None, many)]
+    for words, left in ((0, 21), (20, 21 - 20)):
+        got = sd.repeated_spans(frame(spark, rows), length=200, characters=True, words=words).collect()
+        assert len(got) == len(rows)
+        gone = sorted(r.n_removed for r in got if r.n_removed)
+        assert len(gone) == 20 + left and gone[0] >= 299

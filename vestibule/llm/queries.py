@@ -94,6 +94,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # What is left to read; a character that lost some of its bytes shows as U+FFFD.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 

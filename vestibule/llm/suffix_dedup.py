@@ -9,7 +9,8 @@ logarithmic number of steps: prefix polynomial hashes tell whether their first
 ``m`` bytes agree, so a binary search finds how far they do, and the next byte
 decides. Neighbours that agree throughout are checked byte by byte. The sorted
 runs of all batches are merged by the hash of the whole suffix, with a second hash
-to tell collisions apart; a suffix that stands in two places marks its bytes.
+modulo a prime to tell collisions apart; a suffix that stands in two places marks its
+bytes.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -39,38 +40,76 @@ PIECE_BITS = 19
 PIECE = 1 << PIECE_BITS
 
 _RANDOM = np.random.default_rng(400)
-_BYTES = _RANDOM.integers(0, 1 << 64, (2, 256), dtype=np.uint64)
-_BASES = (0x5851F42D4C957F2D, 0x2545F4914F6CDD1D)
+_ODD = np.uint64(0xD1342543DE82EF95)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base & 0xFFFFFFFFFFFFFFFF, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+class _Wide:
+    """Polynomial hashes modulo 2 ** 64, which numpy does by itself.
 
+    Strings made for it (those of Thue and Morse) collide under any base.
+    """
+
+    def __init__(self, base: int):
+        self.bytes = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64)
+        self.power = self._powers(base, PIECE + 1)
+        self.inverse = self._powers(pow(base, -1, 1 << 64), PIECE + 1)
+
+    @staticmethod
+    def _powers(base: int, n: int) -> np.ndarray:
+        out = np.full(n, base, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+
+    def reduce(self, values: np.ndarray) -> np.ndarray:
+        return values
+
+    def span(self, h: np.ndarray, start: np.ndarray, length) -> np.ndarray:
+        """Hash of ``length`` bytes from ``start``; equal for equal bytes anywhere."""
+        return h[start + length] - h[start] * self.power[length]
+
+
+class _Prime(_Wide):
+    """The same modulo a prime, in 31 bits, independent of the other."""
+
+    modulus = (1 << 31) - 1
 
-_POW = [_powers(base, PIECE + 1) for base in _BASES]
-_INV = [_powers(pow(base, -1, 1 << 64), PIECE + 1) for base in _BASES]
+    def __init__(self, base: int):
+        self.bytes = _RANDOM.integers(1, self.modulus, 256, dtype=np.uint64)
+        self.power = self._powers(base, PIECE + 1)
+        self.inverse = self._powers(pow(base, -1, self.modulus), PIECE + 1)
 
+    @classmethod
+    def _powers(cls, base: int, n: int) -> np.ndarray:
+        out = np.ones(1, np.uint64)
+        while len(out) < n:
+            out = np.append(out, out * np.uint64(pow(base, len(out), cls.modulus)) % cls.modulus)
+        return out[:n]
 
-def prefix_hashes(block: np.ndarray, which: int = 0) -> np.ndarray:
+    def reduce(self, values: np.ndarray) -> np.ndarray:
+        return values % np.uint64(self.modulus)
+
+    def span(self, h: np.ndarray, start: np.ndarray, length) -> np.ndarray:
+        whole = h[start + length] + np.uint64(self.modulus * self.modulus)
+        return self.reduce(whole - h[start] * self.power[length])
+
+
+WIDE = _Wide(0x5851F42D4C957F2D)
+PRIME = _Prime(0x2545F491 % _Prime.modulus)
+
+
+def prefix_hashes(block: np.ndarray, which: _Wide = WIDE) -> np.ndarray:
     """``h[i]``: polynomial hash of the first ``i`` bytes, for any number of bytes."""
     out = np.zeros(len(block) + 1, np.uint64)
     for start in range(0, len(block), PIECE):
-        part = _BYTES[which][block[start : start + PIECE]]
+        part = which.bytes[block[start : start + PIECE]]
         n = len(part)
-        part *= _INV[which][1 : n + 1]
+        part = which.reduce(part * which.inverse[1 : n + 1])
         np.cumsum(part, out=part)
-        part += out[start]
-        out[start + 1 : start + n + 1] = part * _POW[which][1 : n + 1]
+        part = which.reduce(part + out[start])
+        out[start + 1 : start + n + 1] = which.reduce(part * which.power[1 : n + 1])
     return out
 
 
-def span_hash(h: np.ndarray, start: np.ndarray, length, which: int = 0) -> np.ndarray:
-    """Hash of ``length`` bytes from ``start``; equal for equal bytes anywhere."""
-    return h[start + length] - h[start] * _POW[which][length]
-
-
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """The smallest of every ``width`` neighbours, from running minima of blocks."""
     n = len(values) - width + 1
@@ -89,26 +128,46 @@ def common_extension(h: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) ->
     low, high = np.zeros(len(a), np.int64), np.full(len(a), most)
     for _ in range(int(most).bit_length()):
         middle = (low + high + 1) // 2
-        same = span_hash(h, a, middle) == span_hash(h, b, middle)
+        same = WIDE.span(h, a, middle) == WIDE.span(h, b, middle)
         low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
     return low
 
 
+@dataclass
+class _Hashes:
+    """Prefix hashes of a block, and the starts of its suffixes."""
+
+    wide: np.ndarray
+    prime: np.ndarray
+    starts: np.ndarray
+
+    def whole(self, starts: np.ndarray, length: int) -> np.ndarray:
+        """Both hashes of suffixes as one number."""
+        prime = PRIME.span(self.prime, starts, length)
+        return mix(WIDE.span(self.wide, starts, length) ^ prime * _ODD)
+
+
 def is_before(block, h, whole, a, b, most: int, or_equal: np.ndarray) -> np.ndarray:
-    """Whether suffix ``a`` sorts before ``b``; ``or_equal`` says what holds for equal ones."""
+    """Whether suffix ``a`` sorts before ``b``; ``or_equal`` says what holds for equal ones.
+
+    The second hash confirms what the first says about the common extension; where it
+    does not, the suffixes themselves are compared.
+    """
     out = or_equal.copy()
     apart = np.flatnonzero(whole[a] != whole[b])
     if len(apart):
         x, y = h.starts[a[apart]], h.starts[b[apart]]
-        n = np.minimum(common_extension(h.values, x, y, most), most - 1)
+        n = common_extension(h.wide, x, y, most)
+        wrong = (n == most) | (PRIME.span(h.prime, x, n) != PRIME.span(h.prime, y, n))
+        n = np.minimum(n, most - 1)
         out[apart] = block[x + n] < block[y + n]
+        for k in np.flatnonzero(wrong).tolist():
+            out[apart[k]] = _bytes_at(block, x[k], most) < _bytes_at(block, y[k], most)
     return out
 
 
-@dataclass
-class _Hashes:
-    values: np.ndarray
-    starts: np.ndarray
+def _bytes_at(block: np.ndarray, start: int, length: int) -> bytes:
+    return block[start : start + length].tobytes()
 
 
 def merge_sort(block: np.ndarray, h: _Hashes, whole: np.ndarray, keys: np.ndarray, most: int):
@@ -198,7 +257,7 @@ class Batch:
             if end - start < self.length:
                 continue
             h = prefix_hashes(self.block[start:end])
-            grams = mix(span_hash(h, np.arange(end - start - self.gram + 1), self.gram))
+            grams = mix(WIDE.span(h, np.arange(end - start - self.gram + 1), self.gram))
             mark = (grams >> np.uint64(PIECE_BITS + 1) << np.uint64(PIECE_BITS + 1)) | np.arange(
                 len(grams), dtype=np.uint64
             )
@@ -229,42 +288,57 @@ class Batch:
             keys.append(mix(np.repeat(values[kept], n) + place * np.uint64(0x9E3779B97F4A7C15)))
         return np.concatenate(starts), np.concatenate(keys)
 
+    def hashes(self, starts: np.ndarray) -> _Hashes:
+        return _Hashes(prefix_hashes(self.block), prefix_hashes(self.block, PRIME), starts)
+
     def sorted_classes(self, starts: np.ndarray, keys: np.ndarray):
-        """Hash, number and a second hash of each class of equal suffixes, from the suffix sort.
+        """Hash, number and second hash of each class of equal suffixes, from the suffix sort.
 
-        Classes come in the order of their hashes.
+        Classes come in the order of their hashes. Two strings that agree in both hashes,
+        95 bits, are counted apart: what stands more often counts for both.
         """
         if not len(starts):
             return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint32)
-        h = _Hashes(prefix_hashes(self.block), starts)
-        whole = span_hash(h.values, starts, self.length)
+        h = self.hashes(starts)
+        whole = h.whole(starts, self.length)
         order = merge_sort(self.block, h, whole, keys, self.length)
-        hashes = whole[order]
-        keys = keys[order]
-        equal = np.append(False, (hashes[1:] == hashes[:-1]) & (keys[1:] == keys[:-1]))
-        self._check(starts[order], np.flatnonzero(equal))
+        order, equal = self._verified(order, starts, whole, keys)
         first = np.flatnonzero(~equal)
         times = np.diff(np.append(first, len(order)))
-        values = mix(hashes[first])
-        by_value = np.argsort(values, kind="stable")
-        values = values[by_value]
-        if (values[1:] == values[:-1]).any():
-            raise ValueError("two different byte strings share a hash")
-        check = self.hashes_of(starts[order[first]][by_value], 1) >> np.uint64(32)
-        return values, times[by_value], check.astype(np.uint32)
-
-    def _check(self, starts: np.ndarray, equal: np.ndarray) -> None:
-        """Neighbours with equal hashes must be equal byte by byte."""
+        values, place = np.unique(whole[order[first]], return_inverse=True)
+        most = np.zeros(len(values), np.int64)
+        np.maximum.at(most, place, times)
+        one = np.empty(len(values), np.int64)
+        one[place] = starts[order[first]]
+        return values, most, PRIME.span(h.prime, one, self.length).astype(np.uint32)
+
+    def _verified(self, order: np.ndarray, starts: np.ndarray, whole: np.ndarray, keys: np.ndarray):
+        """The order, and which suffixes equal the one before them, byte by byte.
+
+        Where neighbours with equal hashes differ, the suffixes of that hash are sorted
+        once more as they are.
+        """
+        ordered, same_key = whole[order], keys[order]
+        alike = np.append(False, (ordered[1:] == ordered[:-1]) & (same_key[1:] == same_key[:-1]))
+        equal = alike.copy()
+        equal[alike] = self._same_as_before(starts[order], np.flatnonzero(alike))
+        for value in np.unique(ordered[alike & ~equal]):
+            at = np.flatnonzero(ordered == value)
+            at = at[np.argsort(same_key[at], kind="stable")]
+            texts = [_bytes_at(self.block, s, self.length) for s in starts[order[at]]]
+            by_text = sorted(range(len(at)), key=lambda k: (same_key[at[k]], texts[k]))
+            order[at] = order[at[by_text]]
+            texts = [texts[k] for k in by_text]
+            equal[at] = [k > 0 and texts[k] == texts[k - 1] for k in range(len(at))]
+        return order, equal
+
+    def _same_as_before(self, starts: np.ndarray, at: np.ndarray) -> np.ndarray:
         view = np.lib.stride_tricks.sliding_window_view(self.block, self.length)
-        for part in range(0, len(equal), 4096):
-            at = equal[part : part + 4096]
-            if not np.array_equal(view[starts[at]], view[starts[at - 1]]):
-                raise ValueError("two different byte strings share a hash")
-
-    def hashes_of(self, starts: np.ndarray, which: int) -> np.ndarray:
-        """The hash of every suffix that starts at one of ``starts``."""
-        h = prefix_hashes(self.block, which)
-        return mix(span_hash(h, starts, self.length, which))
+        out = np.empty(len(at), bool)
+        for k in range(0, len(at), 4096):
+            part = at[k : k + 4096]
+            out[k : k + 4096] = (view[starts[part]] == view[starts[part - 1]]).all(1)
+        return out
 
 
 def _standing(docs: pa.Table, told: pa.Table) -> tuple[list[bytes], list[int | None]]:
@@ -341,7 +415,8 @@ def _found(batch: Batch, rows: pa.Table) -> np.ndarray:
     starts = np.sort(batch.suffixes(_repeated(rows))[0])
     if not len(starts):
         return starts
-    _, inverse = np.unique(batch.hashes_of(starts, 0), return_inverse=True)
+    whole = batch.hashes(starts).whole(starts, batch.length)
+    _, inverse = np.unique(whole, return_inverse=True)
     return starts[_flags(rows, 2)[inverse]]
 
 
@@ -384,13 +459,15 @@ def repeated_spans(
     gram: int = GRAM,
     carry: Sequence[str] = ("doc_id",),
     characters: bool = False,
+    words: int = 0,
 ) -> DataFrame:
     """``(row, n_bytes, n_removed, spans, kept)`` per row of ``docs``.
 
     ``spans`` are the bytes ``[start, end)`` covered by a string of ``length`` bytes
     that also starts elsewhere in any row, the same one included, overlapping or
     not; ``kept`` is what is left. With ``characters`` only whole characters are cut,
-    so ``kept`` stays a text. ``row`` is a struct of the columns named in ``carry``;
+    so ``kept`` stays a text; with ``words`` only spans of at least so many words, those
+    cut by the span's ends included. ``row`` is a struct of the columns named in ``carry``;
     others are not read. Null, empty and short texts have no such string. Repeated
     rows repeat each other's strings. An empty table gives no rows. Batches hold
     whole texts, so a very long text makes a batch of its own size.
@@ -430,6 +507,8 @@ def repeated_spans(
                 spans = _spans_of(own, length)
             if characters:
                 spans = whole_characters(raw, spans)
+            if words:
+                spans = [(s, e) for s, e in spans if len(raw[s:e].split()) >= words]
             for start, end in spans:
                 kept.append(raw[at:start])
                 at = end
@@ -440,15 +519,19 @@ def repeated_spans(
             out["kept"].append(b"".join(kept))
         return pa.table(out, schema=_RESULT).add_column(0, "row", table.column("row"))
 
-    batch = packed.batch_of(F.col("doc_id"), n_batches).alias("batch")
-    dealt = rows.select("doc_id", "raw", "row", batch).groupBy("batch")
+    def batch(digest) -> Column:
+        """Dealt by id and text: neither one id nor rows without any make a hot batch."""
+        return packed.batch_of(F.struct("doc_id", digest), n_batches).alias("batch")
+
+    dealt = rows.select("doc_id", "raw", "row", batch(F.md5("raw").alias("digest")))
+    dealt = dealt.groupBy("batch")
     request = ddl(packed.REQUEST)
 
     def answers(asked: DataFrame, answer, stage: int) -> DataFrame:
         return packed.totals(asked, answer).withColumn("stage", F.lit(stage))
 
     copies = written(_copies(rows, length), "copies")
-    told = copies.select(batch, "doc_id", "digest", "lead", F.lit(0).alias("stage"))
+    told = copies.select(batch(F.col("digest")), "doc_id", "digest", "lead", F.lit(0).alias("stage"))
     asked = dealt.cogroup(told.groupBy("batch")).applyInArrow(ask_anchors, request)
     told = told.unionByName(answers(asked, _answer_values, 1), allowMissingColumns=True)
     asked = dealt.cogroup(told.groupBy("batch")).applyInArrow(ask_suffixes, request)
