@@ -115,3 +115,61 @@ def test_features_cover_the_whole_text():
     assert not np.array_equal(pu.features(plain), pu.features(plain + b"$$$ " * 300))
     assert not pu.features(b"").any()
     assert np.isfinite(pu.features(b"\n")).all()
+
+
+def plain_nn_pu(positive, unlabelled, prior, rounds):
+    """The same risk step by step: gradients by the chain rule, row by row."""
+    mean, scale = unlabelled.mean(0), unlabelled.std(0)
+    p, u = (np.c_[np.clip((x - mean) / scale, -8, 8), np.ones(len(x))] for x in (positive, unlabelled))
+    w, m, v = np.zeros(p.shape[1]), 0, 0
+    w[-1] = np.log(prior / (1 - prior))
+    kept = []
+    for step in range(1, rounds + 1):
+        as_positive = np.mean([-x / (1 + np.exp(x @ w)) for x in p], axis=0)
+        p_negative = np.mean([x / (1 + np.exp(-(x @ w))) for x in p], axis=0)
+        u_negative = np.mean([x / (1 + np.exp(-(x @ w))) for x in u], axis=0)
+        risk_p, risk_u = (np.mean([np.log1p(np.exp(x @ w)) for x in rows]) for rows in (p, u))
+        rest = u_negative - prior * p_negative
+        slope = prior * as_positive + rest if risk_u >= prior * risk_p else -0.1 * rest
+        slope = slope + np.append(1e-4 * w[:-1], 0)
+        m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
+        w = w - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        kept.append(w)
+    return np.mean(kept[-200:], axis=0)
+
+
+def test_fit_equals_a_plain_one():
+    """Both come to one optimum; the first steps of the bias have slope 0 and go either way."""
+    rng = np.random.default_rng(7)
+    positive = rng.normal(0.2, 1, (300, 3))
+    unlabelled = np.concatenate([rng.normal(0.2, 1, (200, 3)), rng.normal(-0.2, 1, (300, 3))])
+    model = pu.fit_nn_pu(positive, unlabelled, 0.4, 500)
+    want = plain_nn_pu(positive, unlabelled, 0.4, 500)
+    assert rest_of_risk(model, positive, unlabelled) > 0.05
+    assert np.allclose(np.append(model.weights, model.bias), want, atol=5e-3)
+
+
+def test_a_repeated_id_gives_the_same_model_in_any_partitioning(spark):
+    rows, labels, _ = corpus(150)
+    repeated = next(i for i, q, _ in labels if q == 1 and not held_out(i))
+    rng = random.Random(2)
+    rows += [(repeated, prose(rng, 30)) for _ in range(1000)] + [(None, "x y"), (3, None)]
+    models = [
+        pu.fit_quality(frame(spark, rows, n), label_frame(spark, labels), 30, 60) for n in (1, 7)
+    ]
+    for name in ("weights", "mean", "scale"):
+        assert np.array_equal(*(getattr(model, name) for model in models))
+    learned = [pu.features((t or "").encode()) for i, t in rows if i is not None and not held_out(i)]
+    assert np.allclose(models[0].mean, np.mean(learned, axis=0), atol=1e-5)
+
+
+def test_very_long_texts(spark, monkeypatch):
+    rows, labels, _ = corpus(60)
+    rows += [(900, "word " * 700_000), (901, "x" * 100_000)]
+    docs = frame(spark, rows)
+    scores = pu.score_quality(docs, pu.fit_quality(docs, label_frame(spark, labels))).collect()
+    assert len(scores) == 62 and all(0 <= r.score <= 1 for r in scores)
+    text = b"ab cd, EF 1\n" * 400
+    whole = pu.features(text)
+    monkeypatch.setattr(pu, "PIECE", 100)
+    assert np.array_equal(pu.features(text), whole)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vestibule.llm.shared import map_arrow, slices, small_batches, utf8
+from vestibule.llm.shared import byte_slices, map_arrow, record, small_batches, utf8
 
 HELD_OUT_MOD = 5
 KEEP_FROM = 0.3
@@ -38,6 +38,10 @@ STEP = 0.1
 BACK = 0.1
 DECAY = 1e-4
 CLIP = 8.0
+# Bytes of a text whose neighbourhoods are counted at a time.
+PIECE = 1 << 20
+# Features are summed as whole multiples of this, so that the order does not matter.
+UNIT = 2.0**-20
 
 # Kinds of bytes whose neighbourhoods describe a text; everything else in ASCII is a kind too.
 _KINDS = (
@@ -69,8 +73,10 @@ def features(raw: bytes) -> np.ndarray:
     out = np.zeros(N_FEATURES)
     if not raw:
         return out
-    kinds = _KIND_OF[np.frombuffer(raw, np.uint8)]
-    pairs = np.bincount(kinds[:-1] * N_KINDS + kinds[1:], minlength=N_KINDS * N_KINDS)
+    pairs = np.zeros(N_KINDS * N_KINDS, np.int64)
+    for start in range(0, len(raw), PIECE):
+        kinds = _KIND_OF[np.frombuffer(raw[start : start + PIECE + 1], np.uint8)]
+        pairs += np.bincount(kinds[:-1] * N_KINDS + kinds[1:], minlength=N_KINDS * N_KINDS)
     out[: N_KINDS * N_KINDS] = np.sqrt(pairs / len(raw))
     words = raw.split()
     lines = [line for line in raw.split(b"\n") if line]
@@ -111,11 +117,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_nn_pu(
-    positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = ROUNDS
+    positive: np.ndarray,
+    unlabelled: np.ndarray,
+    prior: float,
+    rounds: int = ROUNDS,
+    moments: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> Model:
     """Minimise the non-negative risk with the logistic loss by Adam on whole batches.
 
-    Without positives or without unlabelled rows nothing can be learned and every
+    ``moments`` are mean and deviation of the features, by default those of
+    ``unlabelled``. Without positives or without unlabelled rows nothing can be learned and every
     score is the prior.
     """
     prior = float(np.clip(prior, 0.01, 0.99))
@@ -123,7 +134,7 @@ def fit_nn_pu(
     bias = float(np.log(prior / (1 - prior)))
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(n), np.ones(n), np.zeros(n), bias, prior)
-    mean, scale = unlabelled.mean(0), unlabelled.std(0)
+    mean, scale = moments or (unlabelled.mean(0), unlabelled.std(0))
     scale = np.where(scale < 1e-6, 1.0, scale)
 
     def with_one(rows: np.ndarray) -> np.ndarray:
@@ -159,20 +170,44 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(checksum % HELD_OUT_MOD == 0, F.lit(True))
 
 
-_FEATURE_ROWS = pa.schema([("positive", pa.bool_()), ("row", pa.binary())])
+_FEATURE_ROWS = pa.schema([("doc_id", pa.int64()), ("positive", pa.bool_()), ("row", pa.binary())])
+_SUMS = pa.schema([("feature", pa.int32()), ("n", pa.int64()), ("sum", pa.int64()), ("square", pa.int64())])
 
 
 def _feature_rows(docs: DataFrame) -> DataFrame:
     def read(batches):
-        for rows in slices(batches):
+        for rows in byte_slices(batches, "raw"):
             found = [features(raw).astype(np.float32).tobytes() for raw in rows["raw"]]
-            yield pa.RecordBatch.from_pydict(
-                {"positive": rows["positive"], "row": found}, schema=_FEATURE_ROWS
-            )
+            columns = {"doc_id": rows["doc_id"], "positive": rows["positive"], "row": found}
+            yield pa.RecordBatch.from_pydict(columns, schema=_FEATURE_ROWS)
 
     return map_arrow(docs, read, _FEATURE_ROWS)
 
 
+def feature_moments(texts: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """Mean and deviation of every feature over all rows of ``(raw)``; none without rows.
+
+    Each task adds its rows up, Spark the tasks; a row per feature reaches the driver.
+    """
+
+    def add(batches):
+        n, total, square = 0, np.zeros(N_FEATURES, np.int64), np.zeros(N_FEATURES, np.int64)
+        for rows in byte_slices(batches, "raw"):
+            found = np.array([features(raw) for raw in rows["raw"]])
+            n += len(found)
+            total += np.rint(found / UNIT).astype(np.int64).sum(0)
+            square += np.rint(found * found / UNIT).astype(np.int64).sum(0)
+        columns = {"feature": range(N_FEATURES), "n": [n] * N_FEATURES, "sum": total, "square": square}
+        yield record(_SUMS, **columns)
+
+    sums = map_arrow(texts, add, _SUMS).groupBy("feature")
+    found = sums.agg(*[F.sum(c).alias(c) for c in ("n", "sum", "square")]).orderBy("feature").collect()
+    if not found or not found[0].n:
+        return None
+    mean, square = (np.array([row[c] / row.n * UNIT for row in found]) for c in ("sum", "square"))
+    return mean, np.sqrt(np.maximum(0, square - mean * mean))
+
+
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -182,7 +217,12 @@ def fit_quality(
     """Fit on a bounded sample of rows that are not held out, drawn by a hash of the id.
 
     Positives are rows whose label is 1 without a contrary one. Unlabelled are all
-    rows, whatever their label; labels serve the positives and the prior alone.
+    rows, whatever their label; labels serve the positives and the prior alone. Mean and
+    deviation of the features are those of all rows that are not held out. Of an id that
+    repeats one row is drawn, the same in any partitioning; all its rows count in the
+    moments. Null and empty texts count as texts without any feature; very long ones are
+    read whole, in bounded pieces. The driver holds at most ``max_positives`` and
+    ``max_unlabelled`` rows of features.
     """
     marks = (
         labels.filter(F.col("quality").isin(0, 1) & ~is_held_out(F.col("doc_id")))
@@ -203,17 +243,19 @@ def fit_quality(
     sample = drawn(labelled.filter("quality = 1"), max_positives, 1, True).unionByName(
         drawn(known, max_unlabelled, 2, False)
     )
+    texts = docs.select("doc_id", utf8().alias("raw")).filter(~is_held_out(F.col("doc_id")))
     # At most max_positives + max_unlabelled ids: a bounded broadcast.
-    texts = docs.select("doc_id", utf8().alias("raw")).join(F.broadcast(sample), "doc_id")
-    # Ids that repeat give more rows; the bound on them holds the driver's memory.
-    bounded = texts.select("positive", "raw").limit(2 * (max_positives + max_unlabelled))
-    found = _feature_rows(bounded).collect()
+    drawn_rows = _feature_rows(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "positive", "raw"))
+    one = F.min(F.struct(F.xxhash64("row").alias("order"), "row")).alias("least")
+    found = drawn_rows.groupBy("doc_id", "positive").agg(one).select("doc_id", "positive", "least.row")
+    found = sorted(found.collect(), key=lambda row: row.doc_id)
 
     def matrix(positive: bool) -> np.ndarray:
         part = b"".join(row.row for row in found if row.positive == positive)
         return np.frombuffer(part, np.float32).reshape(-1, N_FEATURES)
 
-    return fit_nn_pu(matrix(True), matrix(False), prior)
+    moments = feature_moments(texts.select("raw"))
+    return fit_nn_pu(matrix(True), matrix(False), prior, moments=moments)
 
 
 _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -223,12 +265,12 @@ def score_quality(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     """``(doc_id, held_out, score, predicted)`` per row of ``docs``, from the text alone.
 
     Null and empty texts get the score of a text without any feature. Equal texts
-    get equal scores; repeated rows and ids give a row each; other columns are not
-    read. A row without an id counts as held out.
+    get equal scores; repeated rows and ids give a row each; very long texts are read
+    whole; other columns are not read. A row without an id counts as held out.
     """
 
     def score(batches):
-        for rows in slices(batches):
+        for rows in byte_slices(batches, "raw"):
             found = model.score(np.array([features(raw) for raw in rows["raw"]]))
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": rows["doc_id"], "score": found}, schema=_SCORES
