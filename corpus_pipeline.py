@@ -42,12 +42,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(stays, "rid", "left_semi").select("row.*")
 
 
+# Passages of over 50 words are to be found. Fifty short words are some 250 bytes; what
+# has as many bytes in fewer words stays.
+PASSAGE_BYTES = 250
+PASSAGE_WORDS = 50
+
+
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings that stand in several places are cut out, whole characters only.
+    """Passages that stand in several places are cut out, whole characters only.
 
-    Every document stays, if only with an empty text; ``n_chars`` follows the text.
+    A passage is covered by repeated strings of ``PASSAGE_BYTES`` bytes and has at least
+    ``PASSAGE_WORDS`` words. Every document stays, if only with an empty text; ``n_chars`` follows the text.
     """
-    cut = repeated_spans(docs, carry=docs.columns, characters=True)
+    cut = repeated_spans(
+        docs, length=PASSAGE_BYTES, carry=docs.columns, characters=True, words=PASSAGE_WORDS
+    )
     text = F.when(F.col("row.text").isNotNull(), F.col("kept").cast("string"))
     kept = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": text}
     if "n_chars" in docs.columns:
