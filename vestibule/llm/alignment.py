@@ -51,6 +51,10 @@ FAN_IN = 8
 # Batches that send their pairs to one task, and bytes of text per bucket of A ids.
 SALT_BATCHES = 4096
 BUCKET_BYTES = 32 << 20
+# Bits of an id, and of the number of a run among those of a batch.
+ID_BITS, RUN_BITS = np.uint64(20), np.uint64(24)
+# The first number of a batch with runs of cut texts.
+CUT = 1 << 62
 
 # The splitting pattern of the byte-level vocabulary, and the printable
 # characters that stand for themselves in it; the other bytes follow from U+0100 on.
@@ -100,9 +104,10 @@ class Sides:
         self.shown = [f"{sign}{i}" for sign in ",;" for i in range(len(self.a.raws))]
         self.shown += [f"{sign}{i}" for sign in ",|" for i in range(len(self.b.raws))]
 
-    def encode(self, a_text: str, b_text: str) -> tuple[np.ndarray, np.ndarray] | None:
+    def encode(self, a_text: str, b_text: str, b: np.ndarray | None = None):
         """Ids of both; none if the bytes of their tokens are not those of the texts."""
-        a, b = self.a.encode(a_text), self.b.encode_as_is(b_text.replace(" ", SPACE))
+        a = self.a.encode(a_text)
+        b = self.b.encode_as_is([b_text.replace(" ", SPACE)])[0] if b is None else b
         for model, ids, text in ((self.a, a, a_text), (self.b, b, b_text)):
             if b"".join(map(model.raws.__getitem__, ids.tolist())) != text.encode():
                 return None
@@ -223,44 +228,67 @@ class Runs:
         self.row = row
         self.ids = [packed.unpack(row[side], np.int32) for side in "ab"]
         ends = [np.cumsum(size[ids]) for size, ids in zip(sizes, self.ids, strict=True)]
-        self.cuts = np.union1d(*ends)
-        at = [np.searchsorted(end, self.cuts) for end in ends]
-        a, b = (ids[k].astype(np.uint64) for ids, k in zip(self.ids, at, strict=True))
-        # Each token's group, and where each run's tokens, groups and links begin.
-        self.common = np.intersect1d(*ends, assume_unique=True)
-        self.group = [np.searchsorted(self.common, end) for end in ends]
         self.first = [np.cumsum([0, *row[f"n_{side}"]]) for side in "ab"]
-        self.ends = np.concatenate([[0], ends[0]])[self.first[0]]
-        self.first_cut = np.searchsorted(self.cuts, self.ends, "right")
-        self.first_group = np.searchsorted(self.common, self.ends, "right")
-        self.pairs, self.link = np.unique(a << np.uint64(32) | b, return_inverse=True)
+        last = np.concatenate([[0], ends[0]])[self.first[0]]
+        # Every byte that ends a token of A, of B or of both, as 1, 2 or 3.
+        marks = np.zeros(int(last[-1]) + 1, np.uint8)
+        marks[ends[0]] = 1
+        marks[ends[1]] += 2
+        cuts = np.flatnonzero(marks)
+        self.first_cut = np.searchsorted(cuts, last, "right")
+        self.marks = marks[cuts]
+
+    def _before(self, of: np.ndarray) -> np.ndarray:
+        """For each cut how many of the cuts before it are ``of`` a kind."""
+        return np.cumsum(of, dtype=np.int32) - of
+
+    def links(self) -> np.ndarray:
+        """The pair of each link: the A id above the B id."""
+        a, b = (ids[self._before(self.marks >> k & 1)] for k, ids in enumerate(self.ids))
+        return a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+
+    def held(self) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that each run holds, once each, by pair; and the runs."""
+        links = self.links()
+        run = np.repeat(np.arange(len(self.first_cut) - 1), np.diff(self.first_cut))
+        # Both ids and the run in one number, which sorts fast.
+        a, b = links >> np.uint64(32), links & np.uint64(0xFFFFFFFF)
+        both = np.sort(((a << ID_BITS) | b) << RUN_BITS | run.astype(np.uint64))
+        both = both[np.append(True, both[1:] != both[:-1])[: len(both)]]
+        pair, run = both >> RUN_BITS, both & ((np.uint64(1) << RUN_BITS) - np.uint64(1))
+        b = pair & ((np.uint64(1) << ID_BITS) - np.uint64(1))
+        return (pair >> ID_BITS) << np.uint64(32) | b, run.astype(np.int64)
 
     def holdings(self) -> tuple[np.ndarray, np.ndarray]:
-        """Every run and every pair (its place in ``pairs``) that it holds, once each."""
-        run = np.repeat(np.arange(len(self.ends) - 1), np.diff(self.first_cut))
-        several = max(1, len(self.pairs))
-        apart = np.unique(run * several + self.link)
-        return apart // several, apart % several
+        """The pairs, sorted, and how many runs hold each."""
+        held, _ = self.held()
+        first = np.flatnonzero(np.append(True, held[1:] != held[:-1])[: len(held)])
+        return held[first], np.diff(np.append(first, len(held)))
 
     def per_run(self, values: np.ndarray) -> np.ndarray:
-        """The sum over every run's links."""
-        total = np.concatenate([[0], np.cumsum(values)])
+        """The sum over every run's cuts."""
+        total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
         return np.diff(total[self.first_cut])
 
     def texts(self, models: Sides) -> list[str]:
         """The groups of every run as text: ``a1,a2|b1;a3|b2,b3``."""
-        codes = np.empty(len(self.ids[0]) + len(self.ids[1]), np.int64)
-        before = [np.concatenate([[0], np.cumsum(np.bincount(g))]) for g in self.group]
-        opens = [np.diff(g, prepend=-1) > 0 for g in self.group]
-        (a, b), (group_a, group_b) = self.ids, self.group
+        own = self._before(self.marks == 3)
+        (a, b), (group_a, group_b) = self.ids, (own[(self.marks & k) > 0] for k in (1, 2))
+        n_groups = int(own[-1]) + 1 if len(own) else 0
+        before = [
+            np.concatenate([[0], np.cumsum(np.bincount(g, minlength=n_groups))])
+            for g in (group_a, group_b)
+        ]
+        opens = [np.diff(g, prepend=-1) > 0 for g in (group_a, group_b)]
+        codes = np.empty(len(a) + len(b), np.int32)
         codes[np.arange(len(a)) + before[1][group_a]] = a + opens[0] * len(models.a.raws)
         codes[np.arange(len(b)) + before[0][group_b + 1]] = (
             b + opens[1] * len(models.b.raws) + models.behind_a
         )
         first = (self.first[0] + self.first[1]).tolist()
-        shown, codes = models.shown, codes.tolist()
+        shown = models.shown
         return [
-            "".join(map(shown.__getitem__, codes[s:e]))[1:]
+            "".join(map(shown.__getitem__, codes[s:e].tolist()))[1:]
             for s, e in zip(first[:-1], first[1:], strict=True)
         ]
 
@@ -431,10 +459,11 @@ def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """All distinct pairs of some requests, and their sums."""
     found = [packed.unpack_sorted(data) for data in table.column("found").to_pylist()]
     times = [packed.unpack(data, np.uint64) for data in table.column("times").to_pylist()]
-    pairs, place = np.unique(np.concatenate(found), return_inverse=True)
-    total = np.zeros(len(pairs), np.uint64)
-    np.add.at(total, place, np.concatenate(times))
-    return pairs, total
+    every = np.concatenate(found)
+    order = np.argsort(every, kind="stable")  # they are sorted runs, which merge fast
+    every = every[order]
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+    return every[first], np.add.reduceat(np.concatenate(times)[order], first)
 
 
 def _sum_up(key: tuple, table: pa.Table) -> pa.Table:
@@ -503,21 +532,19 @@ def _answers(
         models = sides(*paths)
         for rows in batches:
             for row in rows.to_pylist():
-                found = Runs(row, models.sizes)
-                whole = row["rid"][0] is None
-                held = found.holdings()[1][: None if whole else 0]
-                times = np.bincount(held, minlength=len(found.pairs))
-                yield _requests(row["batch"], found.pairs, times, buckets, salts)
+                pairs, times = Runs(row, models.sizes).holdings()
+                if row["batch"] >= CUT:  # counted once per text, in whatever runs
+                    times = np.zeros_like(times)
+                yield _requests(row["batch"], pairs, times, buckets, salts)
 
     def hold(batches):
-        """The pairs of runs of cut texts; a text holds a pair once, in whatever run."""
+        """The pairs of runs of cut texts, with the text's number."""
         models = sides(*paths)
         for rows in batches:
             for row in rows.to_pylist():
-                found = Runs(row, models.sizes)
-                run, pair = found.holdings()
+                pair, run = Runs(row, models.sizes).held()
                 rid = np.array(row["rid"], np.int64)[run]
-                yield record(_HELD, rid=rid, pair=found.pairs[pair].astype(np.int64))
+                yield record(_HELD, rid=rid, pair=pair.astype(np.int64))
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
         pairs, times = (table.column(c).to_numpy() for c in ("pair", "n"))
@@ -525,8 +552,7 @@ def _answers(
         asked = _requests(-1, pairs[order].astype(np.uint64), times[order], buckets, 1)
         return pa.Table.from_batches([asked])
 
-    cut = F.col("rid")[0].isNotNull()
-    held = map_arrow(runs.filter(cut), hold, _HELD).distinct()
+    held = map_arrow(runs.filter(F.col("batch") >= CUT), hold, _HELD).distinct()
     held = held.groupBy("pair").agg(F.count("*").alias("n"))
     part = F.pmod(F.xxhash64(F.shiftright("pair", 32)), F.lit(buckets))
     extra = held.groupBy(part.alias("part")).applyInArrow(gather, ddl(_REQUEST))
@@ -536,19 +562,30 @@ def _answers(
     every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     judged = written(judged, "pair-counts").select("bucket", "found", "times", every)
     told = asked.groupBy("bucket", "salt").cogroup(judged.groupBy("bucket", "salt"))
-    return told.applyInArrow(_tell, ddl(_ANSWER)), buckets
+    return written(told.applyInArrow(_tell, ddl(_ANSWER)), "pair-answers"), buckets
+
+
+@dataclass
+class Alignment:
+    """Rows ``(doc_id, rid, start, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)``.
+
+    ``whole`` has a row per text that was not cut, with ``rid`` null and ``start`` 0.
+    ``runs`` has a row per run of groups that a chunk of a cut text or a gap between
+    chunks closes, with the text's number ``rid`` and the byte where the run starts, and
+    one of zeros with its ``doc_id``.
+    """
+
+    whole: DataFrame
+    runs: DataFrame
 
 
 def align_tokens(
     docs: DataFrame, byte_path: str, piece_path: str, text: str = "text", chunk: int = CHUNK
-) -> DataFrame:
-    """``(doc_id, rid, start, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)``.
+) -> Alignment:
+    """The groups of tokens of both vocabularies that cover the same bytes, for all texts.
 
     A is the byte-level vocabulary, B the piece vocabulary, both over a space and the
-    whole text. A text of up to ``chunk`` bytes is one row with ``rid`` null and
-    ``start`` 0. A longer one has a row per run of groups that a chunk or a gap between
-    chunks closes, with the row's number ``rid`` and the byte where the run starts, and
-    one of zeros with its ``doc_id``; ``alignment_digests`` puts them together. ``n_links`` counts overlapping tokens of A and B, ``n_best`` those
+    whole text; a text of more than ``chunk`` bytes is cut. ``n_links`` counts overlapping tokens of A and B, ``n_best`` those
     whose pair is held by as many texts as any pair of that A id, ``count_sum`` sums how
     many texts hold the pair. Null and empty texts, and those that the tokens do not
     give back byte by byte (U+2581 in the text), are one row of zeros. Repeated rows and
@@ -562,15 +599,17 @@ def align_tokens(
     def encode(batches):
         models, numbers = sides(*paths), _numbered(0)
         for rows in byte_slices(batches, "raw", BATCH_BYTES):
+            texts = [raw.decode("utf-8", "replace") for raw in rows["raw"]]
+            pieces = models.b.library.encode(texts, num_threads=1)
             runs = []
-            for doc_id, raw in zip(rows["doc_id"], rows["raw"], strict=True):
-                shown = " " + raw.decode("utf-8", "replace")
-                ids = models.encode(shown, shown) if raw else None
+            for doc_id, text, b in zip(rows["doc_id"], texts, pieces, strict=True):
+                shown = " " + text
+                ids = models.encode(shown, shown, np.array(b, np.int32)) if text else None
                 runs.append((doc_id, None, 0, *(ids or (np.empty(0, np.int32),) * 2)))
             yield _pack_runs(next(numbers), runs)
 
     def pack(batches):
-        numbers = _numbered(1 << 62)
+        numbers = _numbered(CUT)
         for batch in batches:
             for at in range(0, batch.num_rows, 32):  # runs of at most a chunk, but for odd texts
                 rows = batch.slice(at, 32).to_pydict()
@@ -596,11 +635,13 @@ def align_tokens(
     def finish(table: pa.Table, told: pa.Table) -> pa.Table:
         models = sides(*paths)
         found = Runs(table.to_pylist()[0], models.sizes)
-        order, *_ = _by_bucket(found.pairs, buckets)
+        links = found.links()
+        pairs = np.unique(links)
+        order, *_ = _by_bucket(pairs, buckets)
         parts = [packed.unpack(data, np.uint64) for data in packed.in_bucket_order(told)]
         verdict = np.empty(len(order), np.int64)
         verdict[order] = np.concatenate([np.empty(0, np.uint64), *parts]).astype(np.int64)
-        verdict = verdict[found.link]
+        verdict = verdict[np.searchsorted(pairs, links)]
         row = found.row
         return pa.table(
             {
@@ -609,7 +650,7 @@ def align_tokens(
                 "start": row["start"],
                 "n_a": row["n_a"],
                 "n_b": row["n_b"],
-                "n_groups": np.diff(found.first_group),
+                "n_groups": found.per_run(found.marks == 3),
                 "n_links": np.diff(found.first_cut),
                 "n_best": found.per_run(verdict & 1),
                 "count_sum": found.per_run(verdict >> 1),
@@ -618,17 +659,16 @@ def align_tokens(
             schema=_ALIGNED,
         )
 
-    told = runs.groupBy("batch").cogroup(answers.groupBy("batch"))
-    aligned = told.applyInArrow(finish, ddl(_ALIGNED))
-    # The ids of cut texts, once per text, so that one without tokens has its row too.
-    heads = long.select(
-        "doc_id",
-        "rid",
-        F.lit(0).cast("bigint").alias("start"),
-        *[F.lit(0).cast("bigint").alias(c) for c in _ALIGNED.names[3:-1]],
-        F.lit("").alias("groups"),
+    # Both parts are run by themselves: whoever reads one does not pay for the other.
+    whole, cut = (
+        runs.filter(part).groupBy("batch").cogroup(answers.filter(part).groupBy("batch"))
+        .applyInArrow(finish, ddl(_ALIGNED))
+        for part in (F.col("batch") < CUT, F.col("batch") >= CUT)
     )
-    return aligned.unionByName(heads)
+    # The ids of cut texts, once per text, so that one without tokens has its row too.
+    zeros = [F.lit(0).cast("bigint").alias(c) for c in _ALIGNED.names[2:-1]]
+    heads = long.select("doc_id", "rid", *zeros, F.lit("").alias("groups"))
+    return Alignment(whole, cut.unionByName(heads))
 
 
 _COUNTS = _ALIGNED.names[3:-1]
@@ -659,12 +699,12 @@ def _put_together(batches):
         yield done()
 
 
-def alignment_digests(aligned: DataFrame) -> DataFrame:
+def alignment_digests(aligned: Alignment) -> DataFrame:
     """``(doc_id, n_a, ..., count_sum, groups_sha256)``, one row per text of ``align_tokens``.
 
     The digest of a cut text is sequential, so its runs pass one task, in constant memory.
     """
     digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
-    whole = aligned.filter("rid IS NULL").select("doc_id", *_COUNTS, digest.alias("groups_sha256"))
-    cut = aligned.filter("rid IS NOT NULL").repartition("rid").sortWithinPartitions("rid", "start")
-    return whole.unionByName(map_arrow(cut, _put_together, _WHOLE))
+    whole = aligned.whole.select("doc_id", *_COUNTS, digest.alias("groups_sha256"))
+    runs = aligned.runs.repartition("rid").sortWithinPartitions("rid", "start")
+    return whole.unionByName(map_arrow(runs, _put_together, _WHOLE))

@@ -8,7 +8,8 @@ are passed over when they come up. A character without a piece becomes its bytes
 
 Pieces of such a vocabulary have U+2581, and as a rule all punctuation, in front only
 (this is read off the vocabulary), so nothing joins across the start of a word: each
-word has an agenda of its own, and a worker remembers the ids of short ones.
+word has an agenda of its own. A worker remembers the ids of short words; those that
+are new to it are joined together, one pair per word at a time, in arrays.
 """
 
 from __future__ import annotations
@@ -32,8 +33,13 @@ UNKNOWN = " ⁇ "
 NO_CHARACTER = "�"
 # Words that a worker remembers before it forgets those not met since the last time it
 # did, and their longest.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 LONGEST = 48
+# Words whose symbols are joined at a time, and the rank of a pair that makes no piece.
+TOGETHER = 1 << 14
+NEVER = np.int64(1 << 40)
+# Bytes of text whose words are held at a time.
+WORDS_OF = 1 << 20
 
 
 def join_symbols(word: str, order: dict[str, int]) -> list[str]:
@@ -106,6 +112,85 @@ class _Packed(dict):
         return np.array([self.byte_ids[b] for b in symbol.encode()], np.int32).tobytes()
 
 
+class Agendas:
+    """``join_symbols`` for many short words at once.
+
+    All agendas are one array with the rank of every two neighbours. In each round every
+    word joins its best pair, the leftmost of equal ones, and the ranks beside it are
+    looked up again; words without a pair leave.
+    """
+
+    def __init__(self, ids: dict[str, int], order: dict[str, int]):
+        symbols = dict(ids)
+        self.of_char = np.full(0x110000, -1, np.int64)
+        for char in sorted(set().union(*ids)):
+            self.of_char[ord(char)] = symbols.setdefault(char, 1 << 24 | ord(char))
+        made = [
+            (symbols[piece[:k]], symbols[piece[k:]], order[piece], ids[piece])
+            for piece in ids
+            for k in range(1, len(piece))
+            if piece[:k] in symbols and piece[k:] in symbols
+        ]
+        left, right, rank, joined = np.array(made, np.int64).reshape(-1, 4).T
+        pairs = left << 32 | right
+        by_pair = np.argsort(pairs)
+        # One more pair that is never asked for, so that every search ends inside.
+        self.pairs = np.append(pairs[by_pair], np.iinfo(np.int64).max)
+        self.rank = np.append(rank[by_pair], NEVER)
+        self.joined = np.append(joined[by_pair], -1)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pair = left << 32 | right
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, self.rank[at], NEVER), self.joined[at]
+
+    def join(self, words: list[str]) -> list[bytes | None]:
+        """The packed ids of each word; none for a word with a character without a piece."""
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        symbol = self.of_char[chars]
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        word = np.repeat(np.arange(len(words)), size)
+        rank, joined = np.full(len(symbol), NEVER), np.full(len(symbol), -1)
+        inside = np.flatnonzero(word[1:] == word[:-1])
+        rank[inside], joined[inside] = self._rank(symbol[inside], symbol[inside + 1])
+        done_words, done_symbols = [], []
+        while len(word):
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            best = np.minimum.reduceat(rank, first)
+            counts = np.diff(np.append(first, len(word)))
+            if (best == NEVER).any():
+                ended = np.repeat(best == NEVER, counts)
+                done_words.append(word[ended])
+                done_symbols.append(symbol[ended])
+                word, symbol, rank, joined = (x[~ended] for x in (word, symbol, rank, joined))
+                best, counts = best[best != NEVER], counts[best != NEVER]
+                if not len(word):
+                    break
+            at = np.flatnonzero(rank == np.repeat(best, counts))
+            at = at[np.append(True, word[at[1:]] != word[at[:-1]])]
+            symbol[at] = joined[at]
+            stay = np.ones(len(word), bool)
+            stay[at + 1] = False
+            at -= np.arange(len(at))  # one symbol has gone before each
+            word, symbol, rank, joined = (x[stay] for x in (word, symbol, rank, joined))
+            beside = np.concatenate([at - 1, at])
+            beside = beside[(beside >= 0) & (beside < len(word) - 1)]
+            rank[at] = NEVER
+            rank[at[at > 0] - 1] = NEVER
+            beside = beside[word[beside] == word[beside + 1]]
+            rank[beside], joined[beside] = self._rank(symbol[beside], symbol[beside + 1])
+        word, symbol = (np.concatenate([np.empty(0, np.int64), *x]) for x in (done_words, done_symbols))
+        symbol = symbol[np.argsort(word, kind="stable")]
+        first = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(words)))])
+        odd = np.concatenate([[0], np.cumsum((symbol < 0) | (symbol >> 24 > 0))])
+        known = (np.diff(odd[first]) == 0).tolist()
+        packed, first = symbol.astype(np.int32).tobytes(), (4 * first).tolist()
+        return [
+            packed[s:e] if whole else None
+            for s, e, whole in zip(first[:-1], first[1:], known, strict=True)
+        ]
+
+
 class PieceModel(dict):
     """A vocabulary file; as a dict, the ids of words met before, as packed integers."""
 
@@ -121,6 +206,7 @@ class PieceModel(dict):
         scores = sorted({-model.get_score(i) for i in plain})
         place = {score: rank for rank, score in enumerate(scores)}
         self.order = {names[i]: place[-model.get_score(i)] for i in plain}
+        self.agendas = Agendas(self.ids, self.order)
         self.word, self.cut = word_patterns(self.ids)
         self.older = {}
         byte = {int(names[i][1:-1], 16): i for i in range(n) if kinds[i][2]}
@@ -141,25 +227,39 @@ class PieceModel(dict):
                 self.raws[i] = b"\xff"
 
     def __missing__(self, word: str) -> bytes:
-        packed = self.older.get(word)
-        if packed is None:
-            symbols = join_symbols(word, self.order)
-            packed = b"".join(map(self.packed.__getitem__, symbols))
-        if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[word] = packed
-        return packed
+        """A word that is too long to be remembered, or has a character without a piece."""
+        return b"".join(map(self.packed.__getitem__, join_symbols(word, self.order)))
+
+    def _learn(self, words: set[str]) -> None:
+        """Remember the short ones of ``words``, and forget what has not been met for long."""
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        new = []
+        for word in words - self.keys():
+            packed = self.older.get(word)
+            if packed is not None:
+                self[word] = packed
+            elif len(word) <= LONGEST:
+                new.append(word)
+        for at in range(0, len(new), TOGETHER):
+            part = new[at : at + TOGETHER]
+            for word, packed in zip(part, self.agendas.join(part), strict=True):
+                self[word] = self.__missing__(word) if packed is None else packed
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text; an empty one has none."""
-        return self.encode_as_is(SPACE + text.replace(" ", SPACE) if text else "")
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text."""
+        return self.encode_as_is([SPACE + t.replace(" ", SPACE) if t else "" for t in texts])
 
-    def encode_as_is(self, text: str) -> np.ndarray:
-        """The ids of a text, or of a part of one, with its spaces written as U+2581."""
-        words = self.word.findall(text)
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), np.int32)
+    def encode_as_is(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of texts, or of parts of texts, with their spaces written as U+2581."""
+        words = [self.word.findall(text) for text in texts]
+        self._learn(set().union(*words))
+        return [np.frombuffer(b"".join(map(self.__getitem__, w)), np.int32) for w in words]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of any ids; the space in front of the first word goes.
@@ -239,9 +339,9 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_model(model)
-        for rows in byte_slices(batches, "raw"):
+        for rows in byte_slices(batches, "raw", WORDS_OF):
             texts = [raw.decode("utf-8", "replace") for raw in rows["raw"]]
-            ids = [pieces.encode(t) for t in texts]
+            ids = pieces.encode_all(texts)
             decoded = [pieces.decode(i) for i in ids]
             theirs = pieces.library.encode(texts, num_threads=1)
             read_back = [pieces.library.decode(i) for i in theirs]
