@@ -1,15 +1,12 @@
 """Sharding: a hierarchical weighted hash tree over regions, racks and shards.
 
-Every shard draws an exponential number with its weight as the rate, from a hash
-of the row's key and the shard's own name. A rack's draw is the smallest of its
-shards' draws, a region's the smallest of its racks'; the smallest of several
-exponential draws is itself exponential with the sum of the rates, so at each
-level a child wins in proportion to the weight below it. The child with the smallest
-draw at every level leads to the leaf with the smallest draw of all: the result is
-that of flat weighted rendezvous hashing over the leaves, whose draws are all
-computed, and no level has draws of its own. A changed weight changes the draws
-of one shard and of the rack and region above it alone: rows move into that
-subtree when it grows and out of it when it shrinks, nowhere else.
+A row goes down the tree. At every node each child draws an exponential number, from a
+hash of the row's key and the child's name, with the weight below the child as the rate;
+the smallest draw wins, so children win in proportion to their weights. Only the
+children of the nodes on the way draw: a region, then a rack of it, then a shard of
+that. A changed weight changes the draws of the nodes above it alone. Rows move between
+regions only into or out of the one whose weight has changed, within it between racks
+only into or out of the one that has changed, and so on; what lies elsewhere stays.
 """
 
 from __future__ import annotations
@@ -37,45 +34,85 @@ class Shard:
 
 
 def topology(shards: int, per_rack: int = 4, racks: int = 3) -> list[Shard]:
-    """``shards`` equal leaves: shard ``i`` always has the same place, whatever the count."""
+    """``shards`` equal leaves: shard ``i`` always has the same place, whatever the count.
+
+    Where all regions are full, one more shard is a region of its own and takes rows only
+    into itself; else rows also move within the region that grows.
+    """
     return [
         Shard(f"region{i // (per_rack * racks)}", f"rack{i // per_rack % racks}", i)
         for i in range(shards)
     ]
 
 
-def shard_draw(key: Column, shard: Shard) -> Column:
-    """The shard's exponential draw for ``key``; infinite for a shard without weight."""
-    if shard.weight <= 0:
-        return F.lit(float("inf"))
-    name = F.lit(f"{shard.region}/{shard.rack}/{shard.number}")
-    # 53 bits as a number inside (0, 1)
-    uniform = (F.shiftrightunsigned(F.xxhash64(key, name), 11) + F.lit(0.5)) / F.lit(2.0**53)
-    return -F.log(uniform) / F.lit(shard.weight)
+@dataclass(frozen=True)
+class _Node:
+    """A node by its path, with the weight below it and its children by place in the tree."""
+
+    name: str
+    weight: float
+    children: tuple[int, ...]
+    shard: int | None
+
+
+def _tree(shards: Sequence[Shard]) -> list[_Node]:
+    """All nodes, the root first; what has no weight below it can never win and is left out."""
+    weights: dict[tuple, float] = {}
+    numbers: dict[tuple, int] = {}
+    for s in shards:
+        path = (s.region, s.rack, str(s.number))
+        if s.weight > 0:
+            numbers[path] = s.number
+            for depth in range(4):
+                weights[path[:depth]] = weights.get(path[:depth], 0.0) + s.weight
+    if not weights:
+        raise ValueError("no shard has a weight")
+    paths = sorted(weights, key=lambda path: (len(path), path))
+    place = {path: k for k, path in enumerate(paths)}
+    children: dict[tuple, list[int]] = {}
+    for path in paths[1:]:
+        children.setdefault(path[:-1], []).append(place[path])
+    return [
+        _Node("/".join(p), weights[p], tuple(children.get(p, ())), numbers.get(p)) for p in paths
+    ]
 
 
 def pick_shard(key: Column, shards: Sequence[Shard]) -> Column:
-    """The shard with the smallest draw, which also has the smallest of its rack and region."""
-    tree: dict[str, dict[str, list[Shard]]] = {}
-    for shard in shards:
-        tree.setdefault(shard.region, {}).setdefault(shard.rack, []).append(shard)
-
-    def leaf(draw: Column, number: int) -> Column:
-        return F.struct(draw.alias("draw"), F.lit(number).alias("shard"))
-
-    def smallest(children: list[Column]) -> Column:
-        return children[0] if len(children) == 1 else F.least(*children)
-
-    regions = [
-        smallest(
-            [
-                smallest([leaf(shard_draw(key, s), s.number) for s in rack])
-                for rack in region.values()
-            ]
-        )
-        for region in tree.values()
-    ]
-    return smallest(regions)["shard"]
+    """The shard that ``key`` comes to; of equal draws the child with the smaller name wins.
+
+    The tree is one constant of the plan, so its size hardly counts: a row computes a draw
+    per child of the three nodes it passes.
+    """
+    tree = _tree(shards)
+    options = F.array(
+        *[
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(tree[child].name).alias("name"),
+                        F.lit(tree[child].weight).alias("weight"),
+                        F.lit(child).alias("node"),
+                    )
+                    for child in node.children
+                ]
+            )
+            for node in tree
+            if node.children
+        ]
+    )
+
+    def drawn(child: Column) -> Column:
+        # 53 bits as a number inside (0, 1)
+        uniform = F.shiftrightunsigned(F.xxhash64(key, child["name"]), 11) + F.lit(0.5)
+        draw = -F.log(uniform / F.lit(2.0**53)) / child["weight"]
+        return F.struct(draw.alias("draw"), child["node"].alias("node"))
+
+    # Inner nodes come first, so a node's place among all is its place among those.
+    node = F.lit(0)
+    for _ in ("region", "rack", "shard"):
+        node = F.array_min(F.transform(F.get(options, node), drawn))["node"]
+    leaves = F.array(*[F.lit(node.shard if node.shard is not None else -1) for node in tree])
+    return F.get(leaves, node)
 
 
 def assign_shards(
@@ -83,9 +120,10 @@ def assign_shards(
 ) -> DataFrame:
     """``(doc_id, size, text_crc32, law, shard, slot, grown_shard)`` per row of ``docs``.
 
-    The law is ``key``: the id and the shards decide, so equal texts need not
+    The law is ``key``: the id and the tree decide, so equal texts need not
     meet and no group of copies makes a hot shard. A null id is a key like any
-    other. A null text has size 8 and the checksum of no bytes. Repeated rows go
+    other. A null text has size 8 and the checksum of no bytes; very long texts only
+    have their bytes counted and summed. Repeated rows go
     to the same shard under slots of their own.
 
     ``slot`` counts a shard's rows from 0 without gaps. It is counted in chunks of
