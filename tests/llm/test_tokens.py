@@ -105,6 +105,39 @@ def test_wavelet_matrix(top, n):
         wavelet.read_shard(b"x" * 40)
 
 
+def test_lookups_over_written_shards(spark, library, monkeypatch):
+    """Token access, counting and finding against the plain ids; few bytes are read for few places."""
+    rng = random.Random(8)
+    rows = [(k, " ".join(rng.choices(["the", "a", "word", "xyzzy", "é", "."], k=rng.randrange(4000)))) for k in range(60)]
+    rows += [(None, "no id"), (70, None), (71, "long " * 9000)]
+    shards = wavelet.written(wavelet.write_token_shards(frame(spark, rows, 2), PATH, shard_ids=5000), "t")
+    docs = wavelet.read_token_shards(shards).collect()
+    texts = dict(rows)
+    plain = np.zeros(sum(r.n_tokens for r in docs), np.int64)
+    for r in docs:
+        plain[r.start : r.start + r.n_tokens] = [*ids_of(library, texts[r.doc_id]), 2]
+    asked = [None, -1, 0, 0, len(plain) - 1, len(plain), *rng.sample(range(len(plain)), 300)]
+    places = spark.createDataFrame([(p, 1) for p in asked], "position bigint, token int")
+    got = {r.position: r.token for r in wavelet.token_at(shards, places, 5000).collect()}
+    assert got == {p: plain[p] for p in asked if p is not None and 0 <= p < len(plain)}
+    wanted = [2, int(plain[1]), int(plain[-2]), 49_000, 1 << 20]
+    counted = {r.token: r.n for r in wavelet.count_tokens(shards, wanted).collect()}
+    assert counted == {t: int((plain == t).sum()) for t in set(wanted)}
+    found = sorted((r.token, r.position) for r in wavelet.find_tokens(shards, wanted).collect())
+    assert found == sorted((t, int(p)) for t in set(wanted) for p in np.flatnonzero(plain == t))
+
+
+def test_a_lookup_unpacks_a_few_blocks_of_a_file(monkeypatch):
+    ids = np.random.default_rng(5).integers(0, 49_000, 1 << 20).astype(np.uint32)
+    data = wavelet.write_shard(ids, np.array([1]), np.array([True]), np.array([len(ids)]))
+    file = wavelet.ShardFile(data)
+    assert file.matrix.access(700_000) == ids[700_000]
+    assert file.bytes_read < 16 * 8300 + 6000 < len(data) / 10  # one block per plane
+    file = wavelet.ShardFile(data)
+    assert file.matrix.count(int(ids[5])) == (ids == ids[5]).sum()
+    assert file.bytes_read < 32 * 8300 + 6000 < len(data) / 6  # two at most
+
+
 def test_every_piece_is_packed_once(spark, library):
     rows, capacity = documents(2), 256
     got = packing.pack_documents(frame(spark, rows), PATH, capacity=capacity).collect()
