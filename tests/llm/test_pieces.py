@@ -48,6 +48,24 @@ def test_any_ids_read_back_as_in_the_library(model):
         assert model.decode(np.array(ids, np.int32)) == model.library.decode(ids), ids
 
 
+def test_runs_that_the_library_has_other_ids_for_are_told(monkeypatch):
+    """Also runs that are too long to be remembered, and those a worker has met before."""
+    model, asked = pieces.PieceModel(PATH), []
+
+    class Other:
+        def encode(self, texts, num_threads):
+            asked.extend(texts)
+            return [[5] if t in ("odd", " odd", "x" * 100) else model_library.encode(t) for t in texts]
+
+    model_library = model.library
+    model.library = Other()
+    texts = ["an odd text", "a fine text", "odd", "a  odd", "x" * 100 + " y", "fine odd.", "", "fine"]
+    for _ in range(2):
+        model.encode_all(texts)
+        assert [model.agrees(t) for t in texts] == [False, True, False, False, False, True, True, True]
+    assert asked.count("fine") == 1 and asked.count("odd") == 1
+
+
 def test_words_are_joined_best_score_first_then_leftmost():
     order = {"ab": 1, "bc": 0, "abc": 2, "aa": 3}
     assert pieces.join_symbols("abc", order) == ["abc"]

@@ -8,8 +8,10 @@ are passed over when they come up. A character without a piece becomes its bytes
 
 Pieces of such a vocabulary have U+2581, and as a rule all punctuation, in front only
 (this is read off the vocabulary), so nothing joins across the start of a word: each
-word has an agenda of its own. A worker remembers the ids of short words; those that
-are new to it are joined together, one pair per word at a time, in arrays.
+word has an agenda of its own. A worker remembers the ids of short words, and of words
+with the punctuation behind them up to the next space; words that are new to it are
+joined together, one pair per word at a time, in arrays. The library is asked for the ids
+of every run between spaces that a worker meets for the first time, with each batch.
 """
 
 from __future__ import annotations
@@ -31,15 +33,15 @@ from vestibule.llm.shared import byte_slices, map_arrow, record, utf8
 SPACE = "▁"
 UNKNOWN = " ⁇ "
 NO_CHARACTER = "�"
-# Words that a worker remembers before it forgets those not met since the last time it
-# did, and their longest.
-REMEMBERED = 400_000
+# Runs and words that a worker remembers before it starts afresh, and their longest.
+REMEMBERED = 600_000
 LONGEST = 48
 # Words whose symbols are joined at a time, and the rank of a pair that makes no piece.
 TOGETHER = 1 << 14
 NEVER = np.int64(1 << 40)
-# Bytes of text whose words are held at a time.
+# Bytes of text whose words are held at a time, and characters of the table of pairs.
 WORDS_OF = 1 << 20
+FIRST = 1 << 9
 
 
 def join_symbols(word: str, order: dict[str, int]) -> list[str]:
@@ -138,6 +140,13 @@ class Agendas:
         self.pairs = np.append(pairs[by_pair], np.iinfo(np.int64).max)
         self.rank = np.append(rank[by_pair], NEVER)
         self.joined = np.append(joined[by_pair], -1)
+        # The pairs of characters below FIRST, and of U+2581, once more as a table.
+        self.place = np.full(0x110000, -1, np.int16)
+        self.place[1:FIRST] = np.arange(1, FIRST)
+        self.place[ord(SPACE)] = 0
+        symbol = self.of_char[np.append(ord(SPACE), np.arange(1, FIRST))]
+        found = self._rank(np.repeat(symbol, FIRST), np.tile(symbol, FIRST))
+        self.first_rank, self.first_joined = found
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         pair = left << 32 | right
@@ -151,8 +160,14 @@ class Agendas:
         size = np.fromiter(map(len, words), np.int64, len(words))
         word = np.repeat(np.arange(len(words)), size)
         rank, joined = np.full(len(symbol), NEVER), np.full(len(symbol), -1)
-        inside = np.flatnonzero(word[1:] == word[:-1])
-        rank[inside], joined[inside] = self._rank(symbol[inside], symbol[inside + 1])
+        place = self.place[chars].astype(np.int64)
+        inside = word[1:] == word[:-1]
+        fast = inside & (place[1:] >= 0) & (place[:-1] >= 0)
+        at = np.flatnonzero(fast)
+        pair = place[at] * FIRST + place[at + 1]
+        rank[at], joined[at] = self.first_rank[pair], self.first_joined[pair]
+        at = np.flatnonzero(inside & ~fast)
+        rank[at], joined[at] = self._rank(symbol[at], symbol[at + 1])
         done_words, done_symbols = [], []
         while len(word):
             first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
@@ -191,8 +206,15 @@ class Agendas:
         ]
 
 
+# A word is remembered with the punctuation behind it, as far as the next space.
+RUNS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+
+
 class PieceModel(dict):
-    """A vocabulary file; as a dict, the ids of words met before, as packed integers."""
+    """A vocabulary file; as a dict, the ids of runs met before, as packed integers.
+
+    A run goes up to the next space; its words have a dict of their own.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -208,7 +230,8 @@ class PieceModel(dict):
         self.order = {names[i]: place[-model.get_score(i)] for i in plain}
         self.agendas = Agendas(self.ids, self.order)
         self.word, self.cut = word_patterns(self.ids)
-        self.older = {}
+        self.words: dict[str, bytes] = {}
+        self.wrong: set[str] = set()
         byte = {int(names[i][1:-1], 16): i for i in range(n) if kinds[i][2]}
         if len(byte) < 256:
             raise ValueError("not a vocabulary with a piece for every byte")
@@ -226,26 +249,52 @@ class PieceModel(dict):
             if control:  # ends a run of bytes without a text of its own: never whole UTF-8
                 self.raws[i] = b"\xff"
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, run: str) -> bytes:
+        """The ids of a run that is too long to be remembered, word by word."""
+        words = self.word.findall(run)
+        packed = b"".join([self.words.get(word) or self._join(word) for word in words])
+        self._check([run], [packed])
+        return packed
+
+    def _join(self, word: str) -> bytes:
         """A word that is too long to be remembered, or has a character without a piece."""
         return b"".join(map(self.packed.__getitem__, join_symbols(word, self.order)))
 
-    def _learn(self, words: set[str]) -> None:
-        """Remember the short ones of ``words``, and forget what has not been met for long."""
-        if len(self) > REMEMBERED:
-            self.older = dict(self)
+    def _check(self, runs: list[str], packed: list[bytes]) -> None:
+        """Ask the library for the ids of runs, and note those that it has others for.
+
+        It puts a space in front by itself, so a run is handed over without its first.
+        """
+        at = [k for k, run in enumerate(runs) if run[0] == SPACE and len(run) > 1]
+        texts = [runs[k][1:].replace(SPACE, " ") for k in at]
+        for k, ids in zip(at, self.library.encode(texts, num_threads=1), strict=True):
+            if np.array(ids, np.int32).tobytes() != packed[k]:
+                self.wrong.add(runs[k])
+
+    def _learn(self, runs: set[str]) -> None:
+        """Remember the short ones of ``runs`` and their words; start afresh from time to time."""
+        if len(self) > REMEMBERED or len(self.words) > REMEMBERED:
             self.clear()
-        new = []
-        for word in words - self.keys():
-            packed = self.older.get(word)
-            if packed is not None:
-                self[word] = packed
-            elif len(word) <= LONGEST:
-                new.append(word)
-        for at in range(0, len(new), TOGETHER):
-            part = new[at : at + TOGETHER]
+            self.words.clear()
+        new = [run for run in runs - self.keys() if len(run) <= LONGEST]
+        found = [self.word.findall(run) for run in new]
+        known = self.words
+        words = list(set().union(*found) - known.keys())
+        for at in range(0, len(words), TOGETHER):
+            part = words[at : at + TOGETHER]
             for word, packed in zip(part, self.agendas.join(part), strict=True):
-                self[word] = self.__missing__(word) if packed is None else packed
+                known[word] = self._join(word) if packed is None else packed
+        packed = [
+            known[own[0]] if len(own) == 1 else b"".join([known[word] for word in own])
+            for own in found
+        ]
+        self._check(new, packed)
+        self.update(zip(new, packed, strict=True))
+
+    def agrees(self, text: str) -> bool:
+        """Whether the library has the same ids for every run of ``text``."""
+        shown = SPACE + text.replace(" ", SPACE)
+        return not self.wrong or self.wrong.isdisjoint(RUNS.findall(shown))
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text; an empty one has none."""
@@ -257,9 +306,9 @@ class PieceModel(dict):
 
     def encode_as_is(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of texts, or of parts of texts, with their spaces written as U+2581."""
-        words = [self.word.findall(text) for text in texts]
-        self._learn(set().union(*words))
-        return [np.frombuffer(b"".join(map(self.__getitem__, w)), np.int32) for w in words]
+        runs = [RUNS.findall(text) for text in texts]
+        self._learn(set().union(*runs))
+        return [np.frombuffer(b"".join(map(self.__getitem__, r)), np.int32) for r in runs]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of any ids; the space in front of the first word goes.
@@ -328,9 +377,9 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``(doc_id, ids, decoded, agrees)`` per row of ``docs``.
 
     ``ids`` are those of the whole text without begin or end ids, ``decoded`` what they
-    read back as. ``agrees`` says whether the sentencepiece library, asked for the same
-    batch, gives the same ids and reads them back alike; the columns before it are the
-    agenda's own either way. Null and empty texts have no ids and read back empty.
+    read back as. ``agrees`` says whether the sentencepiece library has the same ids for
+    every run between spaces, asked when a worker first meets it, and reads the ids of
+    the whole text back alike; the columns before it are the agenda's own either way. Null and empty texts have no ids and read back empty.
     Repeated rows stay, ties of score go to the left, an empty table gives no rows,
     other columns are not read. Texts go to Python some megabytes at a time and a text
     longer than that by itself; the agenda of a word of ``n`` characters holds at most
@@ -343,11 +392,10 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
             texts = [raw.decode("utf-8", "replace") for raw in rows["raw"]]
             ids = pieces.encode_all(texts)
             decoded = [pieces.decode(i) for i in ids]
-            theirs = pieces.library.encode(texts, num_threads=1)
-            read_back = [pieces.library.decode(i) for i in theirs]
+            read_back = pieces.library.decode([i.tolist() for i in ids], num_threads=1)
             agrees = [
-                a.tolist() == b and x == y
-                for a, b, x, y in zip(ids, theirs, decoded, read_back, strict=True)
+                pieces.agrees(text) and own == theirs
+                for text, own, theirs in zip(texts, decoded, read_back, strict=True)
             ]
             first = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = np.concatenate([np.empty(0, np.int32), *ids])
