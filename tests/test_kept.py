@@ -1,0 +1,123 @@
+"""The daily run on kept state against full runs."""
+
+import re
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import calendar, clients, event_log, physical, tuples
+from test_lookbacks import dates, random_log
+from test_state import client_rows
+from vestibule.__main__ import main
+from vestibule.plans import kept
+from vestibule.plans.change import hourly_change
+from vestibule.plans.kept import days_to_read, run_kept_reports
+from vestibule.plans.onboarding import cohort_matrix
+from vestibule.plans.openings import openings_by_hour, openings_by_month
+from vestibule.sources import schemas
+from vestibule.sources.publish import current_run, read_published
+from vestibule.sources.reports import read_report
+from vestibule.sources.tables import read_table
+from vestibule.state import cohorts
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    made = random_log(spark, 12, 60), calendar(spark, list(dates("2023-11-01", 152)))
+    return *made, clients(spark, client_rows(5, 200))
+
+
+def expected(log, table, made, as_of):
+    known = log.filter(F.col("dt_ocorrencia") < F.lit(as_of + timedelta(days=1)))
+    return {
+        "openings_by_month": (schemas.OPENINGS_BY_MONTH, openings_by_month(known, as_of)),
+        "openings_by_hour": (schemas.OPENINGS_BY_HOUR, openings_by_hour(known, as_of)),
+        "hourly_change": (schemas.HOURLY_CHANGE, hourly_change(known, table, as_of)),
+        "cohort_matrix": (schemas.COHORT_MATRIX, cohort_matrix(made)),
+    }
+
+
+def test_daily_runs_equal_full_runs(spark, tables, tmp_path, monkeypatch):
+    """Over the end of a year, with late events that come in between two runs."""
+    log, table, made = tables
+    out, state, read = f"{tmp_path}/out", f"{tmp_path}/state", []
+    for name in ("refresh_bitmaps", "refresh_hours"):
+        real = getattr(kept, name)
+        monkeypatch.setattr(
+            kept, name, lambda *a, real=real, name=name, **k: (read.append((name, len(a[2]))), real(*a, **k))
+        )
+    late = event_log(spark, [("2024-01-01 07:00:00", 900), ("2024-01-02 07:00:00", 901)])
+    for as_of in (date(2023, 12, 30) + timedelta(days=k) for k in range(6)):
+        if as_of == date(2024, 1, 3):
+            log = log.unionByName(late)
+        run_kept_reports(log, table, made, as_of, out, state, late_days=2, kind="INCLUSAO", partition=None)
+        for name, (schema, report) in expected(log, table, made, as_of).items():
+            assert tuples(read_published(spark, out, name, schema)) == tuples(report), (as_of, name)
+    days = dict((name, [n for other, n in read if other == name]) for name, _ in read)
+    # The days since the last run, its own and those that events may come late for.
+    assert days["refresh_bitmaps"][0] == 364 and max(days["refresh_bitmaps"][1:]) == 4
+    assert max(days["refresh_hours"]) <= 7
+
+
+def test_the_frames_and_the_command_line(spark, tables, tmp_path):
+    log, table, made = tables
+    inputs = f"{tmp_path}/in"
+    log.withColumn("dia", F.to_date("dt_ocorrencia")).write.partitionBy("dia").parquet(f"{inputs}/events")
+    table.write.parquet(f"{inputs}/calendar")
+    made.write.parquet(f"{inputs}/clients")
+    for day in ("2024-01-30", "2024-01-31"):
+        main(
+            f"--events {inputs}/events --calendar {inputs}/calendar --clients {inputs}/clients "
+            f"--out {tmp_path}/out --as-of {day} --partition dia --state {tmp_path}/state".split()
+        )
+    run = current_run(spark, f"{tmp_path}/out")
+    back = read_table(spark, f"{inputs}/events", schemas.EVENT_LOG)
+    for name, (schema, report) in expected(back, table, made, date(2024, 1, 31)).items():
+        assert tuples(read_report(spark, run, name, schema)) == tuples(report), name
+    assert len(list((tmp_path / "out" / "runs").iterdir())) == 2
+    assert spark.read.option("header", True).csv(f"{run}/change_series").count() == 72
+
+
+def test_the_matrix_comes_from_kept_sums_without_clients(spark, tables, tmp_path):
+    log, table, made = tables
+    state = f"{tmp_path}/state"
+    deltas = cohorts.cohort_deltas(made.withColumn("sinal", F.lit(1)))
+    cohorts.store_deltas(deltas, f"{state}/sums", "base")
+    run = run_kept_reports(log, table, None, date(2024, 1, 5), f"{tmp_path}/out", state)
+    back = read_report(spark, run, "cohort_matrix", schemas.COHORT_MATRIX)
+    assert tuples(back) == tuples(cohort_matrix(made))
+
+
+def test_days_to_read():
+    day = [date(2024, 1, d) for d in range(1, 6)]
+    assert days_to_read(set(), day, day[4]) == day
+    assert days_to_read(set(day), day[:2], day[4]) == [day[4]]
+    assert days_to_read(set(day[:3]), day, day[1]) == day[1:]
+    assert days_to_read({day[0], day[3]}, [day[1]], day[2]) == [day[1], day[3]]
+
+
+def test_after_a_pause_and_for_an_earlier_day(spark, tables, tmp_path):
+    """Events of a day that came in while no run was made count; so does a run for a day before."""
+    log, table, made = tables
+    out, state = f"{tmp_path}/out", f"{tmp_path}/state"
+    late = event_log(spark, [("2024-01-02 09:00:00", 905), ("2024-01-03 09:00:00", 906)])
+    for as_of, events in (
+        (date(2024, 1, 3), log),
+        (date(2024, 1, 8), log.unionByName(late)),
+        (date(2024, 1, 6), log.unionByName(late)),
+    ):
+        run_kept_reports(events, table, made, as_of, out, state, late_days=1)
+        for name, (schema, report) in expected(events, table, made, as_of).items():
+            assert tuples(read_published(spark, out, name, schema)) == tuples(report), (as_of, name)
+
+
+def test_a_report_from_state_does_not_read_the_log(spark, tables, tmp_path, monkeypatch):
+    log, table, made = tables
+    plans = []
+    monkeypatch.setattr(kept, "write_report", lambda report, run, name: plans.append(physical(report)))
+    monkeypatch.setattr(kept, "write_charts", lambda *a: None)
+    run_kept_reports(log, table, made, date(2024, 1, 5), f"{tmp_path}/out", f"{tmp_path}/state")
+    assert len(plans) == 4
+    for plan in plans[:3]:
+        assert "ds_ocorrencia" not in plan and re.search(r"PartitionFilters: \[.*dia", plan)

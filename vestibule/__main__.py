@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from vestibule.operators.cohorts import SINCE
+from vestibule.plans.kept import run_kept_reports
 from vestibule.plans.pipeline import run_reports
 from vestibule.sources import schemas
 from vestibule.sources.tables import read_table
@@ -30,19 +31,24 @@ def main(argv: list[str] | None = None) -> None:
         default=0,
         help="days by which that column may lie after the event's date",
     )
+    parser.add_argument(
+        "--state",
+        help="folder with what earlier runs have read: only new days are read, and all reports"
+        " are published at once",
+    )
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("vestibule").getOrCreate()
-    run_reports(
+    tables = (
         read_table(spark, args.events, schemas.EVENT_LOG, args.partition),
         read_table(spark, args.calendar, schemas.CALENDAR),
         read_table(spark, args.clients, schemas.CLIENTS),
-        args.as_of,
-        args.out,
-        args.since,
-        args.partition,
-        args.late_days,
     )
+    stored = {"since": args.since, "partition": args.partition, "late_days": args.late_days}
+    if args.state:
+        run_kept_reports(*tables, args.as_of, args.out, args.state, **stored)
+    else:
+        run_reports(*tables, args.as_of, args.out, **stored)
 
 
 if __name__ == "__main__":

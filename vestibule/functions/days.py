@@ -19,8 +19,8 @@ def on_days(
 ) -> Column:
     """True when the timestamp ``at`` falls on one of ``days``.
 
-    Written as half-open ranges because those reach the scan, where
-    ``to_date(at).isin(days)`` does not. They skip data in Parquet files with
+    Written as half-open ranges, one for days in a row, because those reach the scan,
+    where ``to_date(at).isin(days)`` does not. They skip data in Parquet files with
     microsecond ``timestamp`` columns and in ORC files; for ``timestamp_ntz``
     Parquet columns Spark 4.1 lists them as pushed but reads every row group.
     ``partition`` is the log's date partition column, when it has one: the
@@ -29,16 +29,34 @@ def on_days(
     may; only this bound is widened, the range stays exact.
     """
     days = sorted(set(days))
-    hit = F.lit(False)
-    for i, day in enumerate(days):
-        within = (at >= F.lit(day)) & (at < F.lit(day + timedelta(days=1)))
-        hit = within if i == 0 else hit | within
+    hit = _any_of([(at >= F.lit(first)) & (at < F.lit(end)) for first, end in _ranges(days)])
     if partition is None:
         return hit
     stored = {day + timedelta(days=late) for day in days for late in range(late_days + 1)}
     return partition.isin(sorted(stored)) & hit
 
 
+def _ranges(days: list[date]) -> list[tuple[date, date]]:
+    """Ascending days as half-open ranges of days that follow each other."""
+    ranges: list[tuple[date, date]] = []
+    for day in days:
+        after = day + timedelta(days=1)
+        if ranges and ranges[-1][1] == day:
+            ranges[-1] = (ranges[-1][0], after)
+        else:
+            ranges.append((day, after))
+    return ranges
+
+
+def _any_of(conditions: list[Column]) -> Column:
+    """Their disjunction, as a tree of little depth; false without any."""
+    while len(conditions) > 1:
+        pairs = zip(conditions[::2], conditions[1::2])
+        rest = conditions[-1:] if len(conditions) % 2 else []
+        conditions = [a | b for a, b in pairs] + rest
+    return conditions[0] if conditions else F.lit(False)
+
+
 def in_year(
     at: Column, year: int, partition: Column | None = None, late_days: int = 0
 ) -> Column:
