@@ -104,3 +104,13 @@ def test_unknown_part_is_an_error(spark):
 
 def test_empty_table(spark):
     assert cp.chat_digests(cp.format_turns(cp.text_parts(frame(spark, [])))).count() == 0
+
+
+def test_very_long_texts(spark):
+    texts = ["word </s> " * 300_000, "[INST]" * 50_000, "é" * 100_000]
+    rows = [(1, k, "assistant", text, "") for k, text in enumerate(texts)]
+    made = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, x string")
+    (row,) = cp.chat_digests(cp.format_turns(cp.text_parts(made))).collect()
+    assert row.n_turns == 3 and row.loss_chars == sum(map(len, texts))
+    assert row.loss_sha256 == digest("".join(texts))
+    assert row.turns_sha256 == digest("".join(f"assistant\n{t}\n" for t in texts))

@@ -1,13 +1,16 @@
 """The piece vocabulary against the sentencepiece library itself."""
 
+import hashlib
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from cases import documents, frame
+from test_queries import sample
 
 from vestibule.llm import pieces
-from vestibule.llm.queries import PIECE_VOCABULARY, tokenizer_path
+from vestibule.llm.queries import PIECE_VOCABULARY, queries, tokenizer_path
 
 PATH = tokenizer_path(PIECE_VOCABULARY)
 PARTS = ["a", "b", "the", "ing", " ", "  ", "▁", "\n", "\t", "\r\n", "é", "é", "中", "文", "①", "\x00"]
@@ -89,3 +92,14 @@ def test_documents_with_awkward_rows(spark, model):
     want = [(i, model.library.encode(t or ""), model.library.decode(model.library.encode(t or "")), True) for i, t in rows]
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
     assert pieces.encode_pieces(frame(spark, []), PATH).count() == 0
+
+
+def test_the_query_over_the_sample(spark, model):
+    folder = sample("0.001")
+    want = []
+    for doc_id, text in duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet'").fetchall():
+        ids = model.library.encode(text or "")
+        read = model.library.decode(ids).encode()
+        digests = [hashlib.sha256(raw).hexdigest() for raw in (",".join(map(str, ids)).encode(), read)]
+        want.append((doc_id, len(ids), *digests, True))
+    assert sorted(map(tuple, queries()["op13_sentencepiece"](spark, folder).collect())) == sorted(want)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vestibule.llm.shared import map_arrow, slices
+from vestibule.llm.shared import byte_slices, map_arrow
 
 # The strings that control the template, without their outer < > or [ ].
 ANGLE = ("s", "/s", "role", "/role", "image", "audio", "document")
@@ -143,8 +143,9 @@ def format_turns(turns: DataFrame) -> DataFrame:
     ``<s>text</s>``, any other ``<role>name</role>[TURN] text [/TURN]``. The loss mask
     covers ``loss_length`` code points from ``loss_start`` of the segment: an
     assistant's text, nothing else. A null text is empty, a null role an empty
-    name, null parts no parts. Repeated rows give a segment each; turns without a
-    number come first; other columns are not read. A part of an unknown type is an error.
+    name, null parts no parts. Very long texts are formatted whole, each in its row.
+    Repeated rows give a segment each; turns without a number come first; other columns
+    are not read. A part of an unknown type is an error.
     """
     parts = F.coalesce("parts", F.array().cast(f"array<{PART}>"))
     text, attachments, tokens = flatten_parts(parts)
@@ -229,7 +230,7 @@ class _Reader:
 
 def _read_back(batches):
     reader = None
-    for rows in slices(batches):
+    for rows in byte_slices(batches, "segment"):
         done = []
         for conv, segment, start, length in zip(
             *(rows[c] for c in ("conv_id", "segment", "loss_start", "loss_length")), strict=True

@@ -240,9 +240,9 @@ def pack_documents(
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` per piece.
 
     Documents longer than ``capacity`` ids are cut, others never. Null and empty
-    texts are the end id alone. Equal lengths go in any order; repeated rows and
-    ids are packed once each; an empty table gives no sequence; other columns are
-    not read. The driver sees the histogram, at most ``capacity`` rows, and the
+    texts are the end id alone; very long ones are encoded whole, by one task. Equal
+    lengths go in any order; repeated rows and ids are packed once each; an empty table
+    gives no sequence; other columns are not read. The driver sees the histogram, at most ``capacity`` rows, and the
     plan has a few times as many slots.
     """
     pieces = written(cut_pieces(docs, tokenizer, text, capacity, end_id), "pieces")

@@ -40,19 +40,23 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named or quoted in every document."""
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op2_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, learned from rows that are not held out."""
     docs = read_table(spark, sf_dir, "documents")
     return score_quality(docs, fit_quality(docs, read_table(spark, sf_dir, "labels")))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document stands in the benchmark."""
     docs, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return find_contamination(docs, benchmark).select(
         "doc_id",
@@ -65,29 +69,35 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted and read back."""
     turns = probe_turns(spark).unionByName(text_parts(read_table(spark, sf_dir, "conversations")))
     return chat_digests(written(format_turns(turns), "chat"))
 
 
 def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the ids of every document lie in the shard files, read from them."""
     return token_shards(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op7_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest vectors of every twentieth one."""
     is_query = F.col("vec_id") % QUERY_ONE_IN == 0
     return nearest_vectors(read_table(spark, sf_dir, "embeddings"), is_query, NEIGHBOURS)
 
 
 def op8_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, and that with one shard more."""
     docs = read_table(spark, sf_dir, "documents")
     return assign_shards(docs, topology(SHARDS), topology(SHARDS + 1))
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequence and place of every piece of every document."""
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings."""
     return repeated_spans(read_table(spark, sf_dir, "documents")).select(
         "row.doc_id",
         "n_bytes",
