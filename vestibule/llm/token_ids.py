@@ -23,6 +23,9 @@ from vestibule.llm.words import SPACE, same_spans, span_hashes
 REMEMBERED = 1_000_000
 RECENT = 100_000
 ENCODED = 8192
+# Words that are encoded as one text, and the fixed sign of the vocabulary for a word's end.
+WORDS = 256
+WORD_END = "</w>"
 # Rows and bytes of text encoded at a time.
 ENCODE_ROWS = 1024
 BLOCK = 1 << 21
@@ -108,6 +111,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.memory, self.recent = _Memory(), _Memory()
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -199,25 +205,59 @@ class Encoder:
 
     def _encoded(self, joined: bytes, block, keys, starts, ends) -> _Memory:
         """The pieces with their ids, in the order given."""
-        out, encoded = _Memory(), []
         pieces = [
             joined[s:e].decode("utf-8", "replace")
             for s, e in zip(starts.tolist(), ends.tolist(), strict=True)
         ]
-        for at in range(0, len(pieces), ENCODED):
-            part = self.tokenizer.encode_batch_fast(
-                pieces[at : at + ENCODED], add_special_tokens=False
-            )
-            encoded += [e.ids for e in part]
+        letters = np.fromiter(map(str.isalpha, pieces), bool, len(pieces))
+        length = np.empty(len(pieces), np.int64)
+        ids = [None, None]
+        for k, (which, encode) in enumerate(((letters, self._words), (~letters, self._apart))):
+            at = np.flatnonzero(which)
+            ids[k], length[at] = encode([pieces[i] for i in at.tolist()])
+        out = _Memory()
         out.keys, out.size = keys, ends - starts
         out.at = np.cumsum(out.size) - out.size
         out.raw = block[_ranges(starts, out.size)]
-        out.length = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        out.begin = np.cumsum(out.length) - out.length
+        out.length = length
+        out.begin = np.empty(len(pieces), np.int64)
+        out.begin[letters] = np.cumsum(length[letters]) - length[letters]
+        out.begin[~letters] = len(ids[0]) + np.cumsum(length[~letters]) - length[~letters]
         out.again = np.zeros(len(keys), bool)
-        out.ids = np.fromiter(chain.from_iterable(encoded), np.uint32, int(out.length.sum()))
+        out.ids = np.concatenate(ids)
         return out
 
+    def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one after another, and how many each has."""
+        encoded = []
+        for at in range(0, len(pieces), ENCODED):
+            part = self.tokenizer.encode_batch_fast(
+                pieces[at : at + ENCODED], add_special_tokens=False
+            )
+            encoded += [e.ids for e in part]
+        length = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        return np.fromiter(chain.from_iterable(encoded), np.uint32, int(length.sum())), length
+
+    def _words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces of letters only: each is a word, whose last id alone ends one.
+
+        So many are encoded as one text. Where its words are not as many as the pieces, as
+        when lower case adds a sign to a letter, those pieces are encoded apart.
+        """
+        parts = [pieces[at : at + WORDS] for at in range(0, len(pieces), WORDS)]
+        texts = [" ".join(part) for part in parts]
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids, lengths = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for part, found in zip(parts, encoded, strict=True):
+            own = np.array(found.ids, np.uint32)
+            last = np.flatnonzero(self.ends_word[own])
+            length = np.diff(last, prepend=-1)
+            if len(last) != len(part) or last[-1] != len(own) - 1:
+                own, length = self._apart(part)
+            ids.append(own)
+            lengths.append(length)
+        return np.concatenate(ids), np.concatenate(lengths)
+
 
 class _Joined:
     """Some arrays read as one."""
