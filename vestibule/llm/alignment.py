@@ -585,11 +585,12 @@ def align_tokens(
     """The groups of tokens of both vocabularies that cover the same bytes, for all texts.
 
     A is the byte-level vocabulary, B the piece vocabulary, both over a space and the
-    whole text; a text of more than ``chunk`` bytes is cut. ``n_links`` counts overlapping tokens of A and B, ``n_best`` those
-    whose pair is held by as many texts as any pair of that A id, ``count_sum`` sums how
-    many texts hold the pair. Null and empty texts, and those that the tokens do not
-    give back byte by byte (U+2581 in the text), are one row of zeros. Repeated rows and
-    ids each count as a text; an empty table gives no rows; other columns are not read.
+    whole text; a text of more than ``chunk`` bytes is cut. ``n_links`` counts overlapping
+    tokens of A and B, ``n_best`` those whose pair is held by as many texts as any pair of
+    that A id, ``count_sum`` sums how many texts hold the pair. Null and empty texts, and
+    those that the tokens do not give back byte by byte (U+2581 in the text), are one row
+    of zeros. Repeated rows and ids each count as a text; an empty table gives no rows;
+    other columns are not read.
     """
     paths = (byte_path, piece_path)
     rows = docs.select(F.col("doc_id").cast("bigint"), utf8(F.col(text)).alias("raw"))

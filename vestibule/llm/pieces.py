@@ -194,7 +194,8 @@ class Agendas:
             rank[at[at > 0] - 1] = NEVER
             beside = beside[word[beside] == word[beside + 1]]
             rank[beside], joined[beside] = self._rank(symbol[beside], symbol[beside + 1])
-        word, symbol = (np.concatenate([np.empty(0, np.int64), *x]) for x in (done_words, done_symbols))
+        none = np.empty(0, np.int64)
+        word, symbol = (np.concatenate([none, *x]) for x in (done_words, done_symbols))
         symbol = symbol[np.argsort(word, kind="stable")]
         first = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(words)))])
         odd = np.concatenate([[0], np.cumsum((symbol < 0) | (symbol >> 24 > 0))])
@@ -379,11 +380,11 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     ``ids`` are those of the whole text without begin or end ids, ``decoded`` what they
     read back as. ``agrees`` says whether the sentencepiece library has the same ids for
     every run between spaces, asked when a worker first meets it, and reads the ids of
-    the whole text back alike; the columns before it are the agenda's own either way. Null and empty texts have no ids and read back empty.
-    Repeated rows stay, ties of score go to the left, an empty table gives no rows,
-    other columns are not read. Texts go to Python some megabytes at a time and a text
-    longer than that by itself; the agenda of a word of ``n`` characters holds at most
-    ``3n`` pairs.
+    the whole text back alike; the columns before it are the agenda's own either way.
+    Null and empty texts have no ids and read back empty. Repeated rows stay, ties of
+    score go to the left, an empty table gives no rows, other columns are not read. Texts
+    go to Python a megabyte at a time and a longer one by itself; the agenda of a word of
+    ``n`` characters holds at most ``3n`` pairs.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

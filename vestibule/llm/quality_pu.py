@@ -170,8 +170,12 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(checksum % HELD_OUT_MOD == 0, F.lit(True))
 
 
-_FEATURE_ROWS = pa.schema([("doc_id", pa.int64()), ("positive", pa.bool_()), ("row", pa.binary())])
-_SUMS = pa.schema([("feature", pa.int32()), ("n", pa.int64()), ("sum", pa.int64()), ("square", pa.int64())])
+_FEATURE_ROWS = pa.schema(
+    [("doc_id", pa.int64()), ("positive", pa.bool_()), ("row", pa.binary())]
+)
+_SUMS = pa.schema(
+    [("feature", pa.int32()), ("n", pa.int64()), ("sum", pa.int64()), ("square", pa.int64())]
+)
 
 
 def _feature_rows(docs: DataFrame) -> DataFrame:
@@ -201,7 +205,8 @@ def feature_moments(texts: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
         yield record(_SUMS, **columns)
 
     sums = map_arrow(texts, add, _SUMS).groupBy("feature")
-    found = sums.agg(*[F.sum(c).alias(c) for c in ("n", "sum", "square")]).orderBy("feature").collect()
+    totals = [F.sum(c).alias(c) for c in ("n", "sum", "square")]
+    found = sums.agg(*totals).orderBy("feature").collect()
     if not found or not found[0].n:
         return None
     mean, square = (np.array([row[c] / row.n * UNIT for row in found]) for c in ("sum", "square"))
@@ -245,7 +250,8 @@ def fit_quality(
     )
     texts = docs.select("doc_id", utf8().alias("raw")).filter(~is_held_out(F.col("doc_id")))
     # At most max_positives + max_unlabelled ids: a bounded broadcast.
-    drawn_rows = _feature_rows(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "positive", "raw"))
+    of_sample = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "positive", "raw")
+    drawn_rows = _feature_rows(of_sample)
     one = F.min(F.struct(F.xxhash64("row").alias("order"), "row")).alias("least")
     found = drawn_rows.groupBy("doc_id", "positive").agg(one).select("doc_id", "positive", "least.row")
     found = sorted(found.collect(), key=lambda row: row.doc_id)

@@ -225,8 +225,9 @@ def row_codes(ordered: DataFrame) -> DataFrame:
     return rows.join(seen, "at", "left").select("conv_id", "at", code.alias("code"))
 
 
-_COSTS = pa.schema([("conv_id", pa.int64()), ("block", pa.int64()), ("costs", pa.list_(pa.float64()))])
-_LEAVE = pa.schema([("conv_id", pa.int64()), ("block", pa.int64()), ("leave", pa.list_(pa.float64()))])
+_SEGMENT = [("conv_id", pa.int64()), ("block", pa.int64())]
+_COSTS = pa.schema([*_SEGMENT, ("costs", pa.list_(pa.float64()))])
+_LEAVE = pa.schema([*_SEGMENT, ("leave", pa.list_(pa.float64()))])
 _PLAN = pa.schema(
     [
         ("conv_id", pa.int64()),
@@ -396,7 +397,11 @@ def repaired_turns(turns: DataFrame, conversations: DataFrame | None = None) ->
     role, text = (F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text"))
     ordered = in_order(turns.select("conv_id", "turn", role, text))
     every = (turns if conversations is None else conversations).select("conv_id").distinct()
-    begins = every.select(F.col("conv_id").cast("bigint"), F.lit(-1).cast("bigint").alias("at"), F.lit(0).alias("kind"))
+    begins = every.select(
+        F.col("conv_id").cast("bigint"),
+        F.lit(-1).cast("bigint").alias("at"),
+        F.lit(0).alias("kind"),
+    )
     plans = plan_repairs(row_codes(ordered)).withColumn("kind", F.lit(1))
     stream = begins.unionByName(plans, allowMissingColumns=True)
     stream = stream.unionByName(ordered.withColumn("kind", F.lit(2)), allowMissingColumns=True)
