@@ -82,7 +82,8 @@ def expected(rows, broken):
         groups[row[0]].append(row)
     out = []
     for conv, own in groups.items():
-        own.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+        digest = lambda text: hashlib.md5(text.encode()).hexdigest()
+        own.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), digest(r[3])))
         found = faults(own)
         turns = {r[1] for r in own} - {None}
         gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0

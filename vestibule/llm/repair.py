@@ -193,13 +193,15 @@ def damaged_turns(turns: DataFrame) -> DataFrame:
 def in_order(turns: DataFrame) -> DataFrame:
     """``(at, conv_id, turn, role, text)``, written: ``at`` ascends by conversation and turn.
 
-    Rows of one turn go by role, then by text. The order is made by ranges of all these,
-    so a conversation that holds most rows is many tasks' work, and ``at`` numbers rows
-    next to each other in one task one by one.
+    Rows of one turn go by role, then by the MD5 of their text: the ranges are made from
+    a sample, which texts themselves would make large. A conversation that holds most
+    rows is many tasks' work, and ``at`` numbers rows next to each other in one task one
+    by one.
     """
-    by = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text", "rid")]
+    by = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "digest", "rid")]
     rows = turns.select(
         *[F.col(c) for c in ("conv_id", "turn", "role", "text")],
+        F.md5("text").alias("digest"),
         F.monotonically_increasing_id().alias("rid"),
     )
     rows = rows.repartitionByRange(*by).sortWithinPartitions(*by)
@@ -390,9 +392,10 @@ def repaired_turns(turns: DataFrame, conversations: DataFrame | None = None) ->
     have role initials ``(s?(ua)+)?`` at the least total cost, and of all such edits
     these come first in the alphabet. Blank rows and copies of earlier ones (role and
     text) are deleted. Null roles and texts count as one space; rows without an id are
-    one conversation; rows of one turn go by role and text; repeated rows are copies;
-    an empty table gives no rows; other columns are not read. Rows of a conversation lie
-    in one partition in order: they stream through it, one at a time.
+    one conversation; rows of one turn go by role and the MD5 of the text; repeated rows
+    are copies; very long texts are read whole; an empty table gives no rows; other
+    columns are not read. Rows of a conversation lie in one partition in order: they
+    stream through it, one at a time.
     """
     role, text = (F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text"))
     ordered = in_order(turns.select("conv_id", "turn", role, text))
