@@ -20,7 +20,7 @@ from vestibule.llm.words import SPACE, same_spans, span_hashes
 # Pieces that a worker remembers before it forgets those that came once only, how
 # many new ones it collects before they join the others, and how many are encoded at
 # a time.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 RECENT = 100_000
 ENCODED = 8192
 # Words that are encoded as one text, and the fixed sign of the vocabulary for a word's end.
@@ -28,7 +28,7 @@ WORDS = 256
 WORD_END = "</w>"
 # Rows and bytes of text encoded at a time.
 ENCODE_ROWS = 1024
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 
 _LETTER, _CUT, _OTHER = 1, 2, 0
 _CLASS = np.zeros(256, np.uint8)
@@ -88,13 +88,17 @@ class _Memory:
         self.ids = self.ids[_ranges(self.begin[kept], self.length[kept])]
         self.raw = self.raw[_ranges(self.at[kept], self.size[kept])]
         self.keys, self.length, self.size = self.keys[kept], self.length[kept], self.size[kept]
-        self.begin = np.cumsum(self.length) - self.length
-        self.at = np.cumsum(self.size) - self.size
+        self.begin, self.at = _starts(self.length), _starts(self.size)
         self.again = np.zeros(len(self.keys), bool)
 
 
+def _starts(size: np.ndarray) -> np.ndarray:
+    """Where each of some things begins that follow each other."""
+    return (np.cumsum(size) - size).astype(np.int32)
+
+
 def _nothing(kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, kind)
+    return np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, kind)
 
 
 def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -210,31 +214,29 @@ class Encoder:
             for s, e in zip(starts.tolist(), ends.tolist(), strict=True)
         ]
         letters = np.fromiter(map(str.isalpha, pieces), bool, len(pieces))
-        length = np.empty(len(pieces), np.int64)
-        ids = [None, None]
-        for k, (which, encode) in enumerate(((letters, self._words), (~letters, self._apart))):
-            at = np.flatnonzero(which)
-            ids[k], length[at] = encode([pieces[i] for i in at.tolist()])
+        length, ids = np.empty(len(pieces), np.int32), [np.empty(0, np.uint32)]
+        begin, held = np.empty(len(pieces), np.int32), 0
+        for which, encode in ((letters, self._words), (~letters, self._apart)):
+            every = np.flatnonzero(which)
+            for k in range(0, len(every), ENCODED):
+                at = every[k : k + ENCODED]
+                found, length[at] = encode([pieces[i] for i in at.tolist()])
+                begin[at] = _starts(length[at]) + held
+                held += len(found)
+                ids.append(found)
         out = _Memory()
-        out.keys, out.size = keys, ends - starts
-        out.at = np.cumsum(out.size) - out.size
-        out.raw = block[_ranges(starts, out.size)]
-        out.length = length
-        out.begin = np.empty(len(pieces), np.int64)
-        out.begin[letters] = np.cumsum(length[letters]) - length[letters]
-        out.begin[~letters] = len(ids[0]) + np.cumsum(length[~letters]) - length[~letters]
+        out.keys, out.size = keys, (ends - starts).astype(np.int32)
+        out.at = _starts(out.size)
+        out.raw = block[_ranges(starts, ends - starts)]
+        out.length, out.begin = length, begin
         out.again = np.zeros(len(keys), bool)
         out.ids = np.concatenate(ids)
         return out
 
     def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces one after another, and how many each has."""
-        encoded = []
-        for at in range(0, len(pieces), ENCODED):
-            part = self.tokenizer.encode_batch_fast(
-                pieces[at : at + ENCODED], add_special_tokens=False
-            )
-            encoded += [e.ids for e in part]
+        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        encoded = [e.ids for e in encoded]
         length = np.fromiter(map(len, encoded), np.int64, len(encoded))
         return np.fromiter(chain.from_iterable(encoded), np.uint32, int(length.sum())), length
 
