@@ -46,7 +46,7 @@ from vestibule.llm.words import mix
 
 # Characters of a chunk, bytes of text in a batch, and fragments composed at a time.
 CHUNK = 1 << 16
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 FAN_IN = 8
 # Batches that send their pairs to one task, and bytes of text per bucket of A ids.
 SALT_BATCHES = 4096
@@ -612,7 +612,7 @@ def align_tokens(
     def pack(batches):
         numbers = _numbered(CUT)
         for batch in batches:
-            for at in range(0, batch.num_rows, 32):  # runs of at most a chunk, but for odd texts
+            for at in range(0, batch.num_rows, 16):  # runs of at most a chunk, but for odd texts
                 rows = batch.slice(at, 32).to_pydict()
                 ids = [[np.array(i, np.int32) for i in rows[c]] for c in ("left_a", "left_b")]
                 none = [None] * len(rows["rid"])

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, cached_property
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -124,7 +124,7 @@ class Agendas:
 
     def __init__(self, ids: dict[str, int], order: dict[str, int]):
         symbols = dict(ids)
-        self.of_char = np.full(0x110000, -1, np.int64)
+        self.of_char = np.full(0x110000, -1, np.int32)
         for char in sorted(set().union(*ids)):
             self.of_char[ord(char)] = symbols.setdefault(char, 1 << 24 | ord(char))
         made = [
@@ -144,7 +144,7 @@ class Agendas:
         self.place = np.full(0x110000, -1, np.int16)
         self.place[1:FIRST] = np.arange(1, FIRST)
         self.place[ord(SPACE)] = 0
-        symbol = self.of_char[np.append(ord(SPACE), np.arange(1, FIRST))]
+        symbol = self.of_char[np.append(ord(SPACE), np.arange(1, FIRST))].astype(np.int64)
         found = self._rank(np.repeat(symbol, FIRST), np.tile(symbol, FIRST))
         self.first_rank, self.first_joined = found
 
@@ -156,7 +156,7 @@ class Agendas:
     def join(self, words: list[str]) -> list[bytes | None]:
         """The packed ids of each word; none for a word with a character without a piece."""
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        symbol = self.of_char[chars]
+        symbol = self.of_char[chars].astype(np.int64)
         size = np.fromiter(map(len, words), np.int64, len(words))
         word = np.repeat(np.arange(len(words)), size)
         rank, joined = np.full(len(symbol), NEVER), np.full(len(symbol), -1)
@@ -229,7 +229,6 @@ class PieceModel(dict):
         scores = sorted({-model.get_score(i) for i in plain})
         place = {score: rank for rank, score in enumerate(scores)}
         self.order = {names[i]: place[-model.get_score(i)] for i in plain}
-        self.agendas = Agendas(self.ids, self.order)
         self.word, self.cut = word_patterns(self.ids)
         self.words: dict[str, bytes] = {}
         self.wrong: set[str] = set()
@@ -250,6 +249,11 @@ class PieceModel(dict):
             if control:  # ends a run of bytes without a text of its own: never whole UTF-8
                 self.raws[i] = b"\xff"
 
+    @cached_property
+    def agendas(self) -> Agendas:
+        """Made when first needed: who only reads single words has no use for it."""
+        return Agendas(self.ids, self.order)
+
     def __missing__(self, run: str) -> bytes:
         """The ids of a run that is too long to be remembered, word by word."""
         words = self.word.findall(run)
