@@ -46,7 +46,7 @@ from vestibule.llm.words import mix
 
 # Characters of a chunk, bytes of text in a batch, and fragments composed at a time.
 CHUNK = 1 << 16
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 2 << 20
 FAN_IN = 8
 # Batches that send their pairs to one task, and bytes of text per bucket of A ids.
 SALT_BATCHES = 4096
@@ -89,7 +89,8 @@ class ByteModel:
             self.raws[i] = raw
 
     def encode(self, text: str) -> np.ndarray:
-        return np.array(self.encoding.encode_ordinary(text), np.int32)
+        ids = self.encoding.encode_to_numpy(text, disallowed_special=())
+        return np.asarray(ids).astype(np.int32)
 
 
 class Sides:
@@ -108,9 +109,12 @@ class Sides:
         """Ids of both; none if the bytes of their tokens are not those of the texts."""
         a = self.a.encode(a_text)
         b = self.b.encode_as_is([b_text.replace(" ", SPACE)])[0] if b is None else b
-        for model, ids, text in ((self.a, a, a_text), (self.b, b, b_text)):
-            if b"".join(map(model.raws.__getitem__, ids.tolist())) != text.encode():
-                return None
+        # A's tokens are pieces of the text itself, so their length tells; B's may have a
+        # space for another sign.
+        if self.sizes[0][a].sum() != len(a_text.encode()):
+            return None
+        if b"".join(map(self.b.raws.__getitem__, b.tolist())) != b_text.encode():
+            return None
         return a, b
 
 
@@ -613,7 +617,7 @@ def align_tokens(
         numbers = _numbered(CUT)
         for batch in batches:
             for at in range(0, batch.num_rows, 16):  # runs of at most a chunk, but for odd texts
-                rows = batch.slice(at, 32).to_pydict()
+                rows = batch.slice(at, 16).to_pydict()
                 ids = [[np.array(i, np.int32) for i in rows[c]] for c in ("left_a", "left_b")]
                 none = [None] * len(rows["rid"])
                 parts = zip(none, rows["rid"], rows["a_start"], *ids, strict=True)
